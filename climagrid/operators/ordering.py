@@ -72,21 +72,18 @@ def with_neighbours(
     """Add the previous and next value of each group; values must be distinct per group.
 
     One window per group would put a hot group, or a table without groups, into
-    one task. Values are therefore cut at their quantiles: the window runs inside
-    (group, slice), and the ends of neighbouring slices come from a summary that
-    holds at most ``slices`` rows per group. NULL sorts last. ``points_from`` is a
-    cheaper frame with the same value column to take the quantiles from; they only
-    decide the balance, never the result.
+    one task. Values are therefore cut at their quantiles and the window runs inside
+    (group, slice). Only the first and last value of a slice still lack a neighbour;
+    those ends, at most two per slice and group, get it from a second, small window.
+    NULL sorts last. ``points_from`` is a cheaper frame with the same value column
+    to take the quantiles from; they only decide the balance, never the result.
     """
-    if not isinstance(
-        distinct.schema[value].dataType,
-        (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType),
-    ):
+    kind = distinct.schema[value].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{value}: numbers, dates and timestamps can be ordered in slices")
     if slices is None:
         slices = min(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
     points = _slice_points(distinct if points_from is None else points_from, value, slices)
-    kind = distinct.schema[value].dataType
     if points:
         cuts = F.array(*[F.lit(p).cast(kind) for p in points])
         position = F.size(F.filter(cuts, lambda cut: cut < F.col(value)))
@@ -95,25 +92,17 @@ def with_neighbours(
     sliced = distinct.withColumn(
         "_slice", F.when(F.col(value).isNull(), len(points) + 1).otherwise(position)
     )
-    keys = [*group, "_slice"]
-    inside = W.partitionBy(*keys).orderBy(F.asc_nulls_last(value))
-    across = W.partitionBy(*(group or [F.lit(0)])).orderBy("_slice")
-    ends = (
-        sliced.groupBy(*keys)
-        .agg(F.min(value).alias("_first"), F.max(value).alias("_last"))
-        .select(
-            *keys,
-            F.lag("_last").over(across).alias("_before"),
-            F.lead("_first").over(across).alias("_after"),
-        )
-    )
+    order = F.asc_nulls_last(value)
+    inside = W.partitionBy(*group, "_slice").orderBy(order)
+    across = W.partitionBy(*(group or [F.lit(0)])).orderBy(order)
     rows = sliced.withColumn(previous, F.lag(value).over(inside)).withColumn(following, F.lead(value).over(inside))
-    return (
-        null_safe_join(rows, ends, keys, "left")
-        .withColumn(previous, F.coalesce(previous, "_before"))
-        .withColumn(following, F.coalesce(following, "_after"))
-        .drop("_slice", "_before", "_after")
+    known = F.col(previous).isNotNull() & F.col(following).isNotNull()
+    ends = (
+        rows.where(~known)
+        .withColumn(previous, F.coalesce(previous, F.lag(value).over(across)))
+        .withColumn(following, F.coalesce(following, F.lead(value).over(across)))
     )
+    return rows.where(known).unionAll(ends).drop("_slice")
 
 
 def counted_lag(df: DataFrame, value: str, group: Sequence[str] = (), previous: str = "previous") -> DataFrame:

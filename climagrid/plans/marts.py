@@ -4,8 +4,10 @@ Joins between observations run on (latitude, longitude, day) rather than on the
 md5 key made of the same three values: the key is a longer text that every side
 would have to hash and ship, and Spark then builds it only for published rows.
 Rows with a NULL coordinate or day never reach a mart, because they find neither
-a region nor a date. Region and date dimensions are joined first, so rows
-outside the regions are gone before the wide joins shuffle.
+a region nor a date. Region and date dimensions are joined first, and every other
+side is cut down to the cells of the region map, so rows outside the regions are
+gone before the wide joins shuffle. Both dimensions are broadcast only after
+their rows have been counted.
 """
 
 from __future__ import annotations
@@ -17,17 +19,16 @@ from pyspark.sql import functions as F
 
 from climagrid.operators.spatial import DAILY_HALF_CELL, MONTHLY_HALF_CELL, cell_envelope, cell_region_map
 from climagrid.plans import staging
-from climagrid.session import broadcast_if_small, cut_lineage
+from climagrid.session import broadcast_if_small, cut_lineage, is_small
 
 
 def region_map(points: DataFrame, edges: DataFrame, half: float, latitude: str, longitude: str) -> DataFrame:
-    """The stored cell-to-region map, marked for broadcast when its size allows it.
+    """The cell-to-region map, worked out once and stored.
 
-    Observations hold far more rows than cells, so the map is worked out once and
-    stored; every mart join then reads the small result.
+    Observations hold far more rows than cells; every mart join then reads the
+    stored result, whose size can be counted.
     """
-    cells = cell_envelope(points, half, latitude, longitude)
-    return broadcast_if_small(cut_lineage(cell_region_map(cells, edges)))
+    return cut_lineage(cell_region_map(cell_envelope(points, half, latitude, longitude), edges))
 
 
 def monthly_region_map(water: DataFrame, edges: DataFrame) -> DataFrame:
@@ -39,26 +40,30 @@ def daily_region_map(temperature: DataFrame, edges: DataFrame) -> DataFrame:
     return region_map(temperature, edges, DAILY_HALF_CELL, "lat", "lon")
 
 
-def _day_dimension(dates: DataFrame, *columns: str) -> DataFrame:
-    """Chosen date columns; one row per calendar day since 1940, so always small."""
-    return F.broadcast(dates.select(F.col("datetime").cast("date").alias("obs_day"), *columns))
-
-
 def _with_dimensions(
     observations: DataFrame, coordinates: list[str], dates: DataFrame, cells: DataFrame
 ) -> DataFrame:
     """Observations inside the regions and the calendar, with the columns of both."""
-    return observations.join(cells, coordinates).join(
-        _day_dimension(dates, "datetime_id", "datetime", "year", "month_year"), "obs_day"
+    days = broadcast_if_small(dates).select(
+        F.col("datetime").cast("date").alias("obs_day"), "datetime_id", "datetime", "year", "month_year"
     )
+    return observations.join(cells, coordinates).join(days, "obs_day")
 
 
-def _cells(regions: DataFrame, latitude: str, longitude: str) -> DataFrame:
-    return regions.select(
+def _cells(regions: DataFrame, latitude: str, longitude: str) -> tuple[DataFrame, bool]:
+    """The region map under the observations' names, and whether it is broadcast."""
+    cells = regions.select(
         F.col("latitude").alias(latitude),
         F.col("longitude").alias(longitude),
         F.col("region").alias("Region"),
     )
+    small = is_small(regions)
+    return (F.broadcast(cells) if small else cells), small
+
+
+def _inside(observations: DataFrame, coordinates: list[str], cells: DataFrame, small: bool) -> DataFrame:
+    """Observations of mapped cells. Rows elsewhere cannot match; dropping them pays if it is free."""
+    return observations.join(cells, coordinates, "left_semi") if small else observations
 
 
 def int_general(water: DataFrame, temp: DataFrame, dates: DataFrame, regions: DataFrame) -> DataFrame:
@@ -69,9 +74,9 @@ def int_general(water: DataFrame, temp: DataFrame, dates: DataFrame, regions: Da
     first, and temperature is attached by a left join to what remains.
     """
     coordinates = ["latitude", "longitude"]
-    cells = _cells(regions, *coordinates)
+    cells, small = _cells(regions, *coordinates)
     base = _with_dimensions(staging.stg_general_water(water, native=True), coordinates, dates, cells)
-    second = staging.stg_general_temp(temp, native=True).join(cells, coordinates, "left_semi")
+    second = _inside(staging.stg_general_temp(temp, native=True), coordinates, cells, small)
     joined = base.join(
         second.select(
             *coordinates,
@@ -163,14 +168,14 @@ DAILY_PRODUCTS = {
 def int_agriculture(bronze: Mapping[str, DataFrame], dates: DataFrame, regions: DataFrame) -> DataFrame:
     """Daily observations present in all five products, with date and region, 16 columns."""
     coordinates = ["lat", "lon"]
-    cells = _cells(regions, *coordinates)
+    cells, small = _cells(regions, *coordinates)
     joined = None
     for name, (stage, measures) in DAILY_PRODUCTS.items():
         staged = stage(bronze[name], native=True)
         if joined is None:
             joined = _with_dimensions(staged, coordinates, dates, cells)
         else:
-            inside = staged.join(cells, coordinates, "left_semi")
+            inside = _inside(staged, coordinates, cells, small)
             joined = joined.join(inside, [*coordinates, "obs_day"])
     return staging.with_keys(joined, coordinates).select(
         "key_id",

@@ -39,11 +39,11 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from climagrid.registry import (  # noqa: F401
         expressions,
-        # joins,
-        # maintenance,
+        joins,
+        maintenance,
         marts,
-        # planning,
-        # quality,
+        planning,
+        quality,
         shaping,
-        # sources,
+        sources,
     )

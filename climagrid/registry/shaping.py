@@ -36,7 +36,7 @@ _KINDS = ["click", "error", "purchase", "signup", "view"]
 @query(
     "pivot",
     "SELECT user_id, "
-    + ", ".join(f"sum(CASE WHEN event_type = '{k}' THEN 1 ELSE 0 END) AS n_{k}" for k in _KINDS)
+    + ", ".join(f"CAST(sum(CASE WHEN event_type = '{k}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{k}" for k in _KINDS)
     + ", "
     + ", ".join(f"max(CASE WHEN event_type = '{k}' THEN value ELSE -1e0 END) AS max_{k}" for k in _KINDS)
     + " FROM events GROUP BY user_id",

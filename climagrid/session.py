@@ -62,11 +62,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark a *stored* side for broadcast when its counted size allows it.
+def is_small(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether a side has at most ``max_rows`` rows, by counting them.
 
-    Beyond ``max_rows`` the frame is returned unmarked, so the join runs as a
-    shuffled join that adaptive execution may still re-plan or split. Pass only
-    tables or ``cut_lineage`` results: the count then reads stored rows.
+    Meant for tables, ``cut_lineage`` results and generated ranges, where the count
+    is cheap. A larger side is joined without a hint: as a shuffled join that
+    adaptive execution may still re-plan or split.
     """
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    return stored.count() <= max_rows
+
+
+def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark a side for broadcast when its counted size allows it."""
+    return F.broadcast(stored) if is_small(stored, max_rows) else stored

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 _POLYGON = "array<array<array<double>>>"
 _MULTI_POLYGON = f"array<{_POLYGON}>"
-_FEATURE = "struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>"
+_FEATURE = "properties map<string,string>, geometry struct<type:string,coordinates:string>"
 
 # Region names whose published spelling differs from the source.
 REGION_SPELLING = {"Djiboutii": "Djibouti", "AliSabieh": "Ali Sabieh"}
@@ -22,10 +22,9 @@ def read_features(spark: SparkSession, path: str, line_delimited: bool = False)
     stored with one feature per line, which Spark splits over tasks.
     """
     if line_delimited:
-        schema = _FEATURE.removeprefix("struct<").removesuffix(">")
-        features = spark.read.schema(schema).json(path)
+        features = spark.read.schema(_FEATURE).json(path)
     else:
-        collection = spark.read.schema(f"features array<{_FEATURE}>").json(path, multiLine=True)
+        collection = spark.read.schema(f"features array<struct<{_FEATURE}>>").json(path, multiLine=True)
         features = collection.select(F.inline("features"))
     kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
     polygons = F.when(kind == "Polygon", F.array(F.from_json(text, _POLYGON))).when(
