@@ -16,6 +16,9 @@ DAILY_LAG_DAYS = 15
 DAILY_FIRST = date(2021, 1, 1)
 YEARS_PER_BATCH = 10
 
+# Bits 1 to 12 set: all months of a year.
+ALL_MONTHS = sum(1 << month for month in range(1, 13))
+
 
 def high_water_mark(seeds: DataFrame, observations: DataFrame, variable: str, time: str) -> DataFrame:
     """Latest time of every seeded variable; variables without data keep NULL."""
@@ -59,20 +62,30 @@ def plan_batches(
 
     Only whole years share a batch, so years times months never asks for more
     than is missing; each partial year is a batch of its own, after the whole
-    ones. Lists and windows here span at most the calendar years of one ``by``.
+    ones. The months of a year travel as one bit mask, and each ``by`` is numbered
+    in a window over its calendar years.
     """
     by = list(by)
-    per_year = months.groupBy(*by, "year").agg(F.sort_array(F.collect_set("month")).alias("months"))
-    whole = F.size("months") == 12
-    in_order = W.partitionBy(*(by or [F.lit(0)]), whole).orderBy("year")
-    whole_years = F.sum(whole.cast("int")).over(W.partitionBy(*(by or [F.lit(0)])))
-    position = F.row_number().over(in_order) - 1
-    whole_batches = F.ceil(whole_years / years_per_batch)
-    batch = F.when(whole, F.floor(position / years_per_batch)).otherwise(whole_batches + position) + 1
-    numbered = per_year.select(*by, batch.cast("int").alias("batch"), "year", "months")
+    mask = F.bit_or(F.expr("shiftleft(1, month)"))
+    per_year = months.groupBy(*by, "year").agg(mask.alias("_mask"))
+    whole = (F.col("_mask") == ALL_MONTHS).cast("int")
+    own = W.partitionBy(*(by or [F.lit(0)]))
+    n_whole = F.sum(whole).over(own)
+    position = F.row_number().over(own.orderBy(whole.desc(), "year")) - 1
+    batch = F.when(position < n_whole, F.floor(position / years_per_batch)).otherwise(
+        F.ceil(n_whole / years_per_batch) + position - n_whole
+    )
+    numbered = per_year.withColumn("batch", (batch + 1).cast("int"))
+    in_mask = F.filter(
+        F.sequence(F.lit(1), F.lit(12)), lambda m: F.getbit(F.col("_mask"), m) == 1
+    )
     return numbered.groupBy(*by, "batch").agg(
-        F.transform(F.sort_array(F.collect_list("year")), lambda y: y.cast("string")).alias("years"),
-        F.transform(F.first("months"), lambda m: F.lpad(m.cast("string"), 2, "0")).alias("months"),
+        F.sort_array(F.collect_list("year")).alias("_years"), F.max("_mask").alias("_mask")
+    ).select(
+        *by,
+        "batch",
+        F.transform("_years", lambda y: y.cast("string")).alias("years"),
+        F.transform(in_mask, lambda m: F.lpad(m.cast("string"), 2, "0")).alias("months"),
     )
 
 

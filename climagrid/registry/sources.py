@@ -69,9 +69,9 @@ def combined_files(t):
     """WITH p AS (SELECT c_custkey AS k, c_name AS region, c_nationkey AS n, c_custkey % 340 - 170e0 AS x,
            c_nationkey * 3 - 45e0 AS y FROM customer),
          parts AS (SELECT *, 0 AS poly, 0e0 AS shift FROM p UNION ALL SELECT *, 1, 4e0 FROM p WHERE n % 2 = 1),
-         s(seq, ax, ay, bx, by) AS (VALUES (0, 0e0, 0e0, 1.5e0, 0.25e0), (1, 1.5e0, 0.25e0, 0.5e0, 2e0),
+         s(seq, fx, fy, gx, gy) AS (VALUES (0, 0e0, 0e0, 1.5e0, 0.25e0), (1, 1.5e0, 0.25e0, 0.5e0, 2e0),
            (2, 0.5e0, 2e0, 0e0, 0e0))
-       SELECT region, poly, 0 AS ring, seq, x + shift + ax AS x1, y + ay AS y1, x + shift + bx AS x2, y + by AS y2
+       SELECT region, poly, 0 AS ring, seq, x + shift + fx AS x1, y + fy AS y1, x + shift + gx AS x2, y + gy AS y2
        FROM parts, s""",
 )
 def customer_regions(t):
