@@ -3,6 +3,10 @@
 Each product is described by its measures; ``stage`` adds the keys. With
 ``native`` the keys are left out and the day stays a date in ``obs_day``, which is
 what the marts join on before they add the keys to the rows that remain.
+
+Measures are stored as single-precision floats, and converting them has to give
+single-precision results. Arithmetic on the widened values, cut back to float
+once, is exactly the float operation; the constants are cut to float first.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from climagrid.functions.arithmetic import round_half_away
 from climagrid.functions.text import surrogate_key
@@ -26,16 +31,30 @@ PERCENT = 100
 MEASURE_DIGITS = 2
 
 
-def _double(name: str) -> Column:
-    return F.col(name).cast("double")
+def _own_type(df: DataFrame, name: str) -> T.DataType:
+    """Float measures stay float, as they are stored; all other numbers become double."""
+    kind = df.schema[name].dataType
+    return kind if isinstance(kind, T.FloatType) else T.DoubleType()
+
+
+def _operand(constant: float, kind: T.DataType) -> Column:
+    """A constant rounded to the measure's type, for arithmetic in double."""
+    return F.lit(float(constant)).cast(kind).cast("double")
+
+
+def celsius(df: DataFrame, name: str) -> Column:
+    kind = _own_type(df, name)
+    return (F.col(name).cast("double") - _operand(KELVIN_OFFSET, kind)).cast(kind)
 
 
-def celsius(name: str) -> Column:
-    return _double(name) - KELVIN_OFFSET
+def times(df: DataFrame, name: str, factor: float) -> Column:
+    kind = _own_type(df, name)
+    return (F.col(name).cast("double") * _operand(factor, kind)).cast(kind)
 
 
-def millimetres(name: str, sign: int = 1) -> Column:
-    return _double(name) * (sign * MILLIMETRES_PER_METRE)
+def divided(df: DataFrame, name: str, divisor: float) -> Column:
+    kind = _own_type(df, name)
+    return (F.col(name).cast("double") / _operand(divisor, kind)).cast(kind)
 
 
 def filter_member(df: DataFrame, member: int = 0) -> DataFrame:
@@ -72,11 +91,11 @@ def stg_general_water(df: DataFrame, native: bool = False) -> DataFrame:
         df,
         [
             F.col("valid_time"),
-            millimetres("tp").alias("total_precipitation"),
-            (_double("ssrd") / SECONDS_PER_DAY).alias("rayonnement_solaire_surface"),
-            millimetres("e", -1).alias("evaporation_reelle"),
-            millimetres("pev", -1).alias("evaporation_potentielle"),
-            millimetres("ro").alias("ruissellement"),
+            times(df, "tp", MILLIMETRES_PER_METRE).alias("total_precipitation"),
+            divided(df, "ssrd", SECONDS_PER_DAY).alias("rayonnement_solaire_surface"),
+            times(df, "e", -MILLIMETRES_PER_METRE).alias("evaporation_reelle"),
+            times(df, "pev", -MILLIMETRES_PER_METRE).alias("evaporation_potentielle"),
+            times(df, "ro", MILLIMETRES_PER_METRE).alias("ruissellement"),
         ],
         native,
     )
@@ -86,14 +105,14 @@ def stg_general_temp(df: DataFrame, native: bool = False) -> DataFrame:
     return _monthly(
         df,
         [
-            celsius("t2m").alias("temperature"),
-            celsius("d2m").alias("temperature_point_rosee"),
+            celsius(df, "t2m").alias("temperature"),
+            celsius(df, "d2m").alias("temperature_point_rosee"),
             F.col("si10").alias("vitesse_vent"),
-            celsius("stl1").alias("temperature_sol_couche1"),
+            celsius(df, "stl1").alias("temperature_sol_couche1"),
             F.col("swvl1").alias("humidite_volumique_sol1"),
-            celsius("sst").alias("temperature_surface_mer"),
-            (_double("sp") / PASCALS_PER_HECTOPASCAL).alias("pression_surface"),
-            (_double("msl") / PASCALS_PER_HECTOPASCAL).alias("pression_niveau_mer"),
+            celsius(df, "sst").alias("temperature_surface_mer"),
+            divided(df, "sp", PASCALS_PER_HECTOPASCAL).alias("pression_surface"),
+            divided(df, "msl", PASCALS_PER_HECTOPASCAL).alias("pression_niveau_mer"),
         ],
         native,
     )
@@ -110,27 +129,35 @@ def stg_general_waves(df: DataFrame, native: bool = False) -> DataFrame:
     )
 
 
-def _daily(df: DataFrame, measures: dict[str, Column], native: bool) -> DataFrame:
-    rounded = [round_half_away(c, MEASURE_DIGITS).alias(name) for name, c in measures.items()]
+def _daily(df: DataFrame, measures: dict[str, tuple[str, Column]], native: bool) -> DataFrame:
+    """Measures by name as (source column, expression), rounded in the source's type."""
+    rounded = [
+        round_half_away(expression, MEASURE_DIGITS).cast(_own_type(df, source)).alias(name)
+        for name, (source, expression) in measures.items()
+    ]
     return stage(df, "time", ["lat", "lon"], rounded, native)
 
 
 def stg_ag_temperature(df: DataFrame, native: bool = False) -> DataFrame:
-    measures = {f"Temp_{stat}_24h": celsius(f"Temperature_Air_2m_{stat}_24h") for stat in ("Max", "Mean", "Min")}
-    return _daily(df, measures, native)
+    sources = {f"Temp_{stat}_24h": f"Temperature_Air_2m_{stat}_24h" for stat in ("Max", "Mean", "Min")}
+    return _daily(df, {name: (source, celsius(df, source)) for name, source in sources.items()}, native)
 
 
 def stg_ag_wind(df: DataFrame, native: bool = False) -> DataFrame:
-    return _daily(df, {"Wind_Speed_10m_Mean_24h": F.col("Wind_Speed_10m_Mean_24h")}, native)
+    source = "Wind_Speed_10m_Mean_24h"
+    return _daily(df, {"Wind_Speed_10m_Mean_24h": (source, F.col(source))}, native)
 
 
 def stg_ag_humidity(df: DataFrame, native: bool = False) -> DataFrame:
-    return _daily(df, {"Relative_Humidity_12h": _double("Relative_Humidity_2m_12h") / PERCENT}, native)
+    source = "Relative_Humidity_2m_12h"
+    return _daily(df, {"Relative_Humidity_12h": (source, divided(df, source, PERCENT))}, native)
 
 
 def stg_ag_precip(df: DataFrame, native: bool = False) -> DataFrame:
-    return _daily(df, {"Precipitation_Flux": F.col("Precipitation_Flux")}, native)
+    source = "Precipitation_Flux"
+    return _daily(df, {"Precipitation_Flux": (source, F.col(source))}, native)
 
 
 def stg_ag_et(df: DataFrame, native: bool = False) -> DataFrame:
-    return _daily(df, {"Reference_Evapotranspiration": F.col("ReferenceET_PenmanMonteith_FAO56")}, native)
+    source = "ReferenceET_PenmanMonteith_FAO56"
+    return _daily(df, {"Reference_Evapotranspiration": (source, F.col(source))}, native)
