@@ -32,14 +32,26 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
 
 
 def repeat_rows(df: DataFrame, count: str) -> DataFrame:
-    """Write each row out ``count`` times, in chunks, and drop the count."""
+    """Write each row out ``count`` times and drop the count.
+
+    Counts up to ``REPEAT_CHUNK`` are written where the row is. A larger count is
+    cut into chunks that are dealt to all tasks first, so that a value holding a
+    third of a table is not written out by one of them.
+    """
     columns = [c for c in df.columns if c != count]
     n = F.col(count)
-    chunks = df.where(n > 0).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / REPEAT_CHUNK)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = df.where((n > 0) & (n <= REPEAT_CHUNK)).withColumnRenamed(count, "_size")
+    last_chunk = F.expr(f"(`{count}` - 1) div {REPEAT_CHUNK}")
+    many = (
+        df.where(n > REPEAT_CHUNK)
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+        .repartition(tasks, *columns, "_chunk")
+        .withColumn("_size", F.least(F.lit(REPEAT_CHUNK).cast("long"), n - F.col("_chunk") * REPEAT_CHUNK))
     )
-    size = F.least(F.lit(REPEAT_CHUNK).cast("long"), n - F.col("_chunk") * REPEAT_CHUNK)
-    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*columns)
+    chunks = few.select(*columns, "_size").unionAll(many.select(*columns, "_size"))
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_size")))
+    return chunks.withColumn("_copy", copy).select(*columns)
 
 
 def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -163,12 +175,12 @@ def lead_gap(df: DataFrame, lower: str, upper: str, group: Sequence[str] = ()) -
     return repeat_rows(counted_ranges(df, lower, upper, group), "n")
 
 
-def sort_mart(df: DataFrame, order_by: Sequence[str], spread: Sequence[str] = ()) -> DataFrame:
+def sort_mart(df: DataFrame, order_by: Sequence[str | Column], spread: Sequence[str] = ()) -> DataFrame:
     """Global order; ``spread`` columns let a hot leading value span several tasks."""
     return df.orderBy(*order_by, *spread)
 
 
-def storage_order(df: DataFrame, order_by: Sequence[str], spread: Sequence[str] = ()) -> DataFrame:
+def storage_order(df: DataFrame, order_by: Sequence[str | Column], spread: Sequence[str] = ()) -> DataFrame:
     """Range-partitioned and sorted inside each file: what a stored mart needs."""
     keys = [*order_by, *spread]
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)

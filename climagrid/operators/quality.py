@@ -150,9 +150,12 @@ def dq_recency(
 
 
 def dq_sequential_values(
-    df, column: str, interval=1, datepart: str | None = None, group_by: Sequence[str] = ()
+    df, column: str, interval=1, datepart: str | None = None, group_by: Sequence[str] = (), counted: bool = False
 ) -> DataFrame:
-    """Rows that are not one interval after the row before; first rows pass."""
+    """Rows that are not one interval after the row before; first rows pass.
+
+    ``counted`` returns equal rows once, with their number in ``n``.
+    """
     previous = f"previous_{slugify(column)}"
     steps = counted_lag(df, column, group_by, previous)
     if datepart:
@@ -161,7 +164,8 @@ def dq_sequential_values(
         actual = F.col(column).cast("timestamp_ntz")
     else:
         expected, actual = F.col(previous) + interval, F.col(column)
-    return repeat_rows(steps.where(actual != expected), "n")
+    failing = steps.where(actual != expected)
+    return failing if counted else repeat_rows(failing, "n")
 
 
 # How a range may follow the one before, and the words used in result columns.
@@ -179,8 +183,12 @@ def dq_mutually_exclusive_ranges(
     partition_by: str | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
-    """Ranges that are empty, reversed, open, or collide with the next one."""
+    """Ranges that are empty, reversed, open, or collide with the next one.
+
+    ``counted`` returns equal rows once, with their number in ``n``.
+    """
     if gaps not in GAP_RULES:
         raise ValueError(f"gaps must be one of {sorted(GAP_RULES)}, got {gaps!r}")
     gap_words, follows = GAP_RULES[gaps]
@@ -205,19 +213,22 @@ def dq_mutually_exclusive_ranges(
         F.coalesce(follows(high, F.col("next_lower")), F.col("is_last"), F.lit(False)).alias(gap_rule),
         "n",
     )
-    return repeat_rows(checked.where(~(F.col(length_rule) & F.col(gap_rule))), "n")
+    failing = checked.where(~(F.col(length_rule) & F.col(gap_rule)))
+    return failing if counted else repeat_rows(failing, "n")
 
 
 # --- rules over two tables -----------------------------------------------------
 
 
 def dq_relationships_where(
-    df, column: str, to: DataFrame, field: str, from_condition: str = "true", to_condition: str = "true"
+    df, column: str, to: DataFrame, field: str, from_condition: str = "true", to_condition: str = "true",
+    counted: bool = False,
 ) -> DataFrame:
     """Non-NULL child values without a parent, one row per child row.
 
     Children are counted per value before the shuffle, so a value that fills a
-    third of the table travels as one row per task.
+    third of the table travels as one row per task. ``counted`` returns (id,
+    right_id, n) instead of repeated rows, which is all a suite needs.
     """
     children = (
         df.where(F.col(column).isNotNull() & F.expr(from_condition))
@@ -225,8 +236,9 @@ def dq_relationships_where(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     parents = to.where(F.col(field).isNotNull() & F.expr(to_condition)).select(F.col(field).alias("id"))
-    orphans = repeat_rows(children.join(parents, "id", "left_anti"), "n")
-    return orphans.withColumn("right_id", F.lit(None).cast(orphans.schema["id"].dataType))
+    orphans = children.join(parents, "id", "left_anti")
+    marked = orphans.select("id", F.lit(None).cast(orphans.schema["id"].dataType).alias("right_id"), "n")
+    return marked if counted else repeat_rows(marked, "n")
 
 
 def dq_cardinality_equality(df, column: str, to: DataFrame, field: str) -> DataFrame:
@@ -301,6 +313,11 @@ def _rounded(df: DataFrame, name: str, precision: int | None) -> Column:
 # --- suites --------------------------------------------------------------------
 
 
+def counted_failures() -> Column:
+    """For checks that return equal rows once with their number."""
+    return F.sum("n")
+
+
 def equal_rowcount_failures() -> Column:
     return F.sum(F.coalesce(F.col("diff_count"), F.lit(0)))
 

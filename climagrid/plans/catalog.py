@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.sinks.tables import UNPUBLISHED
+from climagrid.sinks.tables import UNPUBLISHED, published_sizes
 
 # Description and unit of known columns, by lower-case name.
 COLUMN_INFO = {
@@ -57,6 +58,54 @@ COLUMN_INFO = {
     "coord_id": ("Identifiant de coordonnée", ""),
 }
 
+# The published datasets, by the name of their mart.
+DATASETS = {
+    "general": {
+        "group": "general",
+        "file_path": "Copernicus/General/GeneralEra5",
+        "name": "ERA5 - Données climatiques mensuelles - Djibouti",
+        "description": (
+            "Données de réanalyse climatique ERA5 (ECMWF) — extraction mensuelle pour Djibouti. "
+            "Inclut les principales variables atmosphériques et de surface : température, "
+            "précipitations, vent, pression, rayonnement solaire, humidité."
+        ),
+        "source": "Copernicus Climate Change Service (ECMWF) — ERA5",
+        "theme_slug": "meteorologie_climat",
+        "tags": ["ERA5", "climat", "mensuel", "Djibouti", "réanalyse", "ECMWF"],
+    },
+    "waves": {
+        "group": "general",
+        "file_path": "Copernicus/General/vagues",
+        "name": "ERA5 - Données de vagues océaniques - Djibouti",
+        "description": (
+            "Données de réanalyse ERA5 (ECMWF) — vagues océaniques pour Djibouti. "
+            "Inclut la direction moyenne et la période moyenne des vagues."
+        ),
+        "source": "Copernicus Climate Change Service (ECMWF) — ERA5",
+        "theme_slug": "meteorologie_climat",
+        "tags": ["ERA5", "vagues", "océanographie", "houle", "Djibouti", "réanalyse", "ECMWF"],
+    },
+    "agriculture": {
+        "group": "agriculture",
+        "file_path": "Copernicus/Agriculture/AgricultureEra5",
+        "name": "ERA5 - Indicateurs agrométéorologiques journaliers - Djibouti",
+        "description": (
+            "Indicateurs agrométéorologiques journaliers dérivés de la réanalyse ERA5 "
+            "(Copernicus C3S / AgERA5), depuis 2021 pour Djibouti, sur une grille de 0,1° "
+            "(324 points) rattachée aux 6 régions administratives. Variables : températures "
+            "de l'air à 2 m (maximale, moyenne, minimale sur 24 h), vitesse moyenne du vent "
+            "à 10 m, humidité relative à 12h00, flux de précipitations et évapotranspiration "
+            "de référence (Penman-Monteith FAO-56)."
+        ),
+        "source": "Copernicus Climate Change Service (ECMWF) — AgERA5 / ERA5",
+        "theme_slug": "meteorologie_climat",
+        "tags": [
+            "ERA5", "AgERA5", "agrométéorologie", "journalier", "Djibouti",
+            "agriculture", "évapotranspiration", "réanalyse", "ECMWF",
+        ],
+    },
+}
+
 # Type names that count as date, boolean and number, in this order.
 PORTAL_TYPES = {
     "date": ("TIMESTAMP", "DATE", "TIME"),
@@ -120,6 +169,23 @@ def nested_columns(described: DataFrame) -> DataFrame:
     )
 
 
+def dataset_rows(spark: SparkSession, group: str | None = None) -> DataFrame:
+    """The published datasets of one group, or of all, as rows."""
+    groups = {d["group"] for d in DATASETS.values()}
+    if group is not None and group not in groups:
+        raise ValueError(f"unknown group {group!r}, known are {sorted(groups)}")
+    rows = [
+        (mart, d["name"], d["description"], d["source"], d["theme_slug"], d["tags"], f"{d['file_path']}.csv")
+        for mart, d in DATASETS.items()
+        if group in (None, d["group"])
+    ]
+    schema = (
+        "dataset string, name string, description string, source string, theme_slug string, "
+        "tags array<string>, file_path string"
+    )
+    return spark.createDataFrame(rows, schema)
+
+
 def catalog_rows(datasets: DataFrame, described: DataFrame, themes: DataFrame, sizes: DataFrame) -> DataFrame:
     """Full catalogue rows of published datasets.
 
@@ -165,3 +231,23 @@ def catalog_upsert(
             value = F.when(known, own).otherwise(other)
         columns.append(value.alias(name))
     return existing.join(new, F.col(key) == F.col(f"_new_{key}"), "full").select(*columns)
+
+
+def refresh_catalog(
+    existing: DataFrame,
+    exported: Mapping[str, str],
+    published: Mapping[str, str],
+    themes: DataFrame,
+    group: str | None = None,
+) -> DataFrame:
+    """The catalogue after publishing: sizes refreshed, unknown datasets of ``group`` added.
+
+    ``exported`` gives the Parquet path and ``published`` the CSV path of each mart.
+    """
+    spark = existing.sparkSession
+    info = column_info(spark)
+    marts = {mart: spark.read.parquet(path) for mart, path in exported.items()}
+    described = reduce(DataFrame.unionAll, [described_columns(df, mart, info) for mart, df in marts.items()])
+    marts_by_path = spark.createDataFrame([(p, m) for m, p in published.items()], "path string, dataset string")
+    sizes = published_sizes(spark, list(published.values())).join(marts_by_path, "path").drop("path")
+    return catalog_upsert(existing, catalog_rows(dataset_rows(spark, group), described, themes, sizes))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from climagrid.operators.calendar import dim_datetime
+from climagrid.operators.calendar import MONTH_TEXT, dim_datetime
 from climagrid.operators.ordering import storage_order
 from climagrid.plans import marts
 from climagrid.sinks.tables import export_parquet, publish
@@ -37,8 +38,10 @@ def agriculture_marts(bronze: Mapping[str, DataFrame], edges: DataFrame, today:
     return {"agriculture": marts.fact_agriculture(agriculture)}
 
 
-# Column each mart is ordered by; coordinates spread days that hold many rows.
-MART_ORDER = {"general": "Mois_Années", "waves": "Date", "agriculture": "Date"}
+def mart_order(name: str) -> Column:
+    """What a mart is stored in order of; coordinates then spread days that hold many rows."""
+    return F.to_date("Mois_Années", MONTH_TEXT) if name == "general" else F.col("Date")
+
 
 
 def export_marts(outputs: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
@@ -46,7 +49,7 @@ def export_marts(outputs: Mapping[str, DataFrame], folder: str) -> dict[str, str
     paths = {}
     for name, mart in outputs.items():
         paths[name] = f"{folder.rstrip('/')}/{name}.parquet"
-        export_parquet(storage_order(mart, [MART_ORDER[name]], ["latitude", "longitude"]), paths[name])
+        export_parquet(storage_order(mart, [mart_order(name)], ["latitude", "longitude"]), paths[name])
     return paths
 
 

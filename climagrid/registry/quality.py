@@ -309,9 +309,11 @@ def suite(t):
         Q.RowCheck("tax_is_low", Q.bad_expression("l_tax < 0.5")),
         Q.RowCheck("returned_has_quantity", Q.bad_null("l_quantity"), where=F.col("l_returnflag") == "R", severity="warn"),
     ]
-    known = Q.dq_relationships_where(t.orders, "o_custkey", t.customer, "c_custkey", to_condition="c_acctbal > 0")
+    known = Q.dq_relationships_where(
+        t.orders, "o_custkey", t.customer, "c_custkey", to_condition="c_acctbal > 0", counted=True
+    )
     checks = [
-        Q.Check("known_customers", known),
+        Q.Check("known_customers", known, Q.counted_failures()),
         Q.Check("lines_differ", Q.dq_unique_combination(t.lineitem, ["l_orderkey", "l_linenumber"])),
         Q.Check("nations_balanced", Q.dq_equal_rowcount(*_nations(t), ["nation"]), Q.equal_rowcount_failures()),
         Q.Check("same_orders", Q.dq_equality(t.orders, t.orders), Q.equality_failures()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,12 @@ def get_session(app_name: str = "climagrid", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir(application: str) -> str:
+    """One temporary folder per local application."""
+    return tempfile.mkdtemp(prefix="climagrid-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -41,11 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="climagrid-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return _local_dir(context.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

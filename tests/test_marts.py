@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from climagrid.operators.calendar import dim_datetime
-from climagrid.plans import gold, marts, staging
-from climagrid.sinks.tables import PERIOD
+from climagrid.plans import catalog, gold, marts, staging
+from climagrid.session import cut_lineage
 
 from conftest import rows
 
@@ -176,4 +176,25 @@ def test_export_and_publish(spark, bronze, monthly, edges, folder):
     published = gold.publish_marts(spark, exported, f"{folder}/portal")
     assert "key_id" not in spark.read.csv(published["general"], header=True).columns
     assert spark.read.csv(published["agriculture"], header=True).count() == 1
-    assert PERIOD == ("year", "month")
+    themes = spark.createDataFrame([("meteorologie_climat", 3)], "slug string, id int")
+    empty = spark.createDataFrame([], CATALOG)
+    first = catalog.refresh_catalog(empty, exported, published, themes, "general")
+    assert rows(first.select("file_path", "theme_id", "file_type")) == [
+        ("Copernicus/General/GeneralEra5.csv", 3, "csv"), ("Copernicus/General/vagues.csv", 3, "csv"),
+    ]
+    stored = cut_lineage(first.withColumn("name", F.lit("Edited")).withColumn("file_size_bytes", F.lit(0).cast("long")))
+    after = catalog.refresh_catalog(stored, exported, published, themes)
+    assert rows(after.select("name", F.col("file_size_bytes") > 0)) == [
+        ("ERA5 - Indicateurs agrométéorologiques journaliers - Djibouti", True), ("Edited", True), ("Edited", True),
+    ]
+    waves = after.where("file_path like '%vagues%'").first()
+    assert [(c.name, c.type) for c in waves.columns][:2] == [("Date", "string"), ("latitude", "number")]
+    with pytest.raises(ValueError):
+        catalog.dataset_rows(spark, "nope")
+
+
+CATALOG = (
+    "name string, description string, source string, theme_id int, file_path string, file_type string, file_size_bytes bigint, "
+    "columns array<struct<name: string, description: string, unit: string, type: string>>, tags array<string>, "
+    "status string, created_by string"
+)
