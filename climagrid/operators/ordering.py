@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,7 +13,12 @@ from pyspark.sql import types as T
 
 # Rows written out per generated array when copies are expanded again.
 REPEAT_CHUNK = 65_536
-MAX_SLICES = 512
+
+# Ordered values are cut into at most this many slices.
+MAX_SLICES = 8_192
+# Share of the rows that decides where slices are cut: one cut per 100,000 rows at
+# most, and a few bytes per scan task to merge. It sets the balance, not the result.
+CUT_SHARE = 1e-5
 
 
 def top1_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -63,15 +69,41 @@ def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) ->
     return a.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _slice_points(df: DataFrame, value: str, slices: int) -> list:
-    """At most ``slices - 1`` quantiles of ``value``: a bounded driver round trip."""
+def _cut_points(df: DataFrame, value: str, slices: int) -> list:
+    """At most ``slices - 1`` quantiles of a sample of ``value``: a bounded driver round trip."""
     if slices < 2:
         return []
+    sample = df.select(value) if CUT_SHARE >= 1 else df.select(value).sample(CUT_SHARE, seed=7)
     shares = [i / slices for i in range(1, slices)]
-    points = df.agg(F.percentile_approx(value, shares, 10_000).alias("p")).first()["p"]
+    points = sample.agg(F.percentile_approx(value, shares, max(10_000, 10 * slices)).alias("p")).first()["p"]
     return sorted(set(points or []))
 
 
+def _slice_number(value: str, points: list, kind: T.DataType) -> Column:
+    """How many cut points lie below the value; NULL comes after all of them.
+
+    The points are looked up in blocks, so that thousands of them cost two short
+    scans per row instead of a long one.
+    """
+    if not points:
+        return F.when(F.col(value).isNull(), 1).otherwise(0)
+    width = math.isqrt(len(points) - 1) + 1
+    blocks = [points[i : i + width] for i in range(0, len(points), width)]
+
+    def array(values: list) -> Column:
+        return F.array(*[F.lit(v).cast(kind) for v in values])
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda cut: cut < F.col(value)))
+
+    if len(blocks) == 1:
+        position = below(array(points))
+    else:
+        block = below(array([b[-1] for b in blocks[:-1]]))
+        position = block * width + below(F.get(F.array(*[array(b) for b in blocks]), block))
+    return F.when(F.col(value).isNull(), len(points) + 1).otherwise(position)
+
+
 def with_neighbours(
     distinct: DataFrame,
     value: str,
@@ -88,22 +120,15 @@ def with_neighbours(
     (group, slice). Only the first and last value of a slice still lack a neighbour;
     those ends, at most two per slice and group, get it from a second, small window.
     NULL sorts last. ``points_from`` is a cheaper frame with the same value column
-    to take the quantiles from; they only decide the balance, never the result.
+    to take the quantiles from.
     """
     kind = distinct.schema[value].dataType
     if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{value}: numbers, dates and timestamps can be ordered in slices")
     if slices is None:
-        slices = min(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
-    points = _slice_points(distinct if points_from is None else points_from, value, slices)
-    if points:
-        cuts = F.array(*[F.lit(p).cast(kind) for p in points])
-        position = F.size(F.filter(cuts, lambda cut: cut < F.col(value)))
-    else:
-        position = F.lit(0)
-    sliced = distinct.withColumn(
-        "_slice", F.when(F.col(value).isNull(), len(points) + 1).otherwise(position)
-    )
+        slices = min(2 * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
+    points = _cut_points(distinct if points_from is None else points_from, value, slices)
+    sliced = distinct.withColumn("_slice", _slice_number(value, points, kind))
     order = F.asc_nulls_last(value)
     inside = W.partitionBy(*group, "_slice").orderBy(order)
     across = W.partitionBy(*(group or [F.lit(0)])).orderBy(order)

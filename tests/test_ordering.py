@@ -22,11 +22,26 @@ def brute_lag(pairs):
     return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("slices", [1, 3, 8])
+@pytest.fixture(autouse=True)
+def every_row_may_be_a_cut(monkeypatch):
+    """Small fixtures would hold no sampled cut, so all rows are taken."""
+    monkeypatch.setattr(O, "CUT_SHARE", 1.0)
+
+
+def test_slice_numbers_count_the_cuts_below(spark):
+    points = [3 * i for i in range(11)]
+    df = spark.createDataFrame([(v,) for v in [None, *range(-2, 40)]], "v int")
+    for n in (0, 1, 4, 11):
+        number = O._slice_number("v", points[:n], T.IntegerType())
+        for v, found in df.select("v", number).collect():
+            assert found == (n + 1 if v is None else sum(p < v for p in points[:n]))
+
+
+@pytest.mark.parametrize("slices", [1, 3, 8, 40])
 def test_neighbours_in_any_number_of_slices(spark, slices):
     random.seed(slices)
     keys = [None, "a", "b"]
-    pairs = {(random.choice(keys), random.choice([None, *range(40)])) for _ in range(80)}
+    pairs = {(random.choice(keys), random.choice([None, *range(80)])) for _ in range(160)}
     df = spark.createDataFrame(list(pairs), "g string, v int")
     out = O.with_neighbours(df, "v", ["g"], slices=slices)
     expected = {}
