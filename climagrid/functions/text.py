@@ -28,24 +28,13 @@ def float_text(value) -> Column:
     """
     x = to_column(value)
     text = x.cast("string")
+    digits = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), r"0+$", "")
+    plain = F.regexp_replace(digits, r"\.$", ".0")
+    signed = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E-", "e-"), r"(\.0)?E", "e+")
+    scientific = F.regexp_replace(signed, r"e([+-])(\d)$", "e$10$2")
     size = F.abs(x)
-    digits = F.rtrim(text.cast("decimal(38,22)").cast("string"), F.lit("0"))
-    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
-    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
-    exponent = F.split_part(text, F.lit("E"), F.lit(2)).cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
-    )
-    return (
-        F.when(~F.contains(text, F.lit("E")), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(
-            F.when(exponent.between(-99, 99), scientific).otherwise(
-                F.concat(mantissa, F.when(exponent < 0, "e").otherwise("e+"), exponent.cast("string"))
-            )
-        )
+    return F.when(~F.contains(text, F.lit("E")), text).otherwise(
+        F.when((size >= 1e-4) & (size < 1e16), plain).otherwise(scientific)
     )
 
 

@@ -40,24 +40,20 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
 def repeat_rows(df: DataFrame, count: str) -> DataFrame:
     """Write each row out ``count`` times and drop the count.
 
-    Counts up to ``REPEAT_CHUNK`` are written where the row is. A larger count is
-    cut into chunks that are dealt to all tasks first, so that a value holding a
-    third of a table is not written out by one of them.
+    Counts are cut into chunks that are dealt to all tasks before they are written
+    out, so that a value holding a third of a table is not written by one of them.
+    What is shuffled are counted rows, or for a check only its failing ones.
     """
     columns = [c for c in df.columns if c != count]
-    n = F.col(count)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    few = df.where((n > 0) & (n <= REPEAT_CHUNK)).withColumnRenamed(count, "_size")
     last_chunk = F.expr(f"(`{count}` - 1) div {REPEAT_CHUNK}")
-    many = (
-        df.where(n > REPEAT_CHUNK)
+    chunks = (
+        df.where(F.col(count) > 0)
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
         .repartition(tasks, *columns, "_chunk")
-        .withColumn("_size", F.least(F.lit(REPEAT_CHUNK).cast("long"), n - F.col("_chunk") * REPEAT_CHUNK))
     )
-    chunks = few.select(*columns, "_size").unionAll(many.select(*columns, "_size"))
-    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_size")))
-    return chunks.withColumn("_copy", copy).select(*columns)
+    size = F.least(F.lit(REPEAT_CHUNK).cast("long"), F.col(count) - F.col("_chunk") * REPEAT_CHUNK)
+    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*columns)
 
 
 def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

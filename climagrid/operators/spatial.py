@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.functions.arithmetic import round_half_away
@@ -13,6 +13,9 @@ from climagrid.operators.ordering import top1_per_group
 MONTHLY_HALF_CELL = 0.125
 DAILY_HALF_CELL = 0.05
 
+# Keys over which the edges of one tile are spread.
+EDGE_SALTS = 4
+
 # Digits kept of an overlap area in square degrees. Float noise stays below.
 AREA_DIGITS = 12
 
@@ -36,18 +39,18 @@ def cell_envelope(
     )
 
 
-def _tiles(low: Column, high: Column, tile: float) -> Column:
-    return F.explode(F.sequence(F.floor(low / tile), F.floor(high / tile)))
+def _tiles(low: str, high: str, tile: float) -> str:
+    """The numbers of the tiles an interval touches, one row each."""
+    return f"explode(sequence(floor({low} / {tile}D), floor({high} / {tile}D)))"
 
 
-def _area_above(level: Column, left: Column, right: Column, width: Column) -> Column:
-    """Integral of max(y - level, 0) along a straight line from ``left`` to ``right``."""
-    u, v = left - level, right - level
-    crossing = F.pow(F.greatest(u, v), 2) / (2 * F.abs(v - u)) * width
+def _area_above(level: str) -> str:
+    """Integral of max(y - level, 0) along a straight line from height a to b over width w."""
+    u, v = f"(a - {level})", f"(b - {level})"
+    crossing = f"pow(greatest({u}, {v}), 2) / (2 * abs({v} - {u})) * w"
     return (
-        F.when((u >= 0) & (v >= 0), (u + v) / 2 * width)
-        .when((u <= 0) & (v <= 0), 0.0)
-        .otherwise(crossing)
+        f"CASE WHEN {u} >= 0 AND {v} >= 0 THEN ({u} + {v}) / 2 * w "
+        f"WHEN {u} <= 0 AND {v} <= 0 THEN 0D ELSE {crossing} END"
     )
 
 
@@ -58,23 +61,23 @@ def _weighted_edges(edges: DataFrame) -> DataFrame:
     """
     ring = ["region", "poly", "ring"]
     rings = edges.groupBy(*ring).agg(
-        F.min(F.least("y1", "y2")).alias("floor_y"),
-        F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")).alias("_turn"),
+        F.expr("min(least(y1, y2))").alias("floor_y"), F.expr("signum(sum(x1 * y2 - x2 * y1))").alias("turn")
     )
-    part = F.when(F.col("ring") == 0, -1.0).otherwise(1.0)
-    direction = F.signum(F.col("x2") - F.col("x1"))
-    return (
-        edges.join(rings, ring)
-        .where("x1 <> x2")
-        .withColumn("weight", part * F.signum("_turn") * direction)
-        .withColumn("slope", (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1")))
-        .withColumn("xmin", F.least("x1", "x2"))
-        .withColumn("xmax", F.greatest("x1", "x2"))
-        .withColumn("ymax", F.greatest("y1", "y2"))
+    return edges.where("x1 <> x2").join(rings, ring).selectExpr(
+        "region",
+        "pmod(hash(poly, ring, seq), {salts}) AS salt".format(salts=EDGE_SALTS),
+        "CASE WHEN ring = 0 THEN -turn ELSE turn END * signum(x2 - x1) AS weight",
+        "x1 AS ax",
+        "y1 AS ay",
+        "(y2 - y1) / (x2 - x1) AS slope",
+        "least(x1, x2) AS xmin",
+        "greatest(x1, x2) AS xmax",
+        "greatest(y1, y2) AS ymax",
+        "floor_y",
     )
 
 
-def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0, salts: int = 4) -> DataFrame:
+def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0) -> DataFrame:
     """Overlap area of every (cell, region) that share some area.
 
     The area of a ring inside a cell is the signed sum, over its edges, of the
@@ -82,42 +85,28 @@ def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0,
     ring's lowest point, so edges and cells meet as rectangles: both are listed
     by the tiles they cover and joined on the tile, and a pair is kept only in the
     tile that holds the lower left corner of what they share. Edges of a crowded
-    tile are spread over ``salts`` keys. Partial areas are summed before the shuffle.
+    tile are spread over ``EDGE_SALTS`` keys. Partial areas are summed before the
+    shuffle.
     """
-    salt = F.pmod(F.hash("poly", "ring", "seq"), F.lit(salts))
-    shadows = (
-        _weighted_edges(edges)
-        .withColumn("tx", _tiles(F.col("xmin"), F.col("xmax"), tile))
-        .withColumn("ty", _tiles(F.col("floor_y"), F.col("ymax"), tile))
-        .withColumn("salt", salt)
-    )
-    tiled = (
-        cells.withColumn("tx", _tiles(F.col("x0"), F.col("x1"), tile))
-        .withColumn("ty", _tiles(F.col("y0"), F.col("y1"), tile))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    left, low = F.greatest("x0", "xmin"), F.greatest("y0", "floor_y")
-    right = F.least("x1", "xmax")
+    shadows = _weighted_edges(edges).selectExpr("*", f"{_tiles('xmin', 'xmax', tile)} AS tx")
+    shadows = shadows.selectExpr("*", f"{_tiles('floor_y', 'ymax', tile)} AS ty")
+    tiled = cells.selectExpr("*", f"{_tiles('x0', 'x1', tile)} AS tx").selectExpr("*", f"{_tiles('y0', 'y1', tile)} AS ty")
+    tiled = tiled.selectExpr("*", f"explode(sequence(0, {EDGE_SALTS - 1})) AS salt")
+    left, low, right = "greatest(x0, xmin)", "greatest(y0, floor_y)", "least(x1, xmax)"
     pairs = (
-        tiled.join(
-            shadows.select(
-                "tx", "ty", "salt", "region", "weight", "slope", "xmin", "xmax", "ymax", "floor_y",
-                F.col("x1").alias("ax"), F.col("y1").alias("ay"),
-            ),
-            ["tx", "ty", "salt"],
+        tiled.join(shadows, ["tx", "ty", "salt"])
+        .where(f"{left} < {right} AND ymax > y0 AND floor_y < y1")
+        .where(f"floor({left} / {tile}D) = tx AND floor({low} / {tile}D) = ty")
+        .selectExpr(
+            "latitude", "longitude", "region", "weight", "y0", "y1",
+            f"ay + slope * ({left} - ax) AS a", f"ay + slope * ({right} - ax) AS b", f"{right} - {left} AS w",
         )
-        .where((left < right) & (F.col("ymax") > F.col("y0")) & (F.col("floor_y") < F.col("y1")))
-        .where((F.floor(left / tile) == F.col("tx")) & (F.floor(low / tile) == F.col("ty")))
-        .withColumn("_a", F.col("ay") + F.col("slope") * (left - F.col("ax")))
-        .withColumn("_b", F.col("ay") + F.col("slope") * (right - F.col("ax")))
-        .withColumn("_w", right - left)
     )
-    a, b, w = F.col("_a"), F.col("_b"), F.col("_w")
-    below = _area_above(F.col("y0"), a, b, w) - _area_above(F.col("y1"), a, b, w)
+    below = F.expr(f"sum(weight * (({_area_above('y0')}) - ({_area_above('y1')})))")
     return (
         pairs.groupBy("latitude", "longitude", "region")
-        .agg(round_half_away(F.sum(F.col("weight") * below), AREA_DIGITS).alias("overlap_area"))
-        .where(F.col("overlap_area") > 0)
+        .agg(round_half_away(below, AREA_DIGITS).alias("overlap_area"))
+        .where("overlap_area > 0")
     )
 
 

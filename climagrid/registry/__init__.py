@@ -17,10 +17,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self._folder = folder
+        self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        # Stored on the instance, so that a table's footer is read once per query.
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def query(name: str, sql: str | None = None):

@@ -66,7 +66,7 @@ def missing_months_from(t):
 
 @query(
     "plan_batches",
-    f"""WITH {_MARKS}, {_AFTER},
+    f"""WITH {_MARKS}, {_AFTER.replace('1940-01-01', '1980-01-01')},
         per_year AS (SELECT variable, year, count(DISTINCT month) AS n, string_agg(DISTINCT lpad(CAST(month AS VARCHAR), 2, '0'),
           ',' ORDER BY lpad(CAST(month AS VARCHAR), 2, '0')) AS months FROM months GROUP BY 1, 2),
         whole AS (SELECT variable, (row_number() OVER (PARTITION BY variable ORDER BY year) - 1) // 10 AS chunk, year, months
@@ -81,7 +81,7 @@ def missing_months_from(t):
           CAST(year AS VARCHAR), months FROM part""",
 )
 def plan_batches(t):
-    plan = I.plan_batches(I.missing_months_after(_marks(t), TODAY), ["variable"])
+    plan = I.plan_batches(I.missing_months_after(_marks(t), TODAY, first=date(1980, 1, 1)), ["variable"])
     return plan.withColumn("years", F.array_join("years", ",")).withColumn("months", F.array_join("months", ","))
 
 

@@ -106,7 +106,7 @@ def named_table(t):
     "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'",
 )
 def parquet_file(t):
-    orders = scan_parquet(t.spark, f"{t._folder}/orders.parquet", ["o_orderkey", "o_totalprice", "o_orderdate"])
+    orders = scan_parquet(t.spark, f"{t.folder}/orders.parquet", ["o_orderkey", "o_totalprice", "o_orderdate"])
     recent = orders.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     return recent.select("o_orderkey", "o_totalprice")
 

@@ -23,6 +23,8 @@ def get_session(app_name: str = "climagrid", master: str | None = None, **conf)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # Recording the Python line of every expression costs more than the expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app_name)
