@@ -16,9 +16,11 @@ REPEAT_CHUNK = 65_536
 
 # Ordered values are cut into at most this many slices.
 MAX_SLICES = 8_192
-# Share of the rows that decides where slices are cut: one cut per 100,000 rows at
-# most, and a few bytes per scan task to merge. It sets the balance, not the result.
-CUT_SHARE = 1e-5
+# Slices per shuffle partition: several, so that hashing them spreads evenly.
+SLICES_PER_PARTITION = 4
+# Share of the rows that decides where slices are cut: one cut per 10,000 rows at
+# most, and a few kilobytes per scan task to merge. It sets the balance, not the result.
+CUT_SHARE = 1e-4
 
 
 def top1_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -122,7 +124,8 @@ def with_neighbours(
     if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{value}: numbers, dates and timestamps can be ordered in slices")
     if slices is None:
-        slices = min(2 * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
+        partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = min(SLICES_PER_PARTITION * partitions, MAX_SLICES)
     points = _cut_points(distinct if points_from is None else points_from, value, slices)
     sliced = distinct.withColumn("_slice", _slice_number(value, points, kind))
     order = F.asc_nulls_last(value)

@@ -5,21 +5,22 @@ md5 key made of the same three values: the key is a longer text that every side
 would have to hash and ship, and Spark then builds it only for published rows.
 Rows with a NULL coordinate or day never reach a mart, because they find neither
 a region nor a date. Region and date dimensions are joined first, and every other
-side is cut down to the cells of the region map, so rows outside the regions are
-gone before the wide joins shuffle. Both dimensions are broadcast only after
+side is cut down to the bounds and cells of the region map, so rows outside the
+regions are gone before the wide joins shuffle. Both dimensions are broadcast only after
 their rows have been counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.operators.spatial import DAILY_HALF_CELL, MONTHLY_HALF_CELL, cell_envelope, cell_region_map
 from climagrid.plans import staging
-from climagrid.session import broadcast_if_small, cut_lineage, is_small
+from climagrid.session import BROADCAST_MAX_ROWS, broadcast_if_small, cut_lineage
 
 
 def region_map(points: DataFrame, edges: DataFrame, half: float, latitude: str, longitude: str) -> DataFrame:
@@ -41,29 +42,52 @@ def daily_region_map(temperature: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _with_dimensions(
-    observations: DataFrame, coordinates: list[str], dates: DataFrame, cells: DataFrame
+    observations: DataFrame, coordinates: list[str], dates: DataFrame, cells: MappedCells
 ) -> DataFrame:
     """Observations inside the regions and the calendar, with the columns of both."""
+    near = _inside(observations, coordinates, replace(cells, small=False))
     days = broadcast_if_small(dates).select(
         F.col("datetime").cast("date").alias("obs_day"), "datetime_id", "datetime", "year", "month_year"
     )
-    return observations.join(cells, coordinates).join(days, "obs_day")
+    return near.join(cells.frame, coordinates).join(days, "obs_day")
 
 
-def _cells(regions: DataFrame, latitude: str, longitude: str) -> tuple[DataFrame, bool]:
-    """The region map under the observations' names, and whether it is broadcast."""
+@dataclass(frozen=True)
+class MappedCells:
+    """The region map under the observations' names, with its counted size and bounds."""
+
+    frame: DataFrame
+    small: bool
+    bounds: tuple[float | None, ...]
+
+
+def _cells(regions: DataFrame, latitude: str, longitude: str) -> MappedCells:
+    """Read the stored map once for its size and its bounds."""
     cells = regions.select(
         F.col("latitude").alias(latitude),
         F.col("longitude").alias(longitude),
         F.col("region").alias("Region"),
     )
-    small = is_small(regions)
-    return (F.broadcast(cells) if small else cells), small
+    extent = [f(c) for c in ("latitude", "longitude") for f in (F.min, F.max)]
+    n, *bounds = regions.agg(F.count(F.lit(1)), *extent).first()
+    small = n <= BROADCAST_MAX_ROWS
+    return MappedCells(F.broadcast(cells) if small else cells, small, tuple(bounds))
 
 
-def _inside(observations: DataFrame, coordinates: list[str], cells: DataFrame, small: bool) -> DataFrame:
-    """Observations of mapped cells. Rows elsewhere cannot match; dropping them pays if it is free."""
-    return observations.join(cells, coordinates, "left_semi") if small else observations
+def _inside(observations: DataFrame, coordinates: list[str], cells: MappedCells) -> DataFrame:
+    """Observations that can have a region.
+
+    The bounds of the map reach the scan, where they skip row groups. A map small
+    enough to broadcast also drops the cells between its members; a larger one
+    would cost a shuffle for that.
+    """
+    (latitude, longitude), (south, north, west, east) = coordinates, cells.bounds
+    if south is None:
+        return observations.where("false")
+    near = observations.where(
+        F.col(latitude).between(south, north) & F.col(longitude).between(west, east)
+    )
+    return near.join(cells.frame, coordinates, "left_semi") if cells.small else near
 
 
 def int_general(water: DataFrame, temp: DataFrame, dates: DataFrame, regions: DataFrame) -> DataFrame:
@@ -74,9 +98,9 @@ def int_general(water: DataFrame, temp: DataFrame, dates: DataFrame, regions: Da
     first, and temperature is attached by a left join to what remains.
     """
     coordinates = ["latitude", "longitude"]
-    cells, small = _cells(regions, *coordinates)
+    cells = _cells(regions, *coordinates)
     base = _with_dimensions(staging.stg_general_water(water, native=True), coordinates, dates, cells)
-    second = _inside(staging.stg_general_temp(temp, native=True), coordinates, cells, small)
+    second = _inside(staging.stg_general_temp(temp, native=True), coordinates, cells)
     joined = base.join(
         second.select(
             *coordinates,
@@ -168,14 +192,14 @@ DAILY_PRODUCTS = {
 def int_agriculture(bronze: Mapping[str, DataFrame], dates: DataFrame, regions: DataFrame) -> DataFrame:
     """Daily observations present in all five products, with date and region, 16 columns."""
     coordinates = ["lat", "lon"]
-    cells, small = _cells(regions, *coordinates)
+    cells = _cells(regions, *coordinates)
     joined = None
     for name, (stage, measures) in DAILY_PRODUCTS.items():
         staged = stage(bronze[name], native=True)
         if joined is None:
             joined = _with_dimensions(staged, coordinates, dates, cells)
         else:
-            inside = _inside(staged, coordinates, cells, small)
+            inside = _inside(staged, coordinates, cells)
             joined = joined.join(inside, [*coordinates, "obs_day"])
     return staging.with_keys(joined, coordinates).select(
         "key_id",

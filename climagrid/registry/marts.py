@@ -16,6 +16,7 @@ from climagrid.registry.standins import (
     waves_bronze,
     with_ctes,
 )
+from climagrid.session import broadcast_if_small
 from climagrid.sources.regions import region_names
 
 
@@ -198,8 +199,8 @@ def full_then_inner(t):
     t2 = temp.select(F.col("key_id").alias("key_2"), "temperature")
     return (
         water.join(t2, F.col("key_id") == F.col("key_2"), "full")
-        .join(F.broadcast(dates(t).select("datetime_id", "year")), "datetime_id")
-        .join(regions.select("coord_id", "region"), "coord_id")
+        .join(broadcast_if_small(dates(t)).select("datetime_id", "year"), "datetime_id")
+        .join(broadcast_if_small(regions).select("coord_id", "region"), "coord_id")
         .select("key_id", "year", "region", "total_precipitation", "temperature")
     )
 

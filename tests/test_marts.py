@@ -127,13 +127,26 @@ def test_large_region_map_is_not_broadcast(spark, bronze, edges, monkeypatch):
     dates = dim_datetime(spark, date(2024, 3, 1))
     regions = marts.daily_region_map(bronze["temperature"], edges)
     small = marts.int_agriculture(bronze, dates, regions)
-    monkeypatch.setattr(marts, "is_small", lambda df: False)
+    monkeypatch.setattr(marts, "BROADCAST_MAX_ROWS", 0)
     large = marts.int_agriculture(bronze, dates, regions)
     assert rows(large) == rows(small)
     assert "LeftSemi" in small._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" not in large._jdf.queryExecution().executedPlan().toString()
 
 
+def test_map_bounds_reach_the_scan(spark, bronze, edges, folder):
+    regions = marts.daily_region_map(bronze["temperature"], edges)
+    stored = {}
+    for name, df in bronze.items():
+        df.write.parquet(f"{folder}/{name}")
+        stored[name] = spark.read.parquet(f"{folder}/{name}")
+    out = marts.int_agriculture(stored, dim_datetime(spark, date(2024, 3, 1)), regions)
+    scans = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert len(scans) == 5 and all("GreaterThanOrEqual(lat,11.5)" in s for s in scans)
+    nowhere = marts.int_agriculture(stored, dim_datetime(spark, date(2024, 3, 1)), regions.where("false"))
+    assert nowhere.count() == 0
+
+
 @pytest.fixture(scope="module")
 def monthly(spark):
     base = "valid_time timestamp_ntz, latitude double, longitude double, number int, expver string, "
