@@ -27,13 +27,22 @@ def high_water_mark(seeds: DataFrame, observations: DataFrame, variable: str, ti
 
 
 def _months(marks: DataFrame, first: Column, cutoff: Column) -> DataFrame:
-    months = F.when(first <= cutoff, F.sequence(first, cutoff, F.expr("interval 1 month")))
+    """One row per missing month from ``first`` to ``cutoff``.
+
+    Marks are few and small, so adaptive execution leaves them in one task, which
+    would then write out every month. Years are listed first and dealt to a fixed
+    number of tasks; grouping by year afterwards needs no other shuffle.
+    """
     others = [c for c in marks.columns if c != "latest"]
-    return marks.select(*others, F.explode(months).alias("month_start")).select(
-        *others,
-        "month_start",
-        F.year("month_start").alias("year"),
-        F.month("month_start").alias("month"),
+    tasks = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    years = F.when(first <= cutoff, F.sequence(F.year(first), F.year(cutoff)))
+    from_month = F.when(F.col("year") == F.year("_first"), F.month("_first")).otherwise(1)
+    to_month = F.when(F.col("year") == F.year("_cutoff"), F.month("_cutoff")).otherwise(12)
+    return (
+        marks.select(*others, first.alias("_first"), cutoff.alias("_cutoff"), F.explode(years).alias("year"))
+        .repartition(tasks, *others, "year")
+        .select(*others, "year", F.explode(F.sequence(from_month, to_month)).alias("month"))
+        .select(*others, F.make_date("year", "month", F.lit(1)).alias("month_start"), "year", "month")
     )
 
 
