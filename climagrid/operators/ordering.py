@@ -34,9 +34,18 @@ def top1_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Colum
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    """One row per key; rows with NULLs stay, NULL keys form one group."""
-    return top1_per_group(df, partition_by, order_by)
+def deduplicate(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], keep_nulls: bool = True
+) -> DataFrame:
+    """One row per key; NULL keys form one group.
+
+    Without ``keep_nulls`` a chosen row that holds a NULL anywhere is dropped, which is what
+    picking it by a natural join of the table with itself amounts to.
+    """
+    chosen = top1_per_group(df, partition_by, order_by)
+    if keep_nulls:
+        return chosen
+    return chosen.where(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in df.columns]))
 
 
 def repeat_rows(df: DataFrame, count: str) -> DataFrame:

@@ -129,6 +129,20 @@ def deduplicate(t):
     return O.deduplicate(t.events, ["user_id", "event_type"], [F.desc("ts"), F.asc("event_id")])
 
 
+@query(
+    "deduplicate_natural",
+    """WITH data AS (SELECT user_id, event_type, nullif(event_id % 10, 3) AS digit, event_id FROM events),
+         ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM data)
+       SELECT DISTINCT data.* FROM data NATURAL JOIN ranked WHERE ranked.rn = 1""",
+)
+def deduplicate_natural(t):
+    """The variant that picks rows by a natural join: chosen rows with a NULL are gone."""
+    data = t.events.select(
+        "user_id", "event_type", F.expr("nullif(event_id % 10, 3)").alias("digit"), "event_id"
+    )
+    return O.deduplicate(data, ["user_id", "event_type"], [F.asc("event_id")], keep_nulls=False)
+
+
 _RANGES = """SELECT l_suppkey, CAST(l_shipdate AS DATE) AS lower_day,
   CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS upper_day, l_orderkey, l_linenumber, l_partkey FROM lineitem"""
 

@@ -109,6 +109,9 @@ def test_top1_prunes_before_the_shuffle(spark):
 def test_deduplicate_keeps_rows_with_nulls(spark):
     df = spark.createDataFrame([(None, None), (None, 1), (2, None)], "k int, v int")
     assert rows(O.deduplicate(df, ["k"], [F.asc_nulls_last("v")])) == [(2, None), (None, 1)]
+    assert rows(O.deduplicate(df, ["k"], [F.asc_nulls_last("v")], keep_nulls=False)) == []
+    full = df.unionAll(spark.createDataFrame([(5, 6), (5, 7)], df.schema))
+    assert rows(O.deduplicate(full, ["k"], [F.desc("v")], keep_nulls=False)) == [(5, 7)]
 
 
 def test_sorts(spark):
