@@ -54,31 +54,31 @@ def _area_above(level: str) -> str:
     )
 
 
-def _weighted_edges(edges: DataFrame) -> DataFrame:
-    """Non-vertical edges with their sign and the lowest y of their ring.
+def _oriented_edges(edges: DataFrame) -> DataFrame:
+    """Edges from left to right with their sign and the lowest y of their ring.
 
     Outer rings count plus, holes minus, whatever direction they are drawn in.
+    Vertical edges have no slope and no sign; they only matter for touching.
     """
     ring = ["region", "poly", "ring"]
     rings = edges.groupBy(*ring).agg(
         F.expr("min(least(y1, y2))").alias("floor_y"), F.expr("signum(sum(x1 * y2 - x2 * y1))").alias("turn")
     )
-    return edges.where("x1 <> x2").join(rings, ring).selectExpr(
+    return edges.join(rings, ring).selectExpr(
         "region",
-        "pmod(hash(poly, ring, seq), {salts}) AS salt".format(salts=EDGE_SALTS),
+        f"pmod(hash(poly, ring, seq), {EDGE_SALTS}) AS salt",
         "CASE WHEN ring = 0 THEN -turn ELSE turn END * signum(x2 - x1) AS weight",
-        "x1 AS ax",
-        "y1 AS ay",
-        "(y2 - y1) / (x2 - x1) AS slope",
         "least(x1, x2) AS xmin",
         "greatest(x1, x2) AS xmax",
-        "greatest(y1, y2) AS ymax",
+        "CASE WHEN x1 <= x2 THEN y1 ELSE y2 END AS yl",
+        "CASE WHEN x1 <= x2 THEN y2 ELSE y1 END AS yr",
+        "(y2 - y1) / nullif(x2 - x1, 0D) AS slope",
         "floor_y",
     )
 
 
 def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0) -> DataFrame:
-    """Overlap area of every (cell, region) that share some area.
+    """Overlap area of every (cell, region) that meet; 0 where they only touch.
 
     The area of a ring inside a cell is the signed sum, over its edges, of the
     part of the cell below the edge. An edge matters to cells under it down to the
@@ -88,32 +88,36 @@ def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0)
     tile are spread over ``EDGE_SALTS`` keys. Partial areas are summed before the
     shuffle.
     """
-    shadows = _weighted_edges(edges).selectExpr("*", f"{_tiles('xmin', 'xmax', tile)} AS tx")
-    shadows = shadows.selectExpr("*", f"{_tiles('floor_y', 'ymax', tile)} AS ty")
+    shadows = _oriented_edges(edges).selectExpr("*", f"{_tiles('xmin', 'xmax', tile)} AS tx")
+    shadows = shadows.selectExpr("*", f"{_tiles('floor_y', 'greatest(yl, yr)', tile)} AS ty")
     tiled = cells.selectExpr("*", f"{_tiles('x0', 'x1', tile)} AS tx").selectExpr("*", f"{_tiles('y0', 'y1', tile)} AS ty")
     tiled = tiled.selectExpr("*", f"explode(sequence(0, {EDGE_SALTS - 1})) AS salt")
     left, low, right = "greatest(x0, xmin)", "greatest(y0, floor_y)", "least(x1, xmax)"
     pairs = (
         tiled.join(shadows, ["tx", "ty", "salt"])
-        .where(f"{left} < {right} AND ymax > y0 AND floor_y < y1")
+        .where(f"{left} <= {right} AND greatest(yl, yr) >= y0 AND floor_y <= y1")
         .where(f"floor({left} / {tile}D) = tx AND floor({low} / {tile}D) = ty")
         .selectExpr(
-            "latitude", "longitude", "region", "weight", "y0", "y1",
-            f"ay + slope * ({left} - ax) AS a", f"ay + slope * ({right} - ax) AS b", f"{right} - {left} AS w",
+            "latitude", "longitude", "region", "weight", "y0", "y1", f"{right} - {left} AS w",
+            # Heights at the ends of the shared stretch; exact where the edge itself ends.
+            "CASE WHEN x0 <= xmin THEN yl ELSE yl + slope * (x0 - xmin) END AS a",
+            "CASE WHEN x1 >= xmax THEN yr ELSE yl + slope * (x1 - xmin) END AS b",
         )
     )
     below = F.expr(f"sum(weight * (({_area_above('y0')}) - ({_area_above('y1')})))")
+    touching = F.expr("max(least(a, b) <= y1 AND greatest(a, b) >= y0)")
     return (
         pairs.groupBy("latitude", "longitude", "region")
-        .agg(round_half_away(below, AREA_DIGITS).alias("overlap_area"))
-        .where("overlap_area > 0")
+        .agg(round_half_away(below, AREA_DIGITS).alias("overlap_area"), touching.alias("touching"))
+        .where("overlap_area > 0 OR touching")
+        .drop("touching")
     )
 
 
 def cell_region_map(cells: DataFrame, edges: DataFrame, tile: float = 1.0) -> DataFrame:
     """The region with the largest overlap for every cell; equal areas go by name.
 
-    Cells that share no area with any region are left out.
+    A cell that only touches regions still gets one; a cell that meets none is left out.
     """
     overlaps = join_spatial_overlap(cells, edges, tile)
     best = top1_per_group(

@@ -205,26 +205,28 @@ def _area_above(level: str) -> str:
 
 
 def overlaps_sql(points: str, latitude: str, longitude: str, half: float) -> str:
-    """Overlap areas by clamping every edge to every cell."""
+    """Overlap areas, and mere touching, by clamping every edge to every cell."""
     return f"""
       SELECT latitude, longitude, region, round(abs(sum(part)), 12) AS overlap_area
       FROM (
-        SELECT latitude, longitude, region,
+        SELECT latitude, longitude, region, bool_or(least(a, b) <= y1c AND greatest(a, b) >= y0c) AS touching,
                CASE WHEN ring = 0 THEN 1 ELSE -1 END
                * abs(sum(sign(x2 - x1) * (({_area_above('y0c')}) - ({_area_above('y1c')})))) AS part
         FROM (
-          SELECT *, y1 + (y2 - y1) / (x2 - x1) * (lo - x1) AS a,
-                 y1 + (y2 - y1) / (x2 - x1) * (hi - x1) AS b, hi - lo AS w
+          SELECT *, CASE WHEN x0c <= least(x1, x2) THEN CASE WHEN x1 <= x2 THEN y1 ELSE y2 END ELSE
+                 CASE WHEN x1 <= x2 THEN y1 ELSE y2 END + (y2 - y1) / (x2 - x1) * (x0c - least(x1, x2)) END AS a,
+                 CASE WHEN x1c >= greatest(x1, x2) THEN CASE WHEN x1 <= x2 THEN y2 ELSE y1 END ELSE
+                 CASE WHEN x1 <= x2 THEN y1 ELSE y2 END + (y2 - y1) / (x2 - x1) * (x1c - least(x1, x2)) END AS b, hi - lo AS w
           FROM (
             SELECT c.*, e.*, greatest(x0c, least(x1, x2)) AS lo, least(x1c, greatest(x1, x2)) AS hi
             FROM (SELECT latitude, longitude, longitude - {half}e0 AS x0c, latitude - {half}e0 AS y0c,
                          longitude + {half}e0 AS x1c, latitude + {half}e0 AS y1c
                   FROM (SELECT DISTINCT {latitude} AS latitude, {longitude} AS longitude FROM {points})) c
             CROSS JOIN edges e
-          ) WHERE lo < hi
+          ) WHERE lo <= hi
         ) GROUP BY latitude, longitude, region, poly, ring
       ) GROUP BY latitude, longitude, region
-      HAVING round(abs(sum(part)), 12) > 0"""
+      HAVING round(abs(sum(part)), 12) > 0 OR bool_or(touching)"""
 
 
 def key_sql(*fields: str) -> str:
