@@ -113,13 +113,13 @@ def dq_at_least_one(df, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     pruned = df.select(*dict.fromkeys([*group_by, column]))
     if not group_by:
         pruned = pruned.where(F.col(column).isNotNull()).limit(1)
-    return pruned.groupBy(*group_by).agg(F.count(column).alias("n_values")).where("n_values = 0")
+    return pruned.groupBy(*group_by).agg(F.count(column).alias("filler_column")).where("filler_column = 0")
 
 
 def dq_not_constant(df, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     """Groups with exactly one distinct non-NULL value."""
-    counted = df.groupBy(*group_by).agg(F.count_distinct(column).alias("n_values"))
-    return counted.where("n_values = 1")
+    counted = df.groupBy(*group_by).agg(F.count_distinct(column).alias("filler_column"))
+    return counted.where("filler_column = 1")
 
 
 def dq_not_null_proportion(

@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Fixed value: default name of the column that tells where a row came from.
+SOURCE_COLUMN = "_dbt_source_relation"
+
+
 def union_relations(
     relations: Mapping[str, DataFrame],
     column_override: Mapping[str, str] | None = None,
     include: Sequence[str] = (),
     exclude: Sequence[str] = (),
-    source_column_name: str | None = "_source_relation",
+    source_column_name: str | None = SOURCE_COLUMN,
     where: str | None = None,
 ) -> DataFrame:
     """UNION ALL over the column superset.

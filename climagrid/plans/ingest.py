@@ -20,10 +20,18 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def newest(spark: SparkSession, path: str, time: str) -> DataFrame:
-    """(latest) of the table at ``path``; NULL when it is missing or empty."""
+    """(latest) of the table at ``path``; NULL when it is missing or empty.
+
+    The newest period is found from partition values alone, so times are read
+    from a single month.
+    """
     table = stored(spark, path)
     if table is None:
         return spark.range(1).select(F.lit(None).cast("timestamp_ntz").alias("latest"))
+    if set(PERIOD) <= set(table.columns):
+        period = F.col("year") * 12 + F.col("month")
+        last = table.agg(F.max(period)).scalar()
+        table = table.where(period == last)
     return table.agg(F.max(time).alias("latest"))
 
 

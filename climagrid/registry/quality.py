@@ -25,7 +25,7 @@ def accepted_range(t):
 
 @query(
     "dq_at_least_one",
-    """SELECT user_id, day, count(amount) AS n_values FROM (SELECT user_id, CAST(ts AS DATE) AS day,
+    """SELECT user_id, day, count(amount) AS filler_column FROM (SELECT user_id, CAST(ts AS DATE) AS day,
          CASE WHEN event_type = 'purchase' THEN value END AS amount FROM events) GROUP BY 1, 2 HAVING count(amount) = 0""",
 )
 def at_least_one(t):
@@ -37,7 +37,7 @@ def at_least_one(t):
 
 @query(
     "dq_at_least_one_table",
-    "SELECT count(missing) AS n_values FROM (SELECT nullif(l_tax, l_tax) AS missing FROM lineitem) HAVING count(missing) = 0",
+    "SELECT count(missing) AS filler_column FROM (SELECT nullif(l_tax, l_tax) AS missing FROM lineitem) HAVING count(missing) = 0",
 )
 def at_least_one_in_table(t):
     return Q.dq_at_least_one(t.lineitem.select(F.nullif(F.col("l_tax"), F.col("l_tax")).alias("missing")), "missing")
@@ -173,7 +173,7 @@ def accepted_values(t):
 
 @query(
     "dq_not_constant",
-    """SELECT user_id, day, count(DISTINCT event_type) AS n_values FROM (SELECT *, CAST(ts AS DATE) AS day FROM events)
+    """SELECT user_id, day, count(DISTINCT event_type) AS filler_column FROM (SELECT *, CAST(ts AS DATE) AS day FROM events)
        GROUP BY 1, 2 HAVING count(DISTINCT event_type) = 1""",
 )
 def not_constant(t):

@@ -21,13 +21,13 @@ def group_by_n(t):
 
 
 @query(
-    "column_values",
+    "columfiller_column",
     """SELECT user_id AS value, count(*) AS n FROM events WHERE event_type <> 'error'
        GROUP BY 1 ORDER BY n DESC, value LIMIT 50""",
 )
-def column_values(t):
+def columfiller_column(t):
     """The fifty busiest users."""
-    return shape.column_values(t.events, "user_id", max_records=50, where="event_type <> 'error'")
+    return shape.columfiller_column(t.events, "user_id", max_records=50, where="event_type <> 'error'")
 
 
 _KINDS = ["click", "error", "purchase", "signup", "view"]
@@ -42,7 +42,7 @@ _KINDS = ["click", "error", "purchase", "signup", "view"]
     + " FROM events GROUP BY user_id",
 )
 def pivot(t):
-    kinds = shape.value_list(shape.column_values(t.events, "event_type"), max_records=100)
+    kinds = shape.value_list(shape.columfiller_column(t.events, "event_type"), max_records=100)
     return t.events.groupBy("user_id").agg(
         *shape.pivot_columns("event_type", kinds, prefix="n_"),
         *shape.pivot_columns(
@@ -214,7 +214,7 @@ def distinct_rows(t):
 
 @query(
     "union_relations",
-    """SELECT 'customers' AS _source_relation, c_custkey AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation,
+    """SELECT 'customers' AS _dbt_source_relation, c_custkey AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation,
          c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS s_acctbal FROM customer WHERE c_custkey >= 10
        UNION ALL SELECT 'suppliers', s_suppkey, s_name, s_nationkey, NULL, s_acctbal FROM supplier WHERE s_suppkey >= 10""",
 )
@@ -236,7 +236,7 @@ def union_relations(t):
 
 @query(
     "union_by_pattern",
-    """SELECT 'climagrid_obs_orders' AS _source_relation, o_orderkey AS id, o_orderdate AS moment, o_totalprice AS amount
+    """SELECT 'climagrid_obs_orders' AS _dbt_source_relation, o_orderkey AS id, o_orderdate AS moment, o_totalprice AS amount
          FROM orders
        UNION ALL SELECT 'climagrid_obs_ships', l_orderkey, l_shipdate, NULL FROM lineitem""",
 )

@@ -28,13 +28,13 @@ def test_nullif_empty_table(spark):
     assert rows(shape.nullif_empty_table(df)) == [("a", None, 1), (None, "b", 2), (None, None, 3)]
 
 
-def test_column_values(spark):
+def test_columfiller_column(spark):
     df = spark.createDataFrame([(c,) for c in "abcdefggggg"], "field string")
-    values = shape.column_values(df, "field")
+    values = shape.columfiller_column(df, "field")
     assert values.first()["value"] == "g"
     assert {r["value"]: r["n"] for r in values.collect()} == {**dict.fromkeys("abcdef", 1), "g": 5}
     assert shape.value_list(values, 2) == ["g", "a"]
-    assert shape.value_list(shape.column_values(df, "field", where="field = 'z'"), 5, default=["q"]) == ["q"]
+    assert shape.value_list(shape.columfiller_column(df, "field", where="field = 'z'"), 5, default=["q"]) == ["q"]
 
 
 COLORS = [("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")]
@@ -91,7 +91,7 @@ def union_inputs(spark):
 
 def test_union_relations(spark):
     out = sets.union_relations(union_inputs(spark))
-    assert out.columns == ["_source_relation", "id", "name", "favorite_number", "favorite_color"]
+    assert out.columns == [sets.SOURCE_COLUMN, "id", "name", "favorite_number", "favorite_color"]
     assert rows(out.select("id", "name", "favorite_color", "favorite_number")) == [
         (1, "drew", None, "pi"), (1, None, "green", "7"), (2, "bob", None, "e"), (2, None, "pink", "13"), (3, "alice", None, "4"),
     ]

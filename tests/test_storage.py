@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from climagrid.plans import catalog, ingest
+from climagrid.plans import catalog, ingest, requests
 from climagrid.session import cut_lineage, is_small, scratch_path, shared_dir
 from climagrid.sinks import tables as S
 from climagrid.sources import grid, tables
@@ -73,7 +73,10 @@ def test_loads(spark, folder):
     path = f"{folder}/daily"
     assert ingest.newest(spark, path, "time").first()["latest"] is None
     ingest.load_daily(observations(spark, (JAN, 1.0, 1.0), (FEB, 1.0, 2.0)), path)
-    assert ingest.newest(spark, path, "time").first()["latest"] == FEB
+    latest = ingest.newest(spark, path, "time")
+    assert latest.first()["latest"] == FEB
+    text = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in text and "Subquery" in text
     ingest.load_daily(observations(spark, (FEB, 1.0, 5.0), (FEB, 2.0, 6.0)), path)
     assert rows(spark.read.parquet(path).select("lat", "v")) == [(1.0, 1.0), (1.0, 5.0), (2.0, 6.0)]
     path = f"{folder}/monthly"
@@ -89,6 +92,11 @@ def test_period_filter_prunes_partitions(spark, folder):
     assert "PartitionFilters: [isnotnull(year" in text and scan.count() == 1
 
 
+def test_stored_partitions_are_rebalanced(spark, folder):
+    df = S._layout(S.with_period(observations(spark, (JAN, 1.0, 1.0)), "time"), S.PERIOD)
+    assert "REBALANCE_PARTITIONS_BY_COL" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_publish(spark, folder):
     df = spark.createDataFrame([("k", 1, "x"), ("l", 2, "y")], "KEY_ID string, n int, s string")
     S.publish(df, folder)
@@ -142,3 +150,18 @@ def test_shared_folder(spark):
     assert shared_dir(spark) == base
     stored = cut_lineage(spark.range(10))
     assert stored.count() == 10 and is_small(stored, 10) and not is_small(stored, 9)
+
+
+def test_request_plans_follow_the_stored_tables(spark, folder):
+    today = date(2024, 3, 20)
+    assert requests.monthly_plan(spark, f"{folder}/monthly", today).first()["years"] == [str(y) for y in range(1940, 1950)]
+    ingest.load_monthly(observations(spark, (datetime(2023, 11, 1), 1.0, 1.0)).withColumnRenamed("time", "valid_time"), f"{folder}/monthly")
+    plan = requests.monthly_plan(spark, f"{folder}/monthly", today).collect()
+    assert [(r.batch, r.years, r.months) for r in plan] == [(1, ["2023"], ["12"]), (2, ["2024"], ["01"])]
+    ingest.load_daily(observations(spark, (FEB, 1.0, 1.0)), f"{folder}/wind")
+    paths = {"Ag_wind_10m": f"{folder}/wind", "Ag_humidity_2m": f"{folder}/humidity"}
+    plan = requests.daily_plan(spark, paths, today).collect()
+    wind = [(r.target, r.statistic, r.year, r.month) for r in plan if r.variable == "10m_wind_speed"]
+    assert wind == [("Ag_wind_10m", ["24_hour_mean"], "2024", "02"), ("Ag_wind_10m", ["24_hour_mean"], "2024", "03")]
+    humidity = [(r.year, r.month) for r in plan if r.variable == "2m_relative_humidity"]
+    assert humidity[0] == ("2021", "01") and len(humidity) == 39 and len(plan) == 41
