@@ -53,7 +53,7 @@ def group_by_n(df: DataFrame, n: int, *aggregates: Column) -> DataFrame:
     return df.groupBy(*df.columns[:n]).agg(*aggregates)
 
 
-def columfiller_column(
+def column_values(
     df: DataFrame,
     column: str | Column,
     order_by: Sequence[Column] | None = None,
