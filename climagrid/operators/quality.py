@@ -365,10 +365,13 @@ def dq_suite(
     parts, rules = [], {}
     for df, group in row_checks:
         counters = [
-            F.count_if(r.broken if r.where is None else r.where & r.broken).alias(r.name) for r in group
+            F.struct(
+                F.lit(r.name).alias("check"),
+                F.count_if(r.broken if r.where is None else r.where & r.broken).alias("failures"),
+            )
+            for r in group
         ]
-        names = [r.name for r in group]
-        parts.append(df.agg(*counters).unpivot([], names, "check", "failures"))
+        parts.append(df.agg(F.array(*counters).alias("_all")).select(F.inline("_all")))
         rules.update({r.name: r for r in group})
     for check in checks:
         number = F.count(F.lit(1)) if check.failures is None else check.failures

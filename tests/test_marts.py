@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from climagrid.operators.calendar import dim_datetime
 from climagrid.plans import catalog, gold, marts, staging
 from climagrid.session import cut_lineage
+from climagrid.sinks.tables import save_by_day
 
 from conftest import rows
 
@@ -147,6 +148,30 @@ def test_map_bounds_reach_the_scan(spark, bronze, edges, folder):
     assert nowhere.count() == 0
 
 
+@pytest.mark.parametrize("partition_by", [(), ("year", "month")])
+def test_inputs_bucketed_by_day_join_without_a_shuffle(spark, bronze, edges, folder, partition_by):
+    dates = dim_datetime(spark, date(2024, 3, 1))
+    regions = marts.daily_region_map(bronze["temperature"], edges)
+    expected = rows(marts.int_agriculture(bronze, dates, regions))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        stored = {}
+        for name, df in bronze.items():
+            save_by_day(df, f"bucketed_{name}", f"{folder}/{name}", "time", 4, partition_by)
+            stored[name] = spark.table(f"bucketed_{name}")
+        out = marts.int_agriculture(stored, dates, regions)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in text and text.count("SortMergeJoin") == 4
+        assert rows(out) == expected
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        for name in bronze:
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+
+
 @pytest.fixture(scope="module")
 def monthly(spark):
     base = "valid_time timestamp_ntz, latitude double, longitude double, number int, expver string, "

@@ -187,7 +187,7 @@ def test_assert_equal_passes_null(spark):
 def test_suite(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (9, "")], "n int, s string")
     rules = [
-        Q.RowCheck("n_range", Q.bad_range("n", 0, 5)),
+        Q.RowCheck("n.in range", Q.bad_range("n", 0, 5)),
         Q.RowCheck("n_filled", Q.bad_null("n"), severity="warn"),
         Q.RowCheck("s_filled", Q.bad_empty_string("s"), where=F.col("n").isNull()),
         Q.RowCheck("tolerant", Q.bad_empty_string("s"), error_if="> 5", warn_if="> 0"),
@@ -195,6 +195,6 @@ def test_suite(spark):
     checks = [Q.Check("expected_failure", Q.dq_not_null(df, "n"), error_if="< 1", warn_if="< 0")]
     found = {r.check: (r.failures, r.status) for r in Q.dq_suite(checks, [(df, rules)]).collect()}
     assert found == {
-        "n_range": (1, "fail"), "n_filled": (1, "warn"), "s_filled": (0, "pass"), "tolerant": (1, "warn"),
+        "n.in range": (1, "fail"), "n_filled": (1, "warn"), "s_filled": (0, "pass"), "tolerant": (1, "warn"),
         "expected_failure": (1, "pass"),
     }
