@@ -64,8 +64,9 @@ def width_bucket(value, min_value, max_value, num_buckets) -> Column:
     """Bucket number 0 .. n+1 with exact bin multiples pushed to the next bucket.
 
     The tie test looks at the value itself, not its distance from the minimum, so
-    a value above the maximum that is a multiple of the bin lands in n+2. Spark's
-    own ``F.width_bucket`` is the standard variant without that step.
+    a value above the maximum that is a multiple of the bin lands in n+2. A NULL
+    value counts as above the maximum. Spark's own ``F.width_bucket`` is the standard
+    variant without these two.
     """
     value, low, high, n = (to_column(c) for c in (value, min_value, max_value, num_buckets))
     bin_size = F.nullif(((high - low) / n).cast("double"), F.lit(0.0))

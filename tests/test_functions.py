@@ -135,3 +135,40 @@ def test_url_goldens(spark):
         (None, None, "1"),
         (None, None, None),
     ]
+
+
+def test_urls_match_duckdb_on_odd_texts(spark):
+    random.seed(9)
+    pieces = ["http://", "https://", "android-app://", "a.b", "/", "//", "?", "&", "a=", "ba=", "é", "#x", " ", "=", "x"]
+    texts = ["", "?", "/", "a=", None] + ["".join(random.choices(pieces, k=random.randint(1, 7))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, url string")
+    found = df.orderBy("id").select(X.url_host("url"), X.url_path("url"), X.url_parameter("url", "a")).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (id INT, url VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    host = "replace(replace(replace(url, 'android-app://', ''), 'http://', ''), 'https://', '')"
+    path = "replace(replace(url, 'http://', ''), 'https://', '')"
+    expected = con.execute(
+        f"""SELECT split_part(split_part({host}, '/', 1), '?', 1),
+              split_part("right"({path}, length({path}) - coalesce(nullif(strpos({path}, '/'), 0), strpos({path}, '?') - 1)), '?', 1),
+              nullif(split_part(split_part(url, 'a=', 2), '&', 1), '') FROM t ORDER BY id"""
+    ).fetchall()
+    assert [tuple(r) for r in found] == expected
+
+
+def test_width_bucket_matches_duckdb(spark):
+    random.seed(2)
+    values = [random.choice([None, round(random.uniform(-20, 120), 2), float(random.randint(-20, 120))]) for _ in range(3000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
+    found = column(df.orderBy("id"), A.width_bucket("v", 10.0, 90.0, 7))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (id INT, v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    size = "((90.0::DOUBLE - 10.0) / 7)"
+    expected = con.execute(
+        f"""SELECT (CASE WHEN mod(TRY_CAST(v AS DECIMAL(28,6)), TRY_CAST({size} AS DECIMAL(28,6))) = 0 THEN 1 ELSE 0 END
+              + least(ceil((v - 10.0) / {size}), 8))::BIGINT FROM t ORDER BY id"""
+    ).fetchall()
+    assert [(f,) for f in found] == expected
+    # LEAST passes over a missing position, so a missing value lands above the maximum.
+    assert {f for f, v in zip(found, values) if v is None} == {8}
