@@ -16,11 +16,12 @@ def grid_to_long(
 
     A cube row holds one array per dimension and one flattened array per variable,
     the last dimension running fastest. All variables are unrolled together in a
-    single pass, and a coordinate is looked up from the position by division.
+    single pass, and a coordinate is looked up from the position by division. A
+    variable that a cube lacks is NULL in its rows. Cut very large cubes into several
+    rows along a dimension, as chunked files already are.
     """
-    cells = cubes.select(
-        *keep, *dims, F.posexplode(F.arrays_zip(*variables)).alias("_pos", "_cell")
-    )
+    arrays = [F.coalesce(F.col(v), F.array().cast(cubes.schema[v].dataType)).alias(v) for v in variables]
+    cells = cubes.select(*keep, *dims, F.posexplode(F.arrays_zip(*arrays)).alias("_pos", "_cell"))
     columns: list[Column] = []
     stride: Column = F.lit(1)
     for name in reversed(list(dims)):

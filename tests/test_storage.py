@@ -28,6 +28,9 @@ def test_grid_to_long(spark):
     assert out.where("t = 0").first()["p"] is None
     row = out.where((F.col("time") == F.lit(FEB)) & (F.col("lat") == 11.5) & (F.col("lon") == 42.5)).first()
     assert (row.t, row.p) == (10.0, 10)
+    lacking = cube.withColumn("p", F.lit(None).cast("array<int>"))
+    out = grid.grid_to_long(lacking, ["time", "lat", "lon"], ["t", "p"])
+    assert out.count() == 12 and out.where("p is null").count() == 12
 
 
 def test_combine_by_coords(spark):
