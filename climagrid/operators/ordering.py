@@ -67,15 +67,6 @@ def repeat_rows(df: DataFrame, count: str) -> DataFrame:
     return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*columns)
 
 
-def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi join in which NULL keys match; the keys of ``a`` are kept."""
-    renamed = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-    condition = reduce(
-        lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    )
-    return a.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def _cut_points(df: DataFrame, value: str, slices: int) -> list:
     """At most ``slices - 1`` quantiles of a sample of ``value``: a bounded driver round trip."""
     if slices < 2:
@@ -175,32 +166,41 @@ def lag_step(df: DataFrame, value: str, group: Sequence[str] = (), previous: str
 def counted_ranges(df: DataFrame, lower: str, upper: str, group: Sequence[str] = ()) -> DataFrame:
     """Ranges in (lower, upper) order as (group, lower, upper, next_lower, is_last, n).
 
-    Works on counted ranges: inside one lower bound the next lower bound is the
-    same value, only the last range of it looks at the next distinct bound. NULLs
-    sort last; the last range is the largest lower bound, then the largest upper.
+    Inside one lower bound the next lower bound is the same value; only the last
+    range of it, its tail, looks at the next distinct bound. So bounds are ordered
+    instead of ranges. The final range of a group has the largest lower bound, then
+    the largest upper, and is a tail unless open ranges follow it. All other ranges
+    are counted with those taken off, in one grouping that combines copies first:
+    no task sees a whole group or bound. NULLs sort last.
     """
-    ranges = df.groupBy(*group, lower, upper).agg(F.count(F.lit(1)).alias("_n"))
-    bounds = ranges.groupBy(*group, lower).agg(
-        F.max(upper).alias("_top"), F.max(F.col(upper).isNull().cast("int")).alias("_open")
+    ranges = [*group, lower, upper]
+    one = F.lit(1).cast("long").alias("n")
+    bounds = df.groupBy(*group, lower).agg(
+        F.max(upper).alias("_top"), F.max(F.col(upper).isNull()).alias("_open")
     )
-    bounds = with_neighbours(bounds, lower, group, "_previous", "_following", points_from=df)
-    joined = null_safe_join(ranges, bounds, [*group, lower], "left")
-    at_top = F.col(upper).eqNullSafe(F.col("_top"))
-    at_end = F.when(F.col("_open") == 1, F.col(upper).isNull()).otherwise(at_top)
-    final_bound = F.when(F.col(lower).isNull(), F.col("_previous").isNull()).otherwise(F.col("_following").isNull())
-    is_last = at_top & final_bound
-    one, same = F.lit(1).cast("long"), F.col(lower)
-    tail = F.struct(
-        F.when(at_end, F.col("_following")).otherwise(same).alias("next_lower"),
-        is_last.alias("is_last"),
-        one.alias("n"),
-    )
-    rest = F.struct(same.alias("next_lower"), F.lit(False).alias("is_last"), (F.col("_n") - 1).alias("n"))
-    return (
-        joined.select(*group, lower, upper, F.explode(F.array(tail, rest)).alias("_c"))
-        .select(*group, lower, upper, "_c.*")
+    low, top, still_open = F.col(lower), F.col("_top"), F.col("_open")
+    tail = F.when(~still_open, top).alias(upper)
+
+    near = with_neighbours(bounds, lower, group, "_previous", "_following", points_from=df)
+    final_bound = F.when(low.isNull(), F.col("_previous").isNull()).otherwise(F.col("_following").isNull())
+    is_last = final_bound & (~still_open | top.isNull())
+    tails = near.select(*group, lower, tail, F.col("_following").alias("next_lower"), is_last.alias("is_last"), one)
+
+    # NULL is the smallest value inside a struct, so the maximum is the final bound.
+    final = bounds.groupBy(*group).agg(F.max(F.struct(lower, "_top", "_open")).alias("_f")).select(*group, "_f.*")
+    before_open = final.where(still_open & top.isNotNull()).select(*group, lower, top.alias(upper))
+
+    taken = bounds.select(*group, lower, tail).unionAll(before_open)
+    others = (
+        df.select(*ranges, one)
+        .unionAll(taken.select(*ranges, -one))
+        .groupBy(*ranges)
+        .agg(F.sum("n").alias("n"))
         .where(F.col("n") > 0)
     )
+    inner = [low.alias("next_lower"), F.lit(False).alias("is_last")]
+    last = [low.alias("next_lower"), F.lit(True).alias("is_last")]
+    return tails.unionAll(before_open.select(*ranges, *last, one)).unionAll(others.select(*ranges, *inner, "n"))
 
 
 def lead_gap(df: DataFrame, lower: str, upper: str, group: Sequence[str] = ()) -> DataFrame:

@@ -120,9 +120,3 @@ def test_sorts(spark):
     stored = O.storage_order(df, ["k"], ["v"])
     assert [tuple(r) for r in stored.collect()] == [(1, "a"), (1, "b"), (3, "c")]
     assert "rangepartitioning" in plan(stored)
-
-
-def test_null_safe_join(spark):
-    a = spark.createDataFrame([(None, 1), (2, 2)], T.StructType([T.StructField("k", T.IntegerType()), T.StructField("x", T.IntegerType())]))
-    b = spark.createDataFrame([(None, "n"), (3, "t")], "k int, y string")
-    assert rows(O.null_safe_join(a, b, ["k"], "left")) == [(2, 2, None), (None, 1, "n")]
