@@ -83,8 +83,6 @@ def _slice_number(value: str, points: list, kind: T.DataType) -> Column:
     The points are looked up in blocks, so that thousands of them cost two short
     scans per row instead of a long one.
     """
-    if not points:
-        return F.when(F.col(value).isNull(), 1).otherwise(0)
     width = math.isqrt(len(points) - 1) + 1
     blocks = [points[i : i + width] for i in range(0, len(points), width)]
 
@@ -127,11 +125,14 @@ def with_neighbours(
         partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         slices = min(SLICES_PER_PARTITION * partitions, MAX_SLICES)
     points = _cut_points(distinct if points_from is None else points_from, value, slices)
-    sliced = distinct.withColumn("_slice", _slice_number(value, points, kind))
     order = F.asc_nulls_last(value)
-    inside = W.partitionBy(*group, "_slice").orderBy(order)
     across = W.partitionBy(*(group or [F.lit(0)])).orderBy(order)
-    rows = sliced.withColumn(previous, F.lag(value).over(inside)).withColumn(following, F.lead(value).over(inside))
+    if not points:
+        # Too few rows to hold a sampled cut: one window is small enough.
+        return distinct.select("*", F.lag(value).over(across).alias(previous), F.lead(value).over(across).alias(following))
+    sliced = distinct.withColumn("_slice", _slice_number(value, points, kind))
+    inside = W.partitionBy(*group, "_slice").orderBy(order)
+    rows = sliced.select("*", F.lag(value).over(inside).alias(previous), F.lead(value).over(inside).alias(following))
     known = F.col(previous).isNotNull() & F.col(following).isNotNull()
     ends = (
         rows.where(~known)
