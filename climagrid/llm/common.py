@@ -54,3 +54,55 @@ def broadcast_if_bounded(table: DataFrame, row_bytes: int, rows: int = BROADCAST
     """
     limit = min(rows, BROADCAST_BYTES // max(1, row_bytes))
     return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    A column that is used inside a lambda may be folded into it by the optimizer and then be computed
+    for every element; a lambda variable is not.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, spread: Column, share: int = 1000) -> DataFrame:
+    """Left join of ``rows`` with ``table`` (unique ``keys``), safe for keys that many rows hold.
+
+    ``weight`` says how many rows hold a key. Keys that hold more than 1/``share`` of all rows, at most
+    ``share`` of them, are broadcast; their rows are then spread by ``spread`` and match nothing in the shuffled join.
+    """
+    values = [c for c in table.columns if c not in keys]
+    hot_from = total // share + 1
+    hot = table.where(F.col(weight) > hot_from).select(*keys, F.struct(*values).alias("_hot"))
+    rest = table.where(F.col(weight) <= hot_from).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*values).alias("_rest")
+    )
+    first = rows.join(F.broadcast(hot), keys, "left")
+    answered = F.col("_hot").isNotNull()
+    lone = [F.when(answered, spread if i == 0 else F.lit(None)).otherwise(F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    found = first.select("*", *lone).join(rest, [f"_k{i}" for i in range(len(keys))], "left")
+    entry = F.when(answered, F.col("_hot")).otherwise(F.col("_rest"))
+    return found.withColumn("_entry", entry).select(*rows.columns, *[F.col(f"_entry.{v}").alias(v) for v in values])
+
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """(node, root): the smallest node that each node of ``edges`` (a, b) is connected with.
+
+    Every round gives each node the smallest label around it and then the label of that label, so long chains
+    shrink by halves. A round is written to the shared folder, which cuts the lineage; nothing comes to the driver.
+    """
+    both = stored(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
+    labels = stored(
+        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), f"{name}-0"
+    )
+    turn = 0
+    while True:
+        turn += 1
+        around = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
+        nearer = labels.join(around, "node").select("node", F.col("root").alias("_old"), F.least("root", "m").alias("root"))
+        nearer = stored(nearer, f"{name}-{turn}-a")
+        jump = nearer.select(F.col("node").alias("root"), F.col("root").alias("_next"))
+        after = stored(nearer.join(jump, "root", "left").select("node", "_old", F.coalesce("_next", "root").alias("root")), f"{name}-{turn}")
+        labels = after.select("node", "root")
+        if after.where(F.col("_old") != F.col("root")).isEmpty():
+            return labels

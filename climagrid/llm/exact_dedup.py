@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from climagrid.llm.common import broadcast_if_bounded, stored, text_or_empty
+from climagrid.llm.common import broadcast_if_bounded, lookup, stored, text_or_empty
 
 BUCKET_ENTRIES = 4096
 HOT_SHARE = 1000
@@ -96,24 +96,10 @@ def report(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row; one row per text is kept."""
     index = build_index(docs, bucket_entries)
     total = index.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
-    hot_from = total // HOT_SHARE + 1
-    entry = index.select("key", "text_sha256", "keep_id", "group_size")
-    is_hot = F.col("group_size") > hot_from
-    names = ["key", "text_sha256"]
     text = normal_text()
     looked_up = docs.select("doc_id", F.xxhash64(text).alias("key"), F.sha2(text, 256).alias("text_sha256"))
-    hot = entry.where(is_hot).select(*names, F.struct("keep_id", "group_size").alias("_hot"))
-    first = looked_up.join(F.broadcast(hot), names, "left")
-    # Rows that are answered already are spread by their id; no chain has that digest.
-    answered = F.col("_hot").isNotNull()
-    spread = first.withColumn("_key", F.when(answered, F.xxhash64("doc_id")).otherwise(F.col("key"))).withColumn(
-        "_sha", F.when(answered, F.lit("")).otherwise(F.col("text_sha256"))
-    )
-    rest = entry.where(~is_hot).select(
-        F.col("key").alias("_key"), F.col("text_sha256").alias("_sha"), F.struct("keep_id", "group_size").alias("_rest")
-    )
-    found = spread.join(rest, ["_key", "_sha"], "left").withColumn("_entry", F.coalesce("_hot", "_rest"))
-    rows = found.select("doc_id", F.col("_entry.keep_id"), F.col("_entry.group_size"), "text_sha256")
+    entry = index.select("key", "text_sha256", "keep_id", "group_size")
+    rows = lookup(looked_up, entry, ["key", "text_sha256"], "group_size", total, F.xxhash64("doc_id"), HOT_SHARE)
     same_id = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     # Rows with one id and one text: the first of them stays.
     again = W.partitionBy("text_sha256", "doc_id").orderBy(F.lit(0))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from climagrid.llm import chat, exact_dedup, lm_scoring, mixing, toxicity, warc
+from climagrid.llm import chat, decontamination, exact_dedup, lm_scoring, mixing, ngram_join, secret_scan, token_counts, toxicity, warc
+from climagrid.session import scratch_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,11 +21,28 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.report(_table(spark, folder, "documents"))
 
 
+def op3_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(_table(spark, folder, "documents"))
+
+
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.report(_table(spark, folder, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "rollup"))
+    return token_counts.maintain(_table(spark, folder, "documents"), rollup)
+
+
 def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     conversations = chat.with_conflict(_table(spark, folder, "conversations"), spark)
     return chat.digests(chat.format_conversations(conversations))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op8_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     """The derived records of every page; texts and bytes as digests and lengths."""
     records = warc.derivatives(warc.response_records(_table(spark, folder, "pages")))
@@ -44,6 +62,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_lm_scoring, op2_exact_dedup, op6_chat_formatting, op8_warc_derivatives, op9_toxicity, op10_mixing)
+    for f in (
+        op1_lm_scoring, op2_exact_dedup, op3_secret_scans, op4_ngram_join, op5_token_counts, op6_chat_formatting,
+        op7_decontamination, op8_warc_derivatives, op9_toxicity, op10_mixing,
+    )
+}
+ORACLES = {
+    "op2_exact_dedup": exact_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE, "op10_mixing": mixing.ORACLE,
 }
-ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
