@@ -78,7 +78,7 @@ def mix(
     spark = docs.sparkSession
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     sized = stored(
-        docs.select("doc_id", "source", *keep, word_count().alias("size"), key.alias("_key")), "sized"
+        docs.select("doc_id", *dict.fromkeys(["source", *keep]), word_count().alias("size"), key.alias("_key")), "sized"
     )
     rows = sized.count()
     cuts = math.isqrt(rows) + 1

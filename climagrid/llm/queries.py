@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from climagrid.llm import chat, decontamination, exact_dedup, lm_scoring, mixing, ngram_join, secret_scan, token_counts, toxicity, warc
 from climagrid.session import scratch_path
 
@@ -60,13 +61,20 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The stages of ``corpus_pipeline.py`` on all documents."""
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_exact_dedup, op3_secret_scans, op4_ngram_join, op5_token_counts, op6_chat_formatting,
-        op7_decontamination, op8_warc_derivatives, op9_toxicity, op10_mixing,
+        op7_decontamination, op8_warc_derivatives, op9_toxicity, op10_mixing, pipeline,
     )
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE, "op10_mixing": mixing.ORACLE,
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
