@@ -4,8 +4,8 @@
    band are chosen for a target recall at the threshold (``choose_bands``). Texts with one and the same set are one node with a
    number of copies from here on; copies never meet each other.
 2. Nodes are shuffled on their band hashes. In a bucket, nodes are compared with its pivots only, by signature: a node becomes a
-   pivot unless one is very near, and is linked to all pivots that are not far. By the triangle inequality two nodes above the
-   threshold share a pivot's neighbourhood. Links are linear in the bucket; buckets of more than ``SALT_ROWS`` nodes are cut by a
+   pivot unless one is very near, and is connected with all pivots that are not far. By the triangle inequality two nodes above the
+   threshold share a pivot's neighbourhood. At most two links are written per node; buckets of more than ``SALT_ROWS`` nodes are cut by a
    salt, and the pivots of the parts meet in a second round.
 3. Connected candidates are verified on their full n-gram sets: all pairs of a component are compared inside tasks, in blocks of
    bounded size when it is large. What leaves a task is a number of links and a root per node, never a list of pairs.
@@ -117,38 +117,56 @@ def row_key():
 
 
 def _canopies(members: DataFrame, tight: float, loose: float, partitions: int) -> DataFrame:
-    """(bucket, a, b) from (bucket, salt, node, sig): links of nodes to pivots, and (pivot, pivot) for each pivot."""
+    """(bucket, a, b) from (bucket, salt, node, large, sig): links that connect nodes and pivots of one bucket.
+
+    A node is linked to the first pivot that is not far; further ones are linked to that pivot unless the bucket's links connect them
+    already, so a bucket has at most two links per node. For large buckets (pivot, pivot) rows name the pivots.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, count, pivots, table = None, 0, [], np.empty((0, 0), np.uint8)
+        key, count, pivots = None, 0, []
+        table, label = np.empty((0, 0), np.uint8), np.empty(0, np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            buckets, salts, nodes = (batch.column(i).to_pylist() for i in range(3))
-            sigs = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            buckets, salts, nodes, large = (batch.column(i).to_pylist() for i in range(4))
+            sigs = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
             out: list[tuple[int, int, int]] = []
             for i in range(batch.num_rows):
                 if key != (buckets[i], salts[i]):
                     key, count, pivots = (buckets[i], salts[i]), 0, []
+                group, is_pivot = count, True
                 if count:
                     same = (table[:count] == sigs[i]).mean(1)
-                    out += [(key[0], nodes[i], pivots[j]) for j in np.flatnonzero(same >= loose)]
-                    if same.max() >= tight:
-                        continue
+                    near = np.flatnonzero(same >= loose)
+                    if len(near):
+                        first = near[0]
+                        group = label[first]
+                        out.append((key[0], nodes[i], pivots[first]))
+                        others, places = np.unique(label[near], return_index=True)
+                        for other, place in zip(others, places):
+                            if other != group:
+                                out.append((key[0], pivots[near[place]], pivots[first]))
+                                label[:count][label[:count] == other] = group
+                        is_pivot = same[near].max() < tight
+                if not is_pivot:
+                    continue
                 if count >= len(table):
-                    grown = np.empty((max(8, 2 * count), sigs.shape[1]), np.uint8)
+                    size = max(8, 2 * count)
+                    grown, labels = np.empty((size, sigs.shape[1]), np.uint8), np.empty(size, np.int64)
                     if count:
-                        grown[:count] = table[:count]
-                    table = grown
-                table[count] = sigs[i]
+                        grown[:count], labels[:count] = table[:count], label[:count]
+                    table, label = grown, labels
+                table[count], label[count] = sigs[i], group
                 count += 1
                 pivots.append(nodes[i])
-                out.append((key[0], nodes[i], nodes[i]))
+                if large[i]:
+                    out.append((key[0], nodes[i], nodes[i]))
             columns = [pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], [], []))]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "a", "b"])
 
     dealt = members.repartition(partitions, "bucket", "salt").sortWithinPartitions("bucket", "salt", "node")
-    return dealt.select("bucket", "salt", "node", "sig").mapInArrow(run, "bucket long, a long, b long")
+    return dealt.select("bucket", "salt", "node", "large", "sig").mapInArrow(run, "bucket long, a long, b long")
 
 
 def candidate_links(nodes: DataFrame) -> DataFrame:
@@ -158,13 +176,15 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
     several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     salts = F.ceil(F.col("n") / SALT_ROWS)
-    members = rows.join(several, "bucket").select("bucket", "node", "n", F.pmod(F.xxhash64("node"), salts).alias("salt"))
+    members = rows.join(several, "bucket").select(
+        "bucket", "node", F.pmod(F.xxhash64("node"), salts).alias("salt"), (F.col("n") > SALT_ROWS).alias("large")
+    )
     sigs = nodes.select("node", "sig")
     near = stored(_canopies(members.join(sigs, "node"), TIGHT, LOOSE, partitions), "near")
     # Pivots of the parts of a large bucket meet each other; the bound allows for one more step of distance.
-    large = several.where(F.col("n") > SALT_ROWS).select("bucket")
-    pivots = near.where("a = b").join(large, "bucket").select("bucket", F.col("a").alias("node"), F.lit(0).cast("long").alias("salt")).distinct()
-    pivots = stored(pivots, "pivots")
+    pivots = near.where("a = b").select(
+        "bucket", F.col("a").alias("node"), F.lit(0).cast("long").alias("salt"), F.lit(False).alias("large")
+    ).distinct()
     links = near.where("a <> b").select("a", "b")
     if not pivots.isEmpty():
         far = _canopies(pivots.join(sigs, "node"), TIGHT, LOOSE - 0.15, partitions)
