@@ -38,8 +38,8 @@ BITS_PER_ENTRY = 8
 PROBES = 5
 HEAD = 1 << 17
 FILTER_BYTES = 192 << 20
-# Text per shard; about 4 million pairs.
-SHARD_BYTES = 24 << 20
+# Text per shard; about 1.4 million pairs.
+SHARD_BYTES = 8 << 20
 FLUSH_BYTES = 8 << 20
 CHUNK_ROWS = 2_000
 MAX_LEVEL = 255
@@ -97,11 +97,26 @@ class Filter:
     """Shards put together; ``parts`` holds the bytes of shard 0, 1, ... of one kind of n-gram."""
 
     def __init__(self, parts: list[np.ndarray]):
-        self.bits = np.concatenate(parts) if parts else np.zeros(8, np.uint8)
-        sizes = [len(p) for p in parts] or [8]
+        self._place([len(p) for p in parts] or [8])
+        for i, part in enumerate(parts):
+            self.put(i, part)
+
+    @classmethod
+    def of_sizes(cls, sizes: list[int]) -> Filter:
+        """An empty filter whose shards are put in one by one."""
+        made = cls.__new__(cls)
+        made._place(sizes)
+        return made
+
+    def _place(self, sizes: list[int]) -> None:
+        self.bits = np.zeros(sum(sizes), np.uint8)
         self.sizes = np.array(sizes, np.uint64) * _U(8)
         self.starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.uint64)
 
+    def put(self, shard: int, part: np.ndarray) -> None:
+        start = int(self.starts[shard])
+        self.bits[start : start + len(part)] = part
+
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels of the keys: the last of the unbroken run of present ones."""
         out = np.zeros(len(keys), np.uint8)
@@ -260,11 +275,14 @@ def score(docs: DataFrame, held_out, filter_bytes: int = FILTER_BYTES, head: int
     fields = "_row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, score double, tail array<long>, tail_n array<long>"
     source = numbered.select("_row", F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
     if measured <= filter_bytes:
-        parts: list[list[np.ndarray]] = [[np.zeros(8, np.uint8)] * shards, [np.zeros(8, np.uint8)] * shards]
+        sizes = [[8] * shards, [8] * shards]
+        for row in model.select("kind", "shard", F.octet_length("bits").alias("size")).collect():
+            sizes[row["kind"]][row["shard"]] = row["size"]
+        made = [Filter.of_sizes(s) for s in sizes]
         for row in model.select("kind", "shard", "bits").toLocalIterator():
-            parts[row["kind"]][row["shard"]] = np.frombuffer(row["bits"], np.uint8)
-        filters = spark.sparkContext.broadcast([Filter(p) for p in parts])
-        del parts
+            made[row["kind"]].put(row["shard"], np.frombuffer(row["bits"], np.uint8))
+        filters = spark.sparkContext.broadcast(made)
+        del made
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = filters.value

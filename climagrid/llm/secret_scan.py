@@ -35,6 +35,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SAMPLE_ROWS = 4_000
 MARGIN = 12.0
 MEAN = 0.6
+# Weight of a character's own frequency against its frequency after another one.
+PRIOR = 10.0
 _SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -122,17 +124,21 @@ def train(samples: DataFrame) -> list[float]:
         .count()
         .collect()
     )
-    counts = {flag: [0.5] * (width * width) for flag in (True, False)}
-    for row in rows:
-        counts[row["is_random"]][row["pair"]] += row["count"]
     if not rows:
         return [0.0] * (width * width)
-    ratio = []
-    for first in range(width):
-        part = {flag: counts[flag][first * width : (first + 1) * width] for flag in counts}
-        sums = {flag: sum(part[flag]) for flag in part}
-        ratio += [math.log(part[True][i] / sums[True]) - math.log(part[False][i] / sums[False]) for i in range(width)]
-    return ratio
+    counts = {flag: [0.0] * (width * width) for flag in (True, False)}
+    for row in rows:
+        counts[row["is_random"]][row["pair"]] += row["count"]
+    logs = {}
+    for flag, pairs in counts.items():
+        second = [sum(pairs[i::width]) + 0.5 for i in range(width)]
+        share = [c / sum(second) for c in second]
+        # Rare first characters fall back on how often the second one occurs at all.
+        logs[flag] = []
+        for first in range(width):
+            own = pairs[first * width : (first + 1) * width]
+            logs[flag] += [math.log((own[i] + PRIOR * share[i]) / (sum(own) + PRIOR)) for i in range(width)]
+    return [a - b for a, b in zip(logs[True], logs[False])]
 
 
 def scan(docs: DataFrame, model: list[float]) -> DataFrame:
