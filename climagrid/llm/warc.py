@@ -33,7 +33,8 @@ _BLOCK = re.compile(
 )
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_SPACES = re.compile(r"[ \t\r\f\v\xa0]+")
+# Single spaces stay as they are, so most words cost no replacement.
+_SPACES = re.compile(r"[ \t\r\f\v\xa0]{2,}|[\t\r\f\v\xa0]")
 
 
 def digest(data: bytes) -> str:
