@@ -69,9 +69,20 @@ def column_values(
     return ordered if max_records is None else ordered.limit(max_records)
 
 
-def value_list(values: DataFrame, max_records: int, default: Sequence | None = None) -> list:
-    """The bounded list of values that names the columns of a pivot."""
-    found = [r["value"] for r in values.select("value").limit(max_records).collect()]
+# A list of values becomes columns of a plan, so more than this many are refused.
+MOST_VALUES = 10_000
+
+
+def value_list(
+    values: DataFrame, max_records: int | None = None, default: Sequence | None = None, most: int = MOST_VALUES
+) -> list:
+    """The list of values that names the columns of a pivot.
+
+    Without ``max_records`` all values are wanted, and more than ``most`` of them raise an error instead of being cut.
+    """
+    found = [r["value"] for r in values.select("value").limit(most + 1 if max_records is None else max_records).collect()]
+    if max_records is None and len(found) > most:
+        raise ValueError(f"more than {most} values; give max_records to take only the first")
     return found or list(default or [])
 
 
@@ -100,8 +111,8 @@ PIVOT_AGGREGATES = {
 def pivot_columns(
     column: str,
     values: Sequence,
-    agg: str = "sum",
-    cmp: str = "=",
+    agg: str | Callable[[Column], Column] = "sum",
+    cmp: str | Callable[[Column, Column], Column] = "=",
     prefix: str = "",
     suffix: str = "",
     then_value=1,
@@ -111,8 +122,8 @@ def pivot_columns(
     alias: bool = True,
 ) -> list[Column]:
     """One aggregate per value; without quoting the column names are slugs."""
-    compare = COMPARISONS[cmp.strip().lower()]
-    aggregate = PIVOT_AGGREGATES[agg.strip().lower()][1 if distinct else 0]
+    compare = cmp if callable(cmp) else COMPARISONS[cmp.strip().lower()]
+    aggregate = agg if callable(agg) else PIVOT_AGGREGATES[agg.strip().lower()][1 if distinct else 0]
     then_column, else_column = (
         v if isinstance(v, Column) else F.lit(v) for v in (then_value, else_value)
     )

@@ -142,7 +142,7 @@ def described_columns(
     fields = [f for f in df.schema if f.name.lower() not in hidden]
     rows = [(dataset, i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
     schema = spark.createDataFrame(rows, "dataset string, ordinal int, name string, type_name string")
-    known = schema.join(F.broadcast(info), F.lower("name") == F.col("column_key"), "left")
+    known = schema.join(info, F.lower("name") == F.col("column_key"), "left")
     return known.select(
         "dataset",
         "ordinal",

@@ -42,7 +42,7 @@ _KINDS = ["click", "error", "purchase", "signup", "view"]
     + " FROM events GROUP BY user_id",
 )
 def pivot(t):
-    kinds = shape.value_list(shape.column_values(t.events, "event_type"), max_records=100)
+    kinds = shape.value_list(shape.column_values(t.events, "event_type"))
     return t.events.groupBy("user_id").agg(
         *shape.pivot_columns("event_type", kinds, prefix="n_"),
         *shape.pivot_columns(

@@ -7,6 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _known(value: Column, kind: T.DataType) -> Column:
+    """NaN marks a missing value in a cube; tables hold NULL instead."""
+    return F.when(~F.isnan(value), value) if isinstance(kind, (T.FloatType, T.DoubleType)) else value
 
 
 def grid_to_long(
@@ -17,7 +23,7 @@ def grid_to_long(
     A cube row holds one array per dimension and one flattened array per variable,
     the last dimension running fastest. All variables are unrolled together in a
     single pass, and a coordinate is looked up from the position by division. A
-    variable that a cube lacks is NULL in its rows. Cut very large cubes into several
+    variable that a cube lacks is NULL in its rows, and so is NaN. Cut very large cubes into several
     rows along a dimension, as chunked files already are.
     """
     arrays = [F.coalesce(F.col(v), F.array().cast(cubes.schema[v].dataType)).alias(v) for v in variables]
@@ -28,7 +34,8 @@ def grid_to_long(
         index = F.floor(F.col("_pos") / stride).cast("int") % F.size(name)
         columns.insert(0, F.get(name, index).alias(name))
         stride = stride * F.size(name)
-    return cells.select(*keep, *columns, *[F.col("_cell")[v].alias(v) for v in variables])
+    found = [_known(F.col("_cell")[v], cubes.schema[v].dataType.elementType).alias(v) for v in variables]
+    return cells.select(*keep, *columns, *found)
 
 
 def combine_by_coords(
@@ -37,13 +44,14 @@ def combine_by_coords(
     """Concatenate files along their coordinates and merge different variables.
 
     Each coordinate tuple gives one row. Parts that disagree on a value fail
-    rather than silently prefer one of them.
+    rather than silently prefer one of them; NaN is a missing value and agrees with all.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.drop(*drop) for p in parts])
     variables = [c for c in stacked.columns if c not in coords]
 
     def agreed(name: str) -> Column:
-        low, high = F.min(name), F.max(name)
+        value = _known(F.col(name), stacked.schema[name].dataType)
+        low, high = F.min(value), F.max(value)
         message = F.concat(F.lit(f"conflicting values of {name}: "), low.cast("string"), F.lit(" and "), high.cast("string"))
         return F.when(low != high, F.raise_error(message).cast(stacked.schema[name].dataType)).otherwise(high).alias(name)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def scan_table(spark: SparkSession, name: str, columns: Sequence[str] = ("*",)) -> DataFrame:
@@ -18,6 +19,15 @@ def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] = ("*",)
 def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header and declared column types; empty fields are NULL.
 
-    The byte-order mark some tools write is accepted, and names come from ``schema``.
+    Columns are found by their name in the header (of any one file; all must share it),
+    in any order; columns that are not declared are left out, and a missing one is an error.
+    The byte-order mark some tools write is accepted.
     """
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=True, mode="FAILFAST")
+    declared = {f.name.lower(): f for f in T.StructType.fromDDL(schema).fields}
+    header = [c.removeprefix("\ufeff") for c in spark.read.csv(path, header=True).columns]
+    missing = declared.keys() - {c.lower() for c in header}
+    if missing:
+        raise ValueError(f"columns missing in {path}: {', '.join(sorted(missing))}")
+    found = [declared.get(c.lower(), T.StructField(c, T.StringType())) for c in header]
+    rows = spark.read.csv(path, schema=T.StructType(found), header=True, enforceSchema=True, mode="FAILFAST")
+    return rows.select(*[f"`{f.name}`" for f in declared.values()])
