@@ -33,10 +33,15 @@ _BLOCK = re.compile(
 )
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_BREAKS = re.compile(r"[\r\n]+")
 # Single spaces stay as they are, so most words cost no replacement.
 _SPACES = re.compile(r"[ \t\r\f\v\xa0]{2,}|[\t\r\f\v\xa0]")
 
 
+def one_line(value: str) -> str:
+    return _BREAKS.sub(" ", value) if "\n" in value or "\r" in value else value
+
+
 def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -47,7 +52,7 @@ def record_id(*parts: object) -> str:
 
 def build_record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     """One WARC/1.1 record; header values lose line breaks."""
-    lines = ["WARC/1.1"] + [f"{k}: {re.sub(r'[\r\n]+', ' ', v)}" for k, v in headers]
+    lines = ["WARC/1.1"] + [f"{k}: {one_line(v)}" for k, v in headers]
     head = "\r\n".join([*lines, f"Content-Length: {len(block)}"]).encode()
     return head + CRLF * 2 + block + CRLF * 2
 
@@ -124,12 +129,9 @@ def derive(page_id: object, data: bytes) -> list[tuple]:
     links = [html_entities.unescape(a or b or c) for a, b, c in _LINK.findall(page)]
     conversion, described = record_id("conversion", refers), record_id("metadata", refers)
 
-    def clean(value: str) -> str:
-        return re.sub(r"[\r\n]+", " ", value)
-
     lines = [("status", status), *((f"http-{k.lower()}", v) for k, v in fields), ("payload-digest", source_digest)]
     lines += [("title", title), ("converted-to", conversion), *(("outlink", x) for x in links)]
-    body = "".join(f"{k}: {clean(v)}\r\n" for k, v in lines)
+    body = "".join(f"{k}: {one_line(v)}\r\n" for k, v in lines)
     out = []
     for kind, name, other, content_type, content in (
         ("metadata", described, conversion, "application/warc-fields", body),
