@@ -133,11 +133,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
         lists = [np.asarray(x, np.int64) for x in frame["terms"]]
         # One order whatever the files: by label and terms.
         order = sorted(range(len(lists)), key=lambda i: (int(frame["toxic"].iloc[i]), lists[i].tobytes()))
-        y = frame["toxic"].to_numpy(np.int64)[order]
+        y = np.array([int(frame["toxic"].iloc[i]) for i in order], np.int64)
         w, v, bias = fit([lists[i] for i in order], y, bits, factors)
         used = np.flatnonzero(w)
         yield pd.DataFrame({"term": [-1], "weight": [bias], "factors": [np.zeros(factors, np.float32)]})
-        yield pd.DataFrame({"term": used, "weight": w[used].astype(np.float64), "factors": list(v[used])})
+        if len(used):
+            yield pd.DataFrame({"term": used, "weight": w[used].astype(np.float64), "factors": list(v[used])})
 
     table = rows.repartition(1).mapInPandas(learn, "term long, weight double, factors array<float>")
     w, v, bias = np.zeros(1 << bits, np.float32), np.zeros((1 << bits, factors), np.float32), 0.0
