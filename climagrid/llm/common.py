@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climagrid.session import scratch_path
@@ -14,6 +14,20 @@ SPACE = r"[\x20\x09-\x0D]"
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 1_000_000
 
+# A batch of texts for Python holds this much at most (or one text): tasks then need the same memory for rows of any length.
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 2_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's bounds of Arrow batches to ours; smaller settings stay."""
+    records, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(records)) <= BATCH_ROWS:
+        spark.conf.set(records, str(BATCH_ROWS))
+    given = spark.conf.get(size).lower()
+    if not given.removesuffix("b").isdigit() or int(given.removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(size, f"{BATCH_BYTES}b")
+
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))

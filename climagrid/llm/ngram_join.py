@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from climagrid.llm import tokens
-from climagrid.llm.common import broadcast_if_bounded, components, lookup, stored, text_or_empty
+from climagrid.llm.common import bound_batches, broadcast_if_bounded, components, lookup, stored, text_or_empty
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -231,6 +231,7 @@ def _verify(threshold: float):
 
 def linked(docs: DataFrame, threshold: float = THRESHOLD, n: int = 5, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[DataFrame, DataFrame]:
     """(rows, nodes): the rows with their node, and per node its copies, class (smallest id and its row key) and links."""
+    bound_batches(docs.sparkSession)
     bands, per_band = choose_bands(threshold, recall, max_hashes)
     rows = stored(signatures(docs, n, bands, per_band), "signatures")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm import tokens
-from climagrid.llm.common import id_hash_mod, stored
+from climagrid.llm.common import bound_batches, id_hash_mod, stored
 
 SAMPLE_ROWS = 24_000
 BITS = 18
@@ -125,6 +125,7 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, b
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits: int = BITS, factors: int = FACTORS) -> tuple:
     """The model as arrays of fixed size; what reaches the driver are its non-zero weights."""
+    bound_batches(docs.sparkSession)
     rows = stored(sample(docs, labels, sample_rows, bits), "toxicity-sample")
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
