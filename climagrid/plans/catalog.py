@@ -169,13 +169,16 @@ def nested_columns(described: DataFrame) -> DataFrame:
     )
 
 
-def dataset_rows(spark: SparkSession, group: str | None = None) -> DataFrame:
-    """The published datasets of one group, or of all, as rows."""
+def dataset_rows(spark: SparkSession, group: str | None = None, prefix: str = "", extension: str = "csv") -> DataFrame:
+    """The published datasets of one group, or of all, as rows.
+
+    ``prefix`` and ``extension`` make the paths equal to those of an existing catalogue.
+    """
     groups = {d["group"] for d in DATASETS.values()}
     if group is not None and group not in groups:
         raise ValueError(f"unknown group {group!r}, known are {sorted(groups)}")
     rows = [
-        (mart, d["name"], d["description"], d["source"], d["theme_slug"], d["tags"], f"{d['file_path']}.csv")
+        (mart, d["name"], d["description"], d["source"], d["theme_slug"], d["tags"], f"{prefix}{d['file_path']}.{extension}")
         for mart, d in DATASETS.items()
         if group in (None, d["group"])
     ]
@@ -219,18 +222,23 @@ def catalog_upsert(
     """Existing entries with a refreshed size, plus incoming entries not there yet.
 
     Everything else in an existing entry is kept as edited. One full join does both.
+    Of incoming rows with one key the smallest is taken. NULL keys match nothing: such
+    entries stay as they are, such incoming rows are all added.
     """
-    new = incoming.select(*[F.col(f"`{c}`").alias(f"_new_{c}") for c in existing.columns])
-    known = F.col(key).isNotNull()
+    rows = incoming.select(*[F.col(f"`{c}`") for c in existing.columns])
+    own_key = F.col(f"`{key}`")
+    new = rows.where(own_key.isNotNull()).groupBy(own_key.alias("_key")).agg(F.min(F.struct("*")).alias("_new"))
+    known = F.col("_known").isNotNull()
     columns = []
     for name in existing.columns:
-        own, other = F.col(f"`{name}`"), F.col(f"`_new_{name}`")
+        own, other = F.col(f"`{name}`"), F.col("_new").getField(name)
         if name == refreshed:
             value = F.coalesce(other, own)
         else:
             value = F.when(known, own).otherwise(other)
         columns.append(value.alias(name))
-    return existing.join(new, F.col(key) == F.col(f"_new_{key}"), "full").select(*columns)
+    joined = existing.withColumn("_known", F.lit(True)).join(new, own_key == F.col("_key"), "full")
+    return joined.select(*columns).unionAll(rows.where(own_key.isNull()))
 
 
 def refresh_catalog(
@@ -239,10 +247,13 @@ def refresh_catalog(
     published: Mapping[str, str],
     themes: DataFrame,
     group: str | None = None,
+    prefix: str = "",
+    extension: str = "csv",
 ) -> DataFrame:
     """The catalogue after publishing: sizes refreshed, unknown datasets of ``group`` added.
 
-    ``exported`` gives the Parquet path and ``published`` the CSV path of each mart.
+    ``exported`` gives the Parquet path and ``published`` the CSV path of each mart;
+    ``prefix`` and ``extension`` are those of the paths in ``existing``.
     """
     spark = existing.sparkSession
     info = column_info(spark)
@@ -250,4 +261,4 @@ def refresh_catalog(
     described = reduce(DataFrame.unionAll, [described_columns(df, mart, info) for mart, df in marts.items()])
     marts_by_path = spark.createDataFrame([(p, m) for m, p in published.items()], "path string, dataset string")
     sizes = published_sizes(spark, list(published.values())).join(marts_by_path, "path").drop("path")
-    return catalog_upsert(existing, catalog_rows(dataset_rows(spark, group), described, themes, sizes))
+    return catalog_upsert(existing, catalog_rows(dataset_rows(spark, group, prefix, extension), described, themes, sizes))

@@ -44,15 +44,15 @@ def load_monthly(observations: DataFrame, path: str, time: str = "valid_time") -
         append_by_name(ready, path, PERIOD)
 
 
-def load_daily(observations: DataFrame, path: str, time: str = "time") -> None:
+def load_daily(observations: DataFrame, path: str, time: str = "time", older: bool = False) -> None:
     """First load creates the table, later loads swap in the months they bring.
 
     The newest stored month may be partial and is downloaded again, so its rows are
-    replaced rather than added to.
+    replaced rather than added to. Earlier months are refused unless ``older`` is set.
     """
     table = stored(observations.sparkSession, path)
     if table is None:
         replace_table(with_period(observations, time), path, PERIOD)
     else:
         known = table.drop(*PERIOD)
-        replace_period(by_name(observations, known), path, time)
+        replace_period(by_name(observations, known), path, time, older)

@@ -1,5 +1,8 @@
 """Sink, table maintenance and catalogue queries: write, then read back."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.plans import catalog
@@ -137,6 +140,36 @@ def described(t):
     return result.select("dataset", "ordinal", "name", "description", "unit", "type", "n_rows", "n_filled")
 
 
+# Themes are regions; the last dataset has an unknown one and is left out.
+_THEMES = {"customer": "AFRICA", "events": "ASIA", "labels": "NOWHERE"}
+
+
+@query(
+    "catalog_full_rows",
+    f"""SELECT 'About ' || dataset AS name, 'f/' || dataset || '.csv' AS file_path, CAST(r_regionkey AS BIGINT) AS theme_id, 'csv' AS file_type,
+          '{catalog.NEW_STATUS}' AS status, n_rows AS file_size_bytes, d.ordinal, d.name AS column_name, d.description, d.unit, d.type
+        FROM ({_DESCRIBED_SQL}) d
+        JOIN (VALUES {", ".join(f"('{d}', '{s}')" for d, s in _THEMES.items())}) x(ds, slug) ON ds = dataset
+        JOIN region ON r_name = slug""",
+)
+def full_rows(t):
+    """Catalogue rows of two tables, one row per nested column; the size is the number of rows."""
+    info = catalog.column_info(t.spark)
+    tables = {d: getattr(t, d).withColumnsRenamed(_RENAMED).withColumn("KEY_ID", F.lit("")) for d in _THEMES}
+    described = reduce(DataFrame.unionAll, [catalog.described_columns(df, d, info) for d, df in tables.items()])
+    counts = [df.agg(F.count("*").alias("file_size_bytes")).select(F.lit(d).alias("dataset"), "file_size_bytes") for d, df in tables.items()]
+    listed = [(d, f"About {d}", d, "", slug, [d], f"f/{d}.csv") for d, slug in _THEMES.items()]
+    datasets = t.spark.createDataFrame(
+        listed, "dataset string, name string, description string, source string, theme_slug string, tags array<string>, file_path string"
+    )
+    themes = t.region.select(F.col("r_name").alias("slug"), F.col("r_regionkey").cast("long").alias("id"))
+    full = catalog.catalog_rows(datasets, described, themes, reduce(DataFrame.unionAll, counts))
+    return full.select("name", "file_path", "theme_id", "file_type", "status", "file_size_bytes", F.posexplode("columns").alias("ordinal", "c")).select(
+        "name", "file_path", "theme_id", "file_type", "status", "file_size_bytes", "ordinal",
+        F.col("c.name").alias("column_name"), "c.description", "c.unit", "c.type",
+    )
+
+
 @query(
     "catalog_upsert",
     """WITH existing AS (SELECT 'f/' || s_suppkey AS file_path, s_name AS name, CAST(s_nationkey AS BIGINT) AS file_size_bytes FROM supplier),

@@ -75,13 +75,22 @@ def replace_newest_month(existing: DataFrame, incoming: DataFrame, time: str) ->
     return kept.drop("_newest").unionAll(by_name(incoming, existing))
 
 
-def replace_period(incoming: DataFrame, path: str, time: str) -> None:
-    """Swap in the months present in ``incoming``; all other months stay untouched.
+def replace_period(incoming: DataFrame, path: str, time: str, older: bool = False) -> None:
+    """Swap in the newest stored month and later ones from ``incoming``; all other months stay untouched.
 
     One dynamic partition overwrite replaces delete-then-append, so a failure in
-    between cannot lose a month.
+    between cannot lose a month. Rows without a time are refused, and so are months
+    before the newest stored one unless ``older`` says that they were delivered in
+    full: the write then fails before it has changed anything.
     """
-    ready = _layout(with_period(incoming, time), PERIOD)
+    dated = with_period(incoming, time)
+    year, month = F.col("year"), F.col("month")
+    refused = F.when(year.isNull(), F.raise_error(F.lit(f"rows without {time}")))
+    if not older:
+        newest = incoming.sparkSession.read.parquet(path).agg(F.max(year * 12 + month)).first()[0]
+        if newest is not None:
+            refused = refused.when(year * 12 + month < newest, F.raise_error(F.lit("a month before the newest stored one")))
+    ready = _layout(dated.withColumn("year", refused.otherwise(year).cast("int")), PERIOD)
     ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
         path, partitionBy=list(PERIOD)
     )

@@ -65,6 +65,18 @@ def test_replace_period_leaves_other_months(spark, folder):
     assert rows(spark.read.parquet(folder).select("month", "v")) == [(1, 1.0), (2, 20.0), (3, 30.0)]
 
 
+def test_replace_period_refuses_what_would_lose_rows(spark, folder):
+    S.replace_table(S.with_period(observations(spark, (JAN, 1.0, 1.0), (FEB, 1.0, 2.0)), "time"), folder, S.PERIOD)
+    before = rows(spark.read.parquet(folder).select("month", "v"))
+    with pytest.raises(Exception, match="before the newest"):
+        S.replace_period(observations(spark, (datetime(2024, 1, 7), 1.0, 9.0), (FEB, 1.0, 8.0)), folder, "time")
+    with pytest.raises(Exception, match="rows without time"):
+        S.replace_period(observations(spark, (FEB, 1.0, 8.0), (None, 1.0, 9.0)), folder, "time")
+    assert rows(spark.read.parquet(folder).select("month", "v")) == before
+    S.replace_period(observations(spark, (JAN, 1.0, 9.0)), folder, "time", older=True)
+    assert rows(spark.read.parquet(folder).select("month", "v")) == [(1, 9.0), (2, 2.0)]
+
+
 def test_replace_newest_month(spark):
     old = observations(spark, (JAN, 1.0, 1.0), (FEB, 1.0, 2.0), (None, 1.0, 7.0))
     new = spark.createDataFrame([(20.0, FEB)], "v double, time timestamp_ntz")
@@ -147,6 +159,17 @@ def test_catalog(spark):
     assert untouched.first()["file_size_bytes"] == 5
 
 
+def test_catalog_keys(spark):
+    """Repeated and NULL keys; paths of an existing catalogue."""
+    shape = "file_path string, name string, file_size_bytes bigint"
+    old = spark.createDataFrame([("a", "edited", 1), (None, "by hand", 2)], shape)
+    new = spark.createDataFrame([("a", "x", 7), ("a", "x", 7), ("b", "y", 8), ("b", "y", 9), (None, "z", 3)], shape)
+    found = sorted(rows(catalog.catalog_upsert(old, new)), key=str)
+    assert found == sorted([("a", "edited", 7), (None, "by hand", 2), ("b", "y", 8), (None, "z", 3)], key=str)
+    paths = [r.file_path for r in catalog.dataset_rows(spark, prefix="r2:", extension="xlsx").collect()]
+    assert paths and all(p.startswith("r2:") and p.endswith(".xlsx") for p in paths)
+
+
 def test_shared_folder(spark):
     base = shared_dir(spark)
     assert scratch_path(spark, "x").startswith(base) and scratch_path(spark, "x") != scratch_path(spark, "x")
