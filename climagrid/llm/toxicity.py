@@ -17,9 +17,12 @@ is the (smoothed) share of toxic rows; equal texts get equal scores; no other co
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +101,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: i
     return w.astype(np.float32), v.astype(np.float32), bias
 
 
+def in_order(rows: list[np.ndarray], labels: np.ndarray, head: int = 32) -> list[int]:
+    """Row numbers by label and terms, the same whatever the files; only equal beginnings are compared in full."""
+
+    def key(i: int, size: int | None = None) -> tuple[int, bytes]:
+        return int(labels[i]), rows[i][:size].astype(np.int64).tobytes()
+
+    by_head = sorted((key(i, head), i) for i in range(len(rows)))
+    return [i for _, run in groupby(by_head, lambda x: x[0]) for i in sorted((i for _, i in run), key=key)]
+
+
 def score_terms(x: np.ndarray, w: np.ndarray, v: np.ndarray, bias: float) -> float:
     va = v[x]
     total = va.sum(0, dtype=np.float64)
@@ -128,20 +141,29 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
     bound_batches(docs.sparkSession)
     rows = stored(sample(docs, labels, sample_rows, bits), "toxicity-sample")
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        frame = pd.concat(parts) if parts else pd.DataFrame({"toxic": [], "terms": []})
-        lists = [np.asarray(x, np.int64) for x in frame["terms"]]
-        # One order whatever the files: by label and terms.
-        order = sorted(range(len(lists)), key=lambda i: (int(frame["toxic"].iloc[i]), lists[i].tobytes()))
-        y = np.array([int(frame["toxic"].iloc[i]) for i in order], np.int64)
-        w, v, bias = fit([lists[i] for i in order], y, bits, factors)
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows are views of the 32-bit numbers as they came: the task holds the sample once.
+        lists, marks = [], []
+        for batch in batches:
+            marks.append(batch.column(0).to_numpy(zero_copy_only=False))
+            sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            lists += np.split(batch.column(1).flatten().to_numpy(), np.cumsum(sizes)[:-1])[: len(sizes)]
+        y = np.concatenate(marks).astype(np.int64) if marks else np.empty(0, np.int64)
+        order = in_order(lists, y)
+        w, v, bias = fit([lists[i] for i in order], y[order], bits, factors)
         used = np.flatnonzero(w)
-        yield pd.DataFrame({"term": [-1], "weight": [bias], "factors": [np.zeros(factors, np.float32)]})
-        if len(used):
-            yield pd.DataFrame({"term": used, "weight": w[used].astype(np.float64), "factors": list(v[used])})
-
-    table = rows.repartition(1).mapInPandas(learn, "term long, weight double, factors array<float>")
+        weights = np.concatenate([[bias], w[used].astype(np.float64)])
+        pairs = np.concatenate([np.zeros((1, factors), np.float32), v[used]])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([[-1], used]), pa.int64()),
+                pa.array(weights, pa.float64()),
+                pa.ListArray.from_arrays(np.arange(len(pairs) + 1, dtype=np.int32) * factors, pa.array(pairs.ravel())),
+            ],
+            ["term", "weight", "factors"],
+        )
+
+    table = rows.repartition(1).mapInArrow(learn, "term long, weight double, factors array<float>")
     w, v, bias = np.zeros(1 << bits, np.float32), np.zeros((1 << bits, factors), np.float32), 0.0
     for row in table.toLocalIterator():
         if row["term"] < 0:

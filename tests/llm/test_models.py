@@ -168,3 +168,14 @@ def test_pairwise_part_learns_combinations():
     model = toxicity.fit(lists, np.array(labels), bits=8, factors=4, epochs=4)
     scores = np.array([toxicity.score_terms(x, *model) for x in lists])
     assert scores[np.array(labels) == 1].mean() > scores[np.array(labels) == 0].mean() + 0.5
+
+
+def test_sample_rows_come_in_one_order():
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 300, rng.integers(0, 9))).astype(np.int32) for _ in range(200)]
+    rows += [np.append(r, np.int32(400)) for r in rows[:40]] + rows[:20]
+    labels = rng.integers(0, 2, len(rows))
+    whole = sorted((int(y), r.astype(np.int64).tobytes()) for y, r in zip(labels, rows))
+    for head in (1, 3, 32):
+        found = toxicity.in_order(rows, labels, head)
+        assert [(int(labels[i]), rows[i].astype(np.int64).tobytes()) for i in found] == whole
