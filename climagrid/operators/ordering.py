@@ -11,16 +11,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from climagrid.session import broadcast_if_small, cut_lineage
+
 # Rows written out per generated array when copies are expanded again.
 REPEAT_CHUNK = 65_536
 
-# Ordered values are cut into at most this many slices.
-MAX_SLICES = 8_192
 # Slices per shuffle partition: several, so that hashing them spreads evenly.
 SLICES_PER_PARTITION = 4
-# Share of the rows that decides where slices are cut: one cut per 10,000 rows at
-# most, and a few kilobytes per scan task to merge. It sets the balance, not the result.
-CUT_SHARE = 1e-4
+# One of so many distinct values, chosen by hash, decides which groups are heavy and where they are cut;
+# all of them do where that leaves fewer than SHORT_SAMPLE. This sets the balance, not the result.
+SAMPLE_OF = 10_000
+SHORT_SAMPLE = 1_000
+# Groups of more distinct values are cut into slices; smaller ones are sorted by one task each.
+HEAVY_VALUES = 100_000
 
 
 def top1_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -67,13 +70,23 @@ def repeat_rows(df: DataFrame, count: str) -> DataFrame:
     return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*columns)
 
 
-def _cut_points(df: DataFrame, value: str, slices: int) -> list:
-    """At most ``slices - 1`` quantiles of a sample of ``value``: a bounded driver round trip."""
+def _sampled(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """Distinct rows of ``columns`` that stand for all of them, and for how many each stands.
+
+    Rows are chosen by the hash of their values, so a value counts once however often it occurs.
+    """
+    chosen = df.select(*columns).where(F.pmod(F.xxhash64(*columns), F.lit(SAMPLE_OF)) == 0).distinct()
+    if chosen.limit(SHORT_SAMPLE).count() < SHORT_SAMPLE:
+        return df.select(*columns).distinct(), 1
+    return chosen, SAMPLE_OF
+
+
+def _cut_points(values: DataFrame, value: str, slices: int) -> list:
+    """At most ``slices - 1`` quantiles of ``value``: a bounded driver round trip."""
     if slices < 2:
         return []
-    sample = df.select(value) if CUT_SHARE >= 1 else df.select(value).sample(CUT_SHARE, seed=7)
     shares = [i / slices for i in range(1, slices)]
-    points = sample.agg(F.percentile_approx(value, shares, max(10_000, 10 * slices)).alias("p")).first()["p"]
+    points = values.agg(F.percentile_approx(value, shares, max(10_000, 10 * slices)).alias("p")).first()["p"]
     return sorted(set(points or []))
 
 
@@ -111,35 +124,43 @@ def with_neighbours(
 ) -> DataFrame:
     """Add the previous and next value of each group; values must be distinct per group.
 
-    One window per group would put a hot group, or a table without groups, into
-    one task. Values are therefore cut at their quantiles and the window runs inside
-    (group, slice). Only the first and last value of a slice still lack a neighbour;
-    those ends, at most two per slice and group, get it from a second, small window.
-    NULL sorts last. ``points_from`` is a cheaper frame with the same value column
-    to take the quantiles from.
+    Groups of up to ``HEAVY_VALUES`` values take one window by group. One window would put a heavier group, or a
+    table without groups, into one task: their values are cut at quantiles of the distinct values and the window runs
+    inside (group, slice). Only the first and last value of a slice then lack a neighbour; those ends, at most two per
+    slice and group, get it from a second, small window.
+    NULL sorts last. ``points_from`` is a cheaper frame with the same groups and values to take the quantiles from.
     """
     kind = distinct.schema[value].dataType
     if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{value}: numbers, dates and timestamps can be ordered in slices")
     if slices is None:
-        partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = min(SLICES_PER_PARTITION * partitions, MAX_SLICES)
-    points = _cut_points(distinct if points_from is None else points_from, value, slices)
+        slices = SLICES_PER_PARTITION * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.asc_nulls_last(value)
     across = W.partitionBy(*(group or [F.lit(0)])).orderBy(order)
-    if not points:
-        # Too few rows to hold a sampled cut: one window is small enough.
-        return distinct.select("*", F.lag(value).over(across).alias(previous), F.lead(value).over(across).alias(following))
-    sliced = distinct.withColumn("_slice", _slice_number(value, points, kind))
+    values, stands_for = _sampled(distinct if points_from is None else points_from, [*group, value])
+    marked = distinct.withColumn("_heavy", F.lit(True))
+    if group:
+        keys = [F.col(g).alias(f"_heavy_{i}") for i, g in enumerate(group)]
+        sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+        heavy = cut_lineage(sizes.where(F.col("_size") * stands_for > HEAVY_VALUES).drop("_size"))
+        if heavy.isEmpty():
+            return distinct.select("*", F.lag(value).over(across).alias(previous), F.lead(value).over(across).alias(following))
+        same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_heavy_{i}")) for i, g in enumerate(group)])
+        flags = broadcast_if_small(heavy).withColumn("_heavy", F.lit(True))
+        marked = distinct.join(flags, same, "left").select(*distinct.columns, F.coalesce("_heavy", F.lit(False)).alias("_heavy"))
+        values = values.join(broadcast_if_small(heavy), same, "left_semi")
+    points = _cut_points(values, value, slices)
+    number = _slice_number(value, points, kind) if points else F.lit(0)
+    sliced = marked.withColumn("_slice", F.when(F.col("_heavy"), number).otherwise(-1))
     inside = W.partitionBy(*group, "_slice").orderBy(order)
     rows = sliced.select("*", F.lag(value).over(inside).alias(previous), F.lead(value).over(inside).alias(following))
-    known = F.col(previous).isNotNull() & F.col(following).isNotNull()
+    known = ~F.col("_heavy") | (F.col(previous).isNotNull() & F.col(following).isNotNull())
     ends = (
         rows.where(~known)
         .withColumn(previous, F.coalesce(previous, F.lag(value).over(across)))
         .withColumn(following, F.coalesce(following, F.lead(value).over(across)))
     )
-    return rows.where(known).unionAll(ends).drop("_slice")
+    return rows.where(known).unionAll(ends).drop("_slice", "_heavy")
 
 
 def counted_lag(df: DataFrame, value: str, group: Sequence[str] = (), previous: str = "previous") -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +21,8 @@ def get_session(app_name: str = "climagrid", master: str | None = None, **conf)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # Checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Recording the Python line of every expression costs more than the expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
@@ -35,25 +35,12 @@ def get_session(app_name: str = "climagrid", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-@cache
-def _local_dir(application: str) -> str:
-    """One temporary folder per local application."""
-    return tempfile.mkdtemp(prefix="climagrid-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder; a cluster without
-    the setting is refused rather than given a path its executors cannot share.
-    """
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir(context.applicationId)
+    return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -12,7 +12,7 @@ from climagrid.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "tests",
         "local[8]",
@@ -20,6 +20,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -22,10 +22,25 @@ def brute_lag(pairs):
     return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.fixture(autouse=True)
-def every_row_may_be_a_cut(monkeypatch):
-    """Small fixtures would hold no sampled cut, so all rows are taken."""
-    monkeypatch.setattr(O, "CUT_SHARE", 1.0)
+@pytest.fixture(autouse=True, params=[0, 20, 100_000])
+def heavy_from(request, monkeypatch):
+    """All groups, some or none are cut into slices."""
+    monkeypatch.setattr(O, "HEAVY_VALUES", request.param)
+
+
+@pytest.mark.parametrize("short", [1, 1_000])
+def test_cuts_follow_distinct_values(spark, monkeypatch, short):
+    """A value that fills most of the table does not move the cuts."""
+    monkeypatch.setattr(O, "SAMPLE_OF", 10)
+    monkeypatch.setattr(O, "SHORT_SAMPLE", short)
+    many = spark.range(20_000).select(F.lit(1).alias("g"), F.col("id").alias("v"))
+    df = many.unionAll(spark.range(200_000).select(F.lit(1), F.lit(77).cast("long")))
+    values, _ = O._sampled(df, ["g", "v"])
+    points = O._cut_points(values, "v", 32)
+    sizes = df.distinct().groupBy(O._slice_number("v", points, T.LongType()).alias("s")).count().collect()
+    assert len(sizes) == 32 and max(r["count"] for r in sizes) < 3 * 20_000 / 32
+    near = O.with_neighbours(df.distinct(), "v", ["g"], points_from=df, slices=32)
+    assert near.where("previous <=> nullif(v, 0) - 1 and following <=> nullif(v, 19999) + 1").count() == 20_000
 
 
 def test_slice_numbers_count_the_cuts_below(spark):
