@@ -18,9 +18,9 @@ REPEAT_CHUNK = 65_536
 
 # Slices per shuffle partition: several, so that hashing them spreads evenly.
 SLICES_PER_PARTITION = 4
-# One of so many distinct values, chosen by hash, decides which groups are heavy and where they are cut;
-# all of them do where that leaves fewer than SHORT_SAMPLE. This sets the balance, not the result.
-SAMPLE_OF = 10_000
+# One of so many distinct values, chosen by hash, decides which groups are heavy and where they are cut: the first
+# number that leaves SHORT_SAMPLE of them, or else all values. This sets the balance, not the result.
+SAMPLE_OF = (10_000, 100)
 SHORT_SAMPLE = 1_000
 # Groups of more distinct values are cut into slices; smaller ones are sorted by one task each.
 HEAVY_VALUES = 100_000
@@ -75,10 +75,11 @@ def _sampled(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
 
     Rows are chosen by the hash of their values, so a value counts once however often it occurs.
     """
-    chosen = df.select(*columns).where(F.pmod(F.xxhash64(*columns), F.lit(SAMPLE_OF)) == 0).distinct()
-    if chosen.limit(SHORT_SAMPLE).count() < SHORT_SAMPLE:
-        return df.select(*columns).distinct(), 1
-    return chosen, SAMPLE_OF
+    for one_of in SAMPLE_OF:
+        chosen = df.select(*columns).where(F.pmod(F.xxhash64(*columns), F.lit(one_of)) == 0).distinct()
+        if chosen.limit(SHORT_SAMPLE).count() == SHORT_SAMPLE:
+            return chosen, one_of
+    return df.select(*columns).distinct(), 1
 
 
 def _cut_points(values: DataFrame, value: str, slices: int) -> list:
