@@ -227,7 +227,7 @@ def dq_relationships_where(
     """Non-NULL child values without a parent, one row per child row.
 
     Children are counted per value before the shuffle, so a value that fills a
-    third of the table travels as one row per task. ``counted`` returns (id,
+    third of the table travels as one row per task; so do parents. ``counted`` returns (id,
     right_id, n) instead of repeated rows, which is all a suite needs.
     """
     children = (
@@ -235,7 +235,7 @@ def dq_relationships_where(
         .groupBy(F.col(column).alias("id"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    parents = to.where(F.col(field).isNotNull() & F.expr(to_condition)).select(F.col(field).alias("id"))
+    parents = to.where(F.col(field).isNotNull() & F.expr(to_condition)).select(F.col(field).alias("id")).distinct()
     orphans = children.join(parents, "id", "left_anti")
     marked = orphans.select("id", F.lit(None).cast(orphans.schema["id"].dataType).alias("right_id"), "n")
     return marked if counted else repeat_rows(marked, "n")
