@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from climagrid.llm import chat, decontamination, exact_dedup, lm_scoring, mixing, ngram_join, secret_scan, token_counts, toxicity, warc
+from climagrid.llm import (
+    chat, decontamination, exact_dedup, lm_scoring, merkle, mixing, ngram_join, repair, secret_scan, token_counts, token_files, toxicity, warc,
+)
 from climagrid.session import scratch_path
 
 
@@ -61,6 +63,21 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.report(_table(spark, folder, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.report(_table(spark, folder, "documents"))
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes the token files of all documents to the shared folder and reads them back."""
+    path = scratch_path(spark, "tokens")
+    token_files.write(_table(spark, folder, "documents"), path)
+    return token_files.report(spark, path)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py`` on all documents."""
     return corpus_pipeline.run(spark, folder)
@@ -70,11 +87,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_exact_dedup, op3_secret_scans, op4_ngram_join, op5_token_counts, op6_chat_formatting,
-        op7_decontamination, op8_warc_derivatives, op9_toxicity, op10_mixing, pipeline,
+        op7_decontamination, op8_warc_derivatives, op9_toxicity, op10_mixing,
+        op11_conversation_repair, op12_merkle_manifest, op13_token_files, pipeline,
     )
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE, "op10_mixing": mixing.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
