@@ -126,20 +126,25 @@ def paths(blocks: DataFrame, group: str, keep: Sequence[str], carry: Sequence[st
     ``path`` holds the siblings of each level, as what is left and what is right of the node in its run. The
     members of a run share all levels but the first, so those are cut once per run.
     """
-    number = F.explode(F.sequence(F.lit(0), F.floor((F.size("members") - 1) / FAN_OUT).cast("int"))).alias("_run")
-    runs = blocks.select(group, *carry, "members", "levels", "above", number)
-
-    def upper(level: Column, depth: Column) -> Column:
-        at = F.floor(F.col("_run") / F.pow(F.lit(float(FAN_OUT)), depth)).cast("int")
-        run = F.substring(level, F.floor(at / FAN_OUT).cast("int") * _RUN + 1, F.lit(_RUN))
-        return _flanks(run, F.pmod(at, F.lit(FAN_OUT)))
-
     inner = F.slice("levels", 2, F.greatest(F.size("levels") - 2, F.lit(0)))
+
+    def of_run(run: Column) -> Column:
+        def upper(level: Column, depth: Column) -> Column:
+            at = F.floor(run / F.pow(F.lit(float(FAN_OUT)), depth)).cast("int")
+            return _flanks(F.substring(level, F.floor(at / FAN_OUT).cast("int") * _RUN + 1, F.lit(_RUN)), F.pmod(at, F.lit(FAN_OUT)))
+
+        first = F.substring(F.element_at("levels", 1), run * _RUN + 1, F.lit(_RUN))
+        return F.named_struct(
+            F.lit("members"), F.slice("members", run * FAN_OUT + 1, F.lit(FAN_OUT)),
+            F.lit("first"), F.when(F.size("levels") > 1, first),
+            F.lit("rest"), F.concat(F.transform(inner, upper), F.col("above")),
+        )
+
+    # What a run needs is cut before the rows are multiplied, so that no row carries the strings of its block along.
+    numbers = F.sequence(F.lit(0), F.floor((F.size("members") - 1) / FAN_OUT).cast("int"))
+    runs = blocks.select(group, *carry, F.transform(numbers, of_run).alias("_runs")).select(group, *carry, F.explode("_runs").alias("_run"))
     cut = runs.select(
-        group, *carry,
-        F.posexplode(F.slice("members", F.col("_run") * FAN_OUT + 1, F.lit(FAN_OUT))).alias("_at", "_m"),
-        F.when(F.size("levels") > 1, F.substring(F.element_at("levels", 1), F.col("_run") * _RUN + 1, F.lit(_RUN))).alias("_first"),
-        F.concat(F.transform(inner, upper), F.col("above")).alias("_rest"),
+        group, *carry, F.posexplode("_run.members").alias("_at", "_m"), F.col("_run.first").alias("_first"), F.col("_run.rest").alias("_rest")
     )
     path = F.when(F.col("_first").isNull(), F.col("_rest")).otherwise(F.concat(F.array(_flanks(F.col("_first"), F.col("_at"))), F.col("_rest")))
     return cut.select(group, F.col("_m.pos").alias("pos"), F.col("_m.hash").alias("hash"), *[F.col(f"_m.{c}").alias(c) for c in keep], *carry, path.alias("path"))
