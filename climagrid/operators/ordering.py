@@ -2,28 +2,22 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from climagrid.session import broadcast_if_small, cut_lineage
 
 # Rows written out per generated array when copies are expanded again.
 REPEAT_CHUNK = 65_536
 
 # Slices per shuffle partition: several, so that hashing them spreads evenly.
 SLICES_PER_PARTITION = 4
-# One of so many distinct values, chosen by hash, decides which groups are heavy and where they are cut: the first
-# number that leaves SHORT_SAMPLE of them, or else all values. This sets the balance, not the result.
-SAMPLE_OF = (10_000, 100)
-SHORT_SAMPLE = 1_000
-# Groups of more distinct values are cut into slices; smaller ones are sorted by one task each.
-HEAVY_VALUES = 100_000
+# Rows whose hashes are the smallest of a table say which groups are cut into slices and where: at least so many rows, and
+# so many for each slice. This sets the balance, not the result.
+SAMPLE_ROWS = 10_000
+SAMPLE_PER_SLICE = 20
 
 
 def top1_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -70,109 +64,114 @@ def repeat_rows(df: DataFrame, count: str) -> DataFrame:
     return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*columns)
 
 
-def _sampled(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
-    """Distinct rows of ``columns`` that stand for all of them, and for how many each stands.
-
-    Rows are chosen by the hash of their values, so a value counts once however often it occurs.
-    """
-    for one_of in SAMPLE_OF:
-        chosen = df.select(*columns).where(F.pmod(F.xxhash64(*columns), F.lit(one_of)) == 0).distinct()
-        if chosen.limit(SHORT_SAMPLE).count() == SHORT_SAMPLE:
-            return chosen, one_of
-    return df.select(*columns).distinct(), 1
-
-
-def _cut_points(values: DataFrame, value: str, slices: int) -> list:
-    """At most ``slices - 1`` quantiles of ``value``: a bounded driver round trip."""
-    if slices < 2:
-        return []
-    shares = [i / slices for i in range(1, slices)]
-    points = values.agg(F.percentile_approx(value, shares, max(10_000, 10 * slices)).alias("p")).first()["p"]
-    return sorted(set(points or []))
+def _order_key(order: Sequence[str]) -> Column:
+    """A struct that compares like the columns in order with NULLs last."""
+    parts = [(F.col(c).isNull().alias(f"null_{i}"), F.col(c).alias(f"value_{i}")) for i, c in enumerate(order)]
+    return F.struct(*[part for pair in parts for part in pair])
 
 
-def _slice_number(value: str, points: list, kind: T.DataType) -> Column:
-    """How many cut points lie below the value; NULL comes after all of them.
+def _cuts(tuples: DataFrame, order: Sequence[str], group: Sequence[str], count: str, slices: int) -> DataFrame:
+    """(group keys, blocks, heads): where the groups that hold more than one slice's share of all tuples are cut.
 
-    The points are looked up in blocks, so that thousands of them cost two short
-    scans per row instead of a long one.
+    The tuples with the smallest hashes are a sample that every run repeats. A group gets as many cuts as whole slices fit
+    into its share of it, at quantiles; so all groups together have at most ``slices`` cuts. They come in blocks of about the
+    square root of their number, with the last cut of each block but the final one in ``heads``.
     """
-    width = math.isqrt(len(points) - 1) + 1
-    blocks = [points[i : i + width] for i in range(0, len(points), width)]
-
-    def array(values: list) -> Column:
-        return F.array(*[F.lit(v).cast(kind) for v in values])
+    rows = max(SAMPLE_ROWS, SAMPLE_PER_SLICE * slices)
+    by_hash = tuples.where(F.col(count) > 0).orderBy(F.xxhash64(*group, *order), *group, *order).limit(rows)
+    keys = [F.col(g).alias(f"_group_{i}") for i, g in enumerate(group)]
+    found = by_hash.select(*keys, _order_key(order).alias("_key")).groupBy(*[f"_group_{i}" for i in range(len(group))])
+    values = found.agg(F.sort_array(F.collect_list("_key")).alias("_keys"))
+    number = F.floor(F.size("_keys") * slices / rows).cast("int")
+    enough = values.withColumn("_number", number).where("_number > 0")
+    places = F.sequence(F.lit(1), F.col("_number"))
+    cut = F.transform(places, lambda i: F.get("_keys", F.floor(i * F.size("_keys") / (F.col("_number") + 1)).cast("int")))
+    spaced = enough.withColumn("_cut", F.array_distinct(cut)).withColumn("width", F.ceil(F.sqrt(F.size("_cut"))).cast("int"))
+    starts = F.sequence(F.lit(0), F.floor((F.size("_cut") - 1) / F.col("width")).cast("int"))
+    blocks = F.transform(starts, lambda i: F.slice("_cut", i * F.col("width") + 1, F.col("width")))
+    heads = F.transform(F.slice("blocks", 1, F.size("blocks") - 1), lambda block: F.element_at(block, -1))
+    kept = [f"_group_{i}" for i in range(len(group))]
+    return spaced.withColumn("blocks", blocks).select(*kept, "width", "blocks", heads.alias("heads"))
+
+
+def _in_slices(tuples: DataFrame, order: Sequence[str], group: Sequence[str], count: str, slices: int) -> DataFrame:
+    """``tuples`` with ``_key`` and ``_slice``: how many cuts of its group lie below a tuple, -1 in groups without cuts."""
+    cuts = _cuts(tuples, order, group, count, slices)
+    keyed = tuples.withColumn("_key", _order_key(order))
+    entry = F.struct("width", "blocks", "heads").alias("_cuts")
+    if group:
+        # At most ``slices`` groups and cuts, by construction.
+        table = F.broadcast(cuts.select(*[f"_group_{i}" for i in range(len(group))], entry))
+        marked = keyed.join(table, _same_group(group), "left").drop(*[f"_group_{i}" for i in range(len(group))])
+    else:
+        marked = keyed.withColumn("_cuts", cuts.select(entry).scalar())
 
     def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda cut: cut < F.col(value)))
+        return F.size(F.filter(values, lambda cut: cut < F.col("_key")))
+
+    block = marked.withColumn("_block", below(F.col("_cuts.heads")))
+    number = F.col("_block") * F.col("_cuts.width") + below(F.get("_cuts.blocks", F.col("_block")))
+    # The count stands in it so that a condition on the slice stays above the aggregate, whose shuffle is then shared.
+    uncut = F.col("_cuts").isNull() | (F.col(count) <= 0)
+    return block.withColumn("_slice", F.when(uncut, -1).otherwise(number)).drop("_cuts", "_block")
 
-    if len(blocks) == 1:
-        position = below(array(points))
-    else:
-        block = below(array([b[-1] for b in blocks[:-1]]))
-        position = block * width + below(F.get(F.array(*[array(b) for b in blocks]), block))
-    return F.when(F.col(value).isNull(), len(points) + 1).otherwise(position)
+
+def _same_group(group: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_group_{i}")) for i, g in enumerate(group)])
 
 
 def with_neighbours(
-    distinct: DataFrame,
-    value: str,
-    group: Sequence[str] = (),
-    previous: str = "previous",
-    following: str = "following",
+    tuples: DataFrame, order: Sequence[str], group: Sequence[str] = (), count: str = "n", largest: Column | None = None,
     slices: int | None = None,
-    points_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the previous and next value of each group; values must be distinct per group.
+    """Add ``_before`` and ``_after``, the order keys next to each tuple of (group, order) in its group, and ``_largest``.
+
+    ``tuples`` are distinct and counted, ``count`` is their number of copies. Groups up to a slice's share of all tuples take one window by group. One window
+    would put a larger group, or a table without groups, into one task: it is cut into slices at quantiles, and the window runs
+    inside (group, slice). The first and last tuples of the slices, a table of at most two rows per slice, then say what lies
+    beyond the ends. Everything is one lazy plan: the sample, the ends and the windows read the same shuffled tuples, so the input
+    is read once.
 
-    Groups of up to ``HEAVY_VALUES`` values take one window by group. One window would put a heavier group, or a
-    table without groups, into one task: their values are cut at quantiles of the distinct values and the window runs
-    inside (group, slice). Only the first and last value of a slice then lack a neighbour; those ends, at most two per
-    slice and group, get it from a second, small window.
-    NULL sorts last. ``points_from`` is a cheaper frame with the same groups and values to take the quantiles from.
+    Keys are structs of (null_i, value_i) per order column, NULLs last; a missing neighbour is NULL. ``largest`` is
+    an expression over a tuple whose maximum in the group is added.
     """
-    kind = distinct.schema[value].dataType
-    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        raise TypeError(f"{value}: numbers, dates and timestamps can be ordered in slices")
     if slices is None:
-        slices = SLICES_PER_PARTITION * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = F.asc_nulls_last(value)
-    across = W.partitionBy(*(group or [F.lit(0)])).orderBy(order)
-    values, stands_for = _sampled(distinct if points_from is None else points_from, [*group, value])
-    marked = distinct.withColumn("_heavy", F.lit(True))
-    if group:
-        keys = [F.col(g).alias(f"_heavy_{i}") for i, g in enumerate(group)]
-        sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-        heavy = cut_lineage(sizes.where(F.col("_size") * stands_for > HEAVY_VALUES).drop("_size"))
-        if heavy.isEmpty():
-            return distinct.select("*", F.lag(value).over(across).alias(previous), F.lead(value).over(across).alias(following))
-        same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_heavy_{i}")) for i, g in enumerate(group)])
-        flags = broadcast_if_small(heavy).withColumn("_heavy", F.lit(True))
-        marked = distinct.join(flags, same, "left").select(*distinct.columns, F.coalesce("_heavy", F.lit(False)).alias("_heavy"))
-        values = values.join(broadcast_if_small(heavy), same, "left_semi")
-    points = _cut_points(values, value, slices)
-    number = _slice_number(value, points, kind) if points else F.lit(0)
-    sliced = marked.withColumn("_slice", F.when(F.col("_heavy"), number).otherwise(-1))
-    inside = W.partitionBy(*group, "_slice").orderBy(order)
-    rows = sliced.select("*", F.lag(value).over(inside).alias(previous), F.lead(value).over(inside).alias(following))
-    known = ~F.col("_heavy") | (F.col(previous).isNotNull() & F.col(following).isNotNull())
-    ends = (
-        rows.where(~known)
-        .withColumn(previous, F.coalesce(previous, F.lag(value).over(across)))
-        .withColumn(following, F.coalesce(following, F.lead(value).over(across)))
+        slices = SLICES_PER_PARTITION * int(tuples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    largest = F.lit(None).cast("int") if largest is None else largest
+    marked = _in_slices(tuples, order, group, count, slices)
+    whole = W.partitionBy(*group, "_slice")
+    inside = whole.orderBy("_key")
+    rows = marked.select(
+        "*", F.lag("_key").over(inside).alias("_before"), F.lead("_key").over(inside).alias("_after"), F.max(largest).over(whole).alias("_largest")
+    )
+    names = [F.col(g).alias(f"_group_{i}") for i, g in enumerate(group)]
+    kept = [f"_group_{i}" for i in range(len(group))]
+    ends = marked.where(F.col("_slice") >= 0).groupBy(*names, F.col("_slice").alias("_end_slice")).agg(
+        F.min("_key").alias("_first"), F.max("_key").alias("_last"), F.max(largest).alias("_end_largest")
+    )
+    across = W.partitionBy(*(kept or [F.lit(0)]))
+    ordered = across.orderBy("_end_slice")
+    beyond = ends.select(
+        *kept, "_end_slice", F.lag("_last").over(ordered).alias("_end_before"), F.lead("_first").over(ordered).alias("_end_after"),
+        F.max("_end_largest").over(across).alias("_end_largest"),
+    )
+    meets = F.col("_slice") == F.col("_end_slice")
+    joined = rows.join(F.broadcast(beyond), meets & _same_group(group) if group else meets, "left")
+    return joined.select(
+        *tuples.columns, F.coalesce("_before", "_end_before").alias("_before"), F.coalesce("_after", "_end_after").alias("_after"),
+        F.coalesce("_end_largest", "_largest").alias("_largest"),
     )
-    return rows.where(known).unionAll(ends).drop("_slice", "_heavy")
 
 
 def counted_lag(df: DataFrame, value: str, group: Sequence[str] = (), previous: str = "previous") -> DataFrame:
-    """Rows of (group, value, previous, n): the value before each one, in value order.
+    """Rows of (group, value, previous, n): the value before each one, in value order, NULL last.
 
     Copies are counted before the shuffle. The first copy follows the previous
     distinct value, the other n - 1 follow their own value.
     """
     distinct = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    near = with_neighbours(distinct, value, group, "_previous", "_following", points_from=df)
-    first = F.struct(F.col("_previous").alias(previous), F.lit(1).cast("long").alias("n"))
+    near = with_neighbours(distinct, [value], group, "_n")
+    first = F.struct(F.col("_before.value_0").alias(previous), F.lit(1).cast("long").alias("n"))
     copies = F.struct(F.col(value).alias(previous), (F.col("_n") - 1).alias("n"))
     return (
         near.select(*group, value, F.explode(F.array(first, copies)).alias("_c"))
@@ -187,43 +186,23 @@ def lag_step(df: DataFrame, value: str, group: Sequence[str] = (), previous: str
 
 
 def counted_ranges(df: DataFrame, lower: str, upper: str, group: Sequence[str] = ()) -> DataFrame:
-    """Ranges in (lower, upper) order as (group, lower, upper, next_lower, is_last, n).
-
-    Inside one lower bound the next lower bound is the same value; only the last
-    range of it, its tail, looks at the next distinct bound. So bounds are ordered
-    instead of ranges. The final range of a group has the largest lower bound, then
-    the largest upper, and is a tail unless open ranges follow it. All other ranges
-    are counted with those taken off, in one grouping that combines copies first:
-    no task sees a whole group or bound. NULLs sort last.
+    """Ranges in (lower, upper) order as (group, lower, upper, next_lower, is_last, n), NULLs last.
+
+    Copies are counted before the shuffle: the last copy of a range looks at the next distinct range, the
+    others are followed by themselves. The last range of a group has its largest known lower bound and, of
+    those, the largest known upper bound; one copy of it is marked.
     """
-    ranges = [*group, lower, upper]
-    one = F.lit(1).cast("long").alias("n")
-    bounds = df.groupBy(*group, lower).agg(
-        F.max(upper).alias("_top"), F.max(F.col(upper).isNull()).alias("_open")
-    )
-    low, top, still_open = F.col(lower), F.col("_top"), F.col("_open")
-    tail = F.when(~still_open, top).alias(upper)
-
-    near = with_neighbours(bounds, lower, group, "_previous", "_following", points_from=df)
-    final_bound = F.when(low.isNull(), F.col("_previous").isNull()).otherwise(F.col("_following").isNull())
-    is_last = final_bound & (~still_open | top.isNull())
-    tails = near.select(*group, lower, tail, F.col("_following").alias("next_lower"), is_last.alias("is_last"), one)
-
-    # NULL is the smallest value inside a struct, so the maximum is the final bound.
-    final = bounds.groupBy(*group).agg(F.max(F.struct(lower, "_top", "_open")).alias("_f")).select(*group, "_f.*")
-    before_open = final.where(still_open & top.isNotNull()).select(*group, lower, top.alias(upper))
-
-    taken = bounds.select(*group, lower, tail).unionAll(before_open)
-    others = (
-        df.select(*ranges, one)
-        .unionAll(taken.select(*ranges, -one))
-        .groupBy(*ranges)
-        .agg(F.sum("n").alias("n"))
+    counted = df.groupBy(*group, lower, upper).agg(F.count(F.lit(1)).alias("_n"))
+    known = F.struct(F.col(lower).isNotNull(), F.col(lower), F.col(upper).isNotNull(), F.col(upper))
+    near = with_neighbours(counted, [lower, upper], group, "_n", known)
+    is_last = known.eqNullSafe(F.col("_largest"))
+    last_copy = F.struct(F.col("_after.value_0").alias("next_lower"), is_last.alias("is_last"), F.lit(1).cast("long").alias("n"))
+    copies = F.struct(F.col(lower).alias("next_lower"), F.lit(False).alias("is_last"), (F.col("_n") - 1).alias("n"))
+    return (
+        near.select(*group, lower, upper, F.explode(F.array(last_copy, copies)).alias("_c"))
+        .select(*group, lower, upper, "_c.*")
         .where(F.col("n") > 0)
     )
-    inner = [low.alias("next_lower"), F.lit(False).alias("is_last")]
-    last = [low.alias("next_lower"), F.lit(True).alias("is_last")]
-    return tails.unionAll(before_open.select(*ranges, *last, one)).unionAll(others.select(*ranges, *inner, "n"))
 
 
 def lead_gap(df: DataFrame, lower: str, upper: str, group: Sequence[str] = ()) -> DataFrame:

@@ -1,8 +1,8 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from climagrid.operators import ordering as O
 
@@ -22,34 +22,44 @@ def brute_lag(pairs):
     return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.fixture(autouse=True, params=[0, 20, 100_000])
-def heavy_from(request, monkeypatch):
-    """All groups, some or none are cut into slices."""
-    monkeypatch.setattr(O, "HEAVY_VALUES", request.param)
+def final_plan(df):
+    """The executed plan; what was reused stands in it once."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("short", [1_000, 10_000])
-def test_cuts_follow_distinct_values(spark, monkeypatch, short):
+@pytest.fixture(autouse=True, params=[12, 10_000])
+def sample_rows(request, monkeypatch):
+    """Groups are cut on a sample of a few rows, or of all rows."""
+    monkeypatch.setattr(O, "SAMPLE_ROWS", request.param)
+    monkeypatch.setattr(O, "SAMPLE_PER_SLICE", request.param // 10)
+
+
+def counted(df):
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def test_cuts_follow_distinct_values(spark, monkeypatch):
     """A value that fills most of the table does not move the cuts."""
-    monkeypatch.setattr(O, "SAMPLE_OF", (1_000, 10))
-    monkeypatch.setattr(O, "SHORT_SAMPLE", short)
+    monkeypatch.setattr(O, "SAMPLE_ROWS", 2_000)
+    monkeypatch.setattr(O, "SAMPLE_PER_SLICE", 20)
     many = spark.range(20_000).select(F.lit(1).alias("g"), F.col("id").alias("v"))
     df = many.unionAll(spark.range(200_000).select(F.lit(1), F.lit(77).cast("long")))
-    values, _ = O._sampled(df, ["g", "v"])
-    points = O._cut_points(values, "v", 32)
-    sizes = df.distinct().groupBy(O._slice_number("v", points, T.LongType()).alias("s")).count().collect()
-    assert len(sizes) == 32 and max(r["count"] for r in sizes) < 3 * 20_000 / 32
-    near = O.with_neighbours(df.distinct(), "v", ["g"], points_from=df, slices=32)
-    assert near.where("previous <=> nullif(v, 0) - 1 and following <=> nullif(v, 19999) + 1").count() == 20_000
+    sizes = O._in_slices(counted(df), ["v"], ["g"], "n", 32).groupBy("_slice").count().collect()
+    assert len(sizes) >= 32 and max(r["count"] for r in sizes) < 3 * 20_000 / 32
+    near = O.with_neighbours(counted(df), ["v"], ["g"], slices=32)
+    assert near.where("_before.value_0 <=> nullif(v, 0) - 1 and _after.value_0 <=> nullif(v, 19999) + 1").count() == 20_000
 
 
-def test_slice_numbers_count_the_cuts_below(spark):
-    points = [3 * i for i in range(11)]
-    df = spark.createDataFrame([(v,) for v in [None, *range(-2, 40)]], "v int")
-    for n in (1, 4, 11):
-        number = O._slice_number("v", points[:n], T.IntegerType())
-        for v, found in df.select("v", number).collect():
-            assert found == (n + 1 if v is None else sum(p < v for p in points[:n]))
+def test_slices_count_the_cuts_below(spark):
+    """Slices ascend with the order, over all groups there are at most as many cuts as asked for, and light groups have none."""
+    df = spark.range(5_000).selectExpr("if(id % 5 = 0, 'light' || id, 'hot') AS g", "id % 1000 AS v", "if(id % 7 = 0, null, id) AS w")
+    found = O._in_slices(counted(df), ["v", "w"], ["g"], "n", 8)
+    order = [(r["g"], r["v"], r["w"] is None, r["w"], r["_slice"]) for r in found.collect()]
+    assert {s for g, *_, s in order if g != "hot"} == {-1}
+    hot = [s for g, *_, s in sorted(r for r in order if r[0] == "hot")]
+    assert hot == sorted(hot) and 1 < len(set(hot)) <= 9
 
 
 @pytest.mark.parametrize("slices", [1, 3, 8, 40])
@@ -58,13 +68,41 @@ def test_neighbours_in_any_number_of_slices(spark, slices):
     keys = [None, "a", "b"]
     pairs = {(random.choice(keys), random.choice([None, *range(80)])) for _ in range(160)}
     df = spark.createDataFrame(list(pairs), "g string, v int")
-    out = O.with_neighbours(df, "v", ["g"], slices=slices)
+    out = O.with_neighbours(counted(df), ["v"], ["g"], slices=slices, largest=F.col("v"))
     expected = {}
     for g in keys:
         values = sorted((v for k, v in pairs if k == g), key=lambda v: (v is None, v))
+        top = max((v for v in values if v is not None), default=None)
         for i, v in enumerate(values):
-            expected[(g, v)] = (values[i - 1] if i else None, values[i + 1] if i + 1 < len(values) else None)
-    assert {(r.g, r.v): (r.previous, r.following) for r in out.collect()} == expected
+            expected[(g, v)] = (values[i - 1 : i] if i else None, values[i + 1 : i + 2] or None, top)
+
+    def shown(key):
+        return None if key is None else [key["value_0"]]
+
+    assert {(r.g, r.v): (shown(r._before), shown(r._after), r._largest) for r in out.collect()} == expected
+
+
+def test_the_input_is_read_once(spark, folder):
+    """The sample, the ends and the windows share the shuffled counts."""
+    spark.range(3_000).selectExpr("id % 4 AS g", "id DIV 3 AS lo", "id DIV 3 + 5 AS up").write.parquet(folder)
+    df = spark.read.parquet(folder)
+    for out, most in ((O.counted_lag(df, "lo", ["g"]), 4), (O.counted_ranges(df, "lo", "up", ["g"]), 4), (O.counted_lag(df, "lo"), 4)):
+        text = final_plan(out)
+        # Without groups the cuts are a subquery; its plan, which reads the input, is not printed to the end.
+        assert text.count("FileScan parquet") <= 1
+        assert len(re.findall(r"^[\W\d]*Exchange ", text, re.M)) <= most
+
+
+def test_building_a_frame_runs_no_job(spark, folder):
+    spark.range(100).selectExpr("id % 4 AS g", "id AS lo", "id AS up").write.parquet(folder)
+    df = spark.read.parquet(folder)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        O.lag_step(df, "lo"), O.lag_step(df, "lo", ["g"]), O.lead_gap(df, "lo", "up", ["g"])
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
 
 
 def test_lag_with_a_hot_group_and_hot_value(spark):
@@ -79,8 +117,9 @@ def test_lag_with_a_hot_group_and_hot_value(spark):
 
 def test_lag_on_empty_and_on_text(spark):
     assert O.lag_step(spark.createDataFrame([], "g string, v int"), "v", ["g"]).collect() == []
-    with pytest.raises(TypeError):
-        O.lag_step(spark.createDataFrame([("a",)], "v string"), "v")
+    assert O.lag_step(spark.createDataFrame([], "v int"), "v").collect() == []
+    words = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "v string")
+    assert rows(O.lag_step(words, "v")) == [("a", "a"), ("a", None), ("b", "a"), (None, "b")]
 
 
 def brute_ranges(triples):
