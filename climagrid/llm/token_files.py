@@ -25,7 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +41,12 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 STRIPE_BYTES = 16 << 20
 ROW_INDEX_STRIDE = 1_000
-# Pieces a task remembers; the table starts anew when it is full.
+# Pieces a Python worker remembers of the current generation; the one before it is kept as long.
 REMEMBERED = 200_000
-# A space that every reading of the split pattern cuts before: its neighbours are white space by no definition.
-_INNER = r"[^\s\x1c-\x1f\x85\u180e\u200b\u2060\ufeff]"
+# Characters that some reading of the split pattern takes for white space, besides those of str.isspace.
+_DOUBTFUL = "᠎​⁠﻿"
+# A space that every reading cuts before: its neighbours are white space by none.
+_INNER = rf"[^\s\x1c-\x1f\x85{_DOUBTFUL}]"
 _CUT = re.compile(f"(?<={_INNER}) (?={_INNER})")
 
 DATA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
@@ -53,6 +55,35 @@ _DATA = pa.schema(
 )
 
 
+class Pieces:
+    """Ids of pieces, as bytes of 32-bit integers; those not met for two generations are forgotten."""
+
+    def __init__(self, library, before: str):
+        self.library, self.before = library, before
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, wanted: set[str]) -> dict[str, bytes]:
+        """A table that holds all wanted pieces."""
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        new = []
+        for piece in wanted - self.young.keys():
+            known = self.old.get(piece)
+            if known is None:
+                new.append(piece)
+            else:
+                self.young[piece] = known
+        found = self.library.encode_batch_fast([self.before + p for p in new], add_special_tokens=False)
+        self.young.update(zip(new, (np.array(x.ids, "<i4").tobytes() for x in found)))
+        return self.young
+
+
+def _is_open(piece: str) -> bool:
+    """Whether a piece between spaces is empty or has white space at an end, so that the space next to it may belong to more."""
+    return not piece or piece[0].isspace() or piece[-1].isspace() or piece[0] in _DOUBTFUL or piece[-1] in _DOUBTFUL
+
+
 class Encoder:
     """Ids of whole texts, by pieces that are encoded once."""
 
@@ -60,26 +91,19 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.first: dict[str, list[int]] = {}
-        self.later: dict[str, list[int]] = {}  # pieces without the space before them
-
-    def _learn(self, known: dict[str, list[int]], pieces: set[str], before: str) -> None:
-        new = [p for p in pieces if p not in known]
-        found = self.library.encode_batch_fast([before + p for p in new], add_special_tokens=False)
-        known.update(zip(new, (x.ids for x in found)))
+        library = Tokenizer.from_file(path)
+        self.first, self.later = Pieces(library, ""), Pieces(library, " ")
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.first) + len(self.later) > REMEMBERED:
-            self.first.clear()
-            self.later.clear()
-        cut = [_CUT.split(t) for t in texts]
-        self._learn(self.first, {c[0] for c in cut}, "")
-        self._learn(self.later, set(chain.from_iterable(c[1:] for c in cut)), " ")
-        later = self.later.__getitem__
-        for pieces in cut:
-            rest = map(later, pieces[1:])
-            yield np.fromiter(chain(self.first[pieces[0]], chain.from_iterable(rest)), np.int32)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of little-endian 32-bit integers."""
+        cut = [t.split(" ") for t in texts]
+        doubtful = {p for p in set(chain.from_iterable(cut)) if _is_open(p)}
+        if doubtful:
+            cut = [pieces if doubtful.isdisjoint(pieces) else _CUT.split(text) for pieces, text in zip(cut, texts)]
+        first = self.first.learn({pieces[0] for pieces in cut})
+        later = self.later.learn(set(chain.from_iterable(islice(pieces, 1, None) for pieces in cut)))
+        find = later.__getitem__
+        return [first[pieces[0]] + b"".join(map(find, islice(pieces, 1, None))) for pieces in cut]
 
 
 @cache
@@ -97,17 +121,15 @@ def encoded(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
+        end = np.array([end_id], "<i4").tobytes()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            lists = [np.append(x, np.int32(end_id)) for x in encoder(tokenizer).encode(texts)]
-            if not lists:
-                continue
+            lists = [x + end for x in encoder(tokenizer).encode([t or "" for t in batch.column(1).to_pylist()])]
             offsets = np.zeros(len(lists) + 1, np.int64)
-            np.cumsum([len(x) for x in lists], out=offsets[1:])
+            np.cumsum([len(x) // 4 for x in lists], out=offsets[1:])
+            ids = pa.array(np.frombuffer(b"".join(lists), "<i4"), pa.int32())
             columns = [
                 batch.column(0), pa.array(np.full(len(lists), part, np.int32)), pa.array(start + offsets[:-1]),
-                pa.array(np.diff(offsets).astype(np.int32)),
-                pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(lists), pa.int32())),
+                pa.array(np.diff(offsets).astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids),
             ]
             start += int(offsets[-1])
             yield pa.RecordBatch.from_arrays(columns, schema=_DATA)

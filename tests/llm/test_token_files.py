@@ -34,16 +34,17 @@ def test_pieces_give_the_ids_of_whole_texts(library):
     rng = random.Random(3)
     parts = [" ", "  ", "\n", "\t", "\xa0", "　", "​", "᠎", "﻿", "\x1c", "\x85", " ", "a", "Word", "é", "漢字", "12", "'s", "'", "!", "<|endoftext|>", "😀", "́", "\x00"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
-    found = list(token_files.Encoder(token_files.TOKENIZER).encode(texts))
+    found = token_files.Encoder(token_files.TOKENIZER).encode(texts)
     expected = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
-    assert [list(f) for f in found] == expected
+    assert [np.frombuffer(f, "<i4").tolist() for f in found] == expected
 
 
 def test_forgetting_pieces_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 3)
     encoder = token_files.Encoder(token_files.TOKENIZER)
-    for text in ("one two three four five", "six seven eight nine ten", "one six two seven"):
-        assert list(next(encoder.encode([text]))) == library.encode(text, add_special_tokens=False).ids
+    for text in ("one two three four five", "six seven eight nine ten", "one six two seven", "nine one three", "x"):
+        assert np.frombuffer(encoder.encode([text])[0], "<i4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoder.encode([]) == []
 
 
 def test_files_of_odd_rows(spark, odd_docs, no_docs, folder, library):
