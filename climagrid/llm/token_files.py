@@ -23,6 +23,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain, islice
@@ -42,7 +43,7 @@ END_ID = 2
 STRIPE_BYTES = 16 << 20
 ROW_INDEX_STRIDE = 1_000
 # Pieces a Python worker remembers of the current generation; the one before it is kept as long.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 # Characters that some reading of the split pattern takes for white space, besides those of str.isspace.
 _DOUBTFUL = "᠎​⁠﻿"
 # A space that every reading cuts before: its neighbours are white space by none.
@@ -63,20 +64,22 @@ class Pieces:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, wanted: set[str]) -> dict[str, bytes]:
-        """A table that holds all wanted pieces."""
+    def unknown(self, wanted: set[str]) -> set[str]:
+        """The pieces that are not in the table; starts a generation when it is full."""
         if len(self.young) > REMEMBERED:
             self.young, self.old = {}, self.young
+        return wanted.difference(self.young)
+
+    def learn(self, unknown: set[str]) -> None:
         new = []
-        for piece in wanted - self.young.keys():
+        for piece in unknown:
             known = self.old.get(piece)
             if known is None:
                 new.append(piece)
             else:
                 self.young[piece] = known
         found = self.library.encode_batch_fast([self.before + p for p in new], add_special_tokens=False)
-        self.young.update(zip(new, (np.array(x.ids, "<i4").tobytes() for x in found)))
-        return self.young
+        self.young.update(zip(new, (array("i", x.ids).tobytes() for x in found)))
 
 
 def _is_open(piece: str) -> bool:
@@ -97,12 +100,16 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of little-endian 32-bit integers."""
         cut = [t.split(" ") for t in texts]
-        doubtful = {p for p in set(chain.from_iterable(cut)) if _is_open(p)}
+        unknown = self.later.unknown(set(chain.from_iterable(cut)))
+        doubtful = {p for p in unknown if _is_open(p)}  # never learned as they are, so all of them are here
         if doubtful:
-            cut = [pieces if doubtful.isdisjoint(pieces) else _CUT.split(text) for pieces, text in zip(cut, texts)]
-        first = self.first.learn({pieces[0] for pieces in cut})
-        later = self.later.learn(set(chain.from_iterable(islice(pieces, 1, None) for pieces in cut)))
-        find = later.__getitem__
+            again = [i for i, pieces in enumerate(cut) if not doubtful.isdisjoint(pieces)]
+            for i in again:
+                cut[i] = _CUT.split(texts[i])
+            unknown = (unknown - doubtful) | self.later.unknown(set(chain.from_iterable(cut[i][1:] for i in again)))
+        self.later.learn(unknown)
+        self.first.learn(self.first.unknown({pieces[0] for pieces in cut}))
+        first, find = self.first.young, self.later.young.__getitem__
         return [first[pieces[0]] + b"".join(map(find, islice(pieces, 1, None))) for pieces in cut]
 
 
