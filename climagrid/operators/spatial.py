@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from climagrid.functions.arithmetic import round_half_away
@@ -13,8 +14,11 @@ from climagrid.operators.ordering import top1_per_group
 MONTHLY_HALF_CELL = 0.125
 DAILY_HALF_CELL = 0.05
 
-# Keys over which the edges of one tile are spread.
-EDGE_SALTS = 4
+# Edges of one tile that share a key; a tile with more is dealt to several.
+EDGES_PER_KEY = 4_096
+
+# Rows of tiles that one covered stretch is listed for at most are 2 to the power of this.
+MAX_LEVEL = 16
 
 # Digits kept of an overlap area in square degrees. Float noise stays below.
 AREA_DIGITS = 12
@@ -39,11 +43,6 @@ def cell_envelope(
     )
 
 
-def _tiles(low: str, high: str, tile: float) -> str:
-    """The numbers of the tiles an interval touches, one row each."""
-    return f"explode(sequence(floor({low} / {tile}D), floor({high} / {tile}D)))"
-
-
 def _area_above(level: str) -> str:
     """Integral of max(y - level, 0) along a straight line from height a to b over width w."""
     u, v = f"(a - {level})", f"(b - {level})"
@@ -55,60 +54,124 @@ def _area_above(level: str) -> str:
 
 
 def _oriented_edges(edges: DataFrame) -> DataFrame:
-    """Edges from left to right with their sign and the lowest y of their ring.
+    """Edges from left to right with a weight: +1 if the region lies below, -1 if it lies above.
 
-    Outer rings count plus, holes minus, whatever direction they are drawn in.
-    Vertical edges have no slope and no sign; they only matter for touching.
+    Outer rings count plus, holes minus, whatever direction they are drawn in. A vertical edge runs
+    from its first point to its second.
     """
     ring = ["region", "poly", "ring"]
-    rings = edges.groupBy(*ring).agg(
-        F.expr("min(least(y1, y2))").alias("floor_y"), F.expr("signum(sum(x1 * y2 - x2 * y1))").alias("turn")
-    )
+    rings = edges.groupBy(*ring).agg(F.expr("signum(sum(x1 * y2 - x2 * y1))").alias("turn"))
     return edges.join(rings, ring).selectExpr(
         "region",
-        f"pmod(hash(poly, ring, seq), {EDGE_SALTS}) AS salt",
-        "CASE WHEN ring = 0 THEN -turn ELSE turn END * signum(x2 - x1) AS weight",
+        "hash(poly, ring, seq) AS edge",
+        "CASE WHEN ring = 0 THEN -turn ELSE turn END * CASE WHEN x1 <= x2 THEN 1D ELSE -1D END AS weight",
         "least(x1, x2) AS xmin",
         "greatest(x1, x2) AS xmax",
         "CASE WHEN x1 <= x2 THEN y1 ELSE y2 END AS yl",
         "CASE WHEN x1 <= x2 THEN y2 ELSE y1 END AS yr",
         "(y2 - y1) / nullif(x2 - x1, 0D) AS slope",
-        "floor_y",
     )
 
 
+def _in_columns(oriented: DataFrame, tile: float) -> DataFrame:
+    """Each edge cut at the borders of the tile columns, from (xl, ya) to (xr, yb), with the tile rows of both ends."""
+    columns = oriented.selectExpr("*", f"explode(sequence(floor(xmin / {tile}D), floor(xmax / {tile}D))) AS tx")
+    cut = columns.selectExpr("*", f"greatest(xmin, tx * {tile}D) AS xl", f"least(xmax, (tx + 1) * {tile}D) AS xr")
+
+    def height(x: str) -> str:
+        """Exact where the edge itself ends."""
+        return f"CASE WHEN {x} >= xmax AND xmax > xmin THEN yr WHEN {x} <= xmin THEN yl ELSE yl + slope * ({x} - xmin) END"
+
+    ends = cut.selectExpr(
+        "region", "edge", "weight", "slope", "tx", "xl", "xr", f"xmin / {tile}D <= tx AND tx < xmax / {tile}D AS enters",
+        f"xmin = xmax AND xmin / {tile}D = tx AS on_border",
+        f"{height('xl')} AS ya", f"CASE WHEN xmin = xmax THEN yr ELSE {height('xr')} END AS yb",
+    )
+    return ends.selectExpr("*", f"floor(ya / {tile}D) AS row_a", f"floor(yb / {tile}D) AS row_b")
+
+
+def _covered(pieces: DataFrame) -> DataFrame:
+    """(tx, level, node, region, cover): where the upper left corner of a tile lies in a region.
+
+    Down the left border of a tile column, the weights of the edges that enter there add up to the cover of what lies
+    below them. It is the same for all rows between two edges, however many: such a stretch is listed by its largest aligned pieces of
+    2**level rows, at most two per level.
+    """
+    entered = pieces.where("enters").groupBy("region", "tx", "row_a").agg(F.sum("weight").alias("weight"))
+    down = W.partitionBy("region", "tx").orderBy(F.desc("row_a"))
+    stretches = entered.select(
+        "region", "tx", F.round(F.sum("weight").over(down)).alias("cover"), F.lead("row_a").over(down).alias("low"),
+        (F.col("row_a") - 1).alias("high"),
+    ).where("cover <> 0 AND low IS NOT NULL")
+    leveled = stretches.selectExpr("*", f"explode(sequence(0, {MAX_LEVEL})) AS level").selectExpr(
+        "*", "ceil(low / pow(2D, level)) AS first", "floor((high + 1) / pow(2D, level)) - 1 AS last"
+    )
+    both = "filter(array(CASE WHEN pmod(first, 2) = 1 THEN first END, CASE WHEN pmod(last, 2) = 0 THEN last END), n -> n IS NOT NULL)"
+    nodes = f"CASE WHEN level < {MAX_LEVEL} THEN array_distinct({both}) ELSE sequence(first, last) END"
+    return leveled.where("first <= last").selectExpr("region", "tx", "cover", "level", f"explode({nodes}) AS node")
+
+
 def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0) -> DataFrame:
     """Overlap area of every (cell, region) that meet; 0 where they only touch.
 
-    The area of a ring inside a cell is the signed sum, over its edges, of the
-    part of the cell below the edge. An edge matters to cells under it down to the
-    ring's lowest point, so edges and cells meet as rectangles: both are listed
-    by the tiles they cover and joined on the tile, and a pair is kept only in the
-    tile that holds the lower left corner of what they share. Edges of a crowded
-    tile are spread over ``EDGE_SALTS`` keys. Partial areas are summed before the
-    shuffle.
+    Cells and edges are cut at the borders of square tiles, and an edge is listed only in tiles that it runs through.
+    In a tile, the region covers a part of a cell, seen from the top border of the tile downwards:
+
+    * as much as covers the tile's upper left corner (see ``_covered``), over the whole width;
+    * more or less to the right of each place where an edge crosses the top border;
+    * less what lies above the edges inside the tile, or more what lies below them.
+
+    Tiles without edges are covered as a whole or not at all, and how many of them a region has does not matter. Edges of a
+    crowded tile are dealt to as many keys as their number asks for. Partial areas are summed before the shuffle.
     """
-    shadows = _oriented_edges(edges).selectExpr("*", f"{_tiles('xmin', 'xmax', tile)} AS tx")
-    shadows = shadows.selectExpr("*", f"{_tiles('floor_y', 'greatest(yl, yr)', tile)} AS ty")
-    tiled = cells.selectExpr("*", f"{_tiles('x0', 'x1', tile)} AS tx").selectExpr("*", f"{_tiles('y0', 'y1', tile)} AS ty")
-    tiled = tiled.selectExpr("*", f"explode(sequence(0, {EDGE_SALTS - 1})) AS salt")
-    left, low, right = "greatest(x0, xmin)", "greatest(y0, floor_y)", "least(x1, xmax)"
-    pairs = (
-        tiled.join(shadows, ["tx", "ty", "salt"])
-        .where(f"{left} <= {right} AND greatest(yl, yr) >= y0 AND floor_y <= y1")
-        .where(f"floor({left} / {tile}D) = tx AND floor({low} / {tile}D) = ty")
-        .selectExpr(
-            "latitude", "longitude", "region", "weight", "y0", "y1", f"{right} - {left} AS w",
-            # Heights at the ends of the shared stretch; exact where the edge itself ends.
-            "CASE WHEN x0 <= xmin THEN yl ELSE yl + slope * (x0 - xmin) END AS a",
-            "CASE WHEN x1 >= xmax THEN yr ELSE yl + slope * (x1 - xmin) END AS b",
-        )
+    pieces = _in_columns(_oriented_edges(edges), tile)
+    listed = pieces.selectExpr("*", "explode(sequence(least(row_a, row_b), greatest(row_a, row_b))) AS ty")
+    crowded = (
+        listed.groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > EDGES_PER_KEY)
+        .select("tx", "ty", F.ceil(F.col("n") / EDGES_PER_KEY).cast("int").alias("salts"))
+    )
+    tiled = cells.selectExpr("*", f"explode(sequence(floor(x0 / {tile}D), floor(x1 / {tile}D))) AS tx").selectExpr(
+        "*", f"explode(sequence(floor(y0 / {tile}D), floor(y1 / {tile}D))) AS ty"
+    )
+    parts = tiled.selectExpr(
+        "*", f"greatest(x0, tx * {tile}D) AS px0", f"least(x1, (tx + 1) * {tile}D) AS px1",
+        f"greatest(y0, ty * {tile}D) AS py0", f"least(y1, (ty + 1) * {tile}D) AS py1", f"(ty + 1) * {tile}D AS top",
+    )
+    dealt = parts.join(crowded, ["tx", "ty"], "left").selectExpr("*", "explode(sequence(0, coalesce(salts, 1) - 1)) AS salt")
+    keyed = listed.join(crowded, ["tx", "ty"], "left").selectExpr("*", "pmod(edge, coalesce(salts, 1)) AS salt").drop("salts", "edge")
+    # An edge that crosses the top border matters to everything right of it, any other one to what it runs over.
+    met = dealt.join(keyed, ["tx", "ty", "salt"]).where("xl <= px1 AND (px0 <= xr OR (row_a > ty) <> (row_b > ty))")
+    # The part of the edge below the top border, over the width of the cell's part; and where it crosses the border.
+    crossing = "CASE WHEN slope IS NULL THEN xl ELSE greatest(xl, least(xr, xl + (top - ya) / slope)) END"
+    crossed = met.selectExpr("*", "int(row_b > ty) - int(row_a > ty) AS rise").selectExpr("*", f"CASE WHEN rise <> 0 THEN {crossing} END AS c")
+    below = crossed.selectExpr(
+        "*", "greatest(px0, CASE WHEN rise < 0 THEN c ELSE xl END) AS l", "least(px1, CASE WHEN rise > 0 THEN c ELSE xr END) AS r",
+        "greatest(px0, xl) AS tl", "least(px1, xr) AS tr",
+    )
+
+    def height(x: str) -> str:
+        return f"CASE WHEN {x} <= xl THEN ya WHEN {x} >= xr THEN yb ELSE ya + slope * ({x} - xl) END"
+
+    heights = below.selectExpr(
+        "*", "greatest(r - l, 0D) AS w", f"{height('l')} AS a", f"{height('r')} AS b",
+        f"{height('tl')} AS ta", f"CASE WHEN xl = xr THEN yb ELSE {height('tr')} END AS tb",
+    )
+    step = "CASE WHEN rise = 0 OR on_border THEN 0D ELSE weight * rise * greatest(px1 - greatest(c, px0), 0D) * (py1 - py0) END"
+    at_edges = heights.selectExpr(
+        "latitude", "longitude", "region", f"weight * (({_area_above('py0')}) - ({_area_above('py1')})) + {step} AS area",
+        "px0 <= xr AND least(ta, tb) <= y1 AND greatest(ta, tb) >= y0 AS touching",
+    )
+    asked = tiled.select("tx", "ty").distinct().selectExpr("*", f"explode(sequence(0, {MAX_LEVEL})) AS level").selectExpr(
+        "*", "floor(ty / pow(2D, level)) AS node"
+    )
+    cover = asked.join(_covered(pieces), ["tx", "level", "node"]).select("tx", "ty", "region", "cover")
+    inside = parts.join(cover, ["tx", "ty"]).selectExpr(
+        "latitude", "longitude", "region", "cover * (px1 - px0) * (py1 - py0) AS area", "false AS touching"
     )
-    below = F.expr(f"sum(weight * (({_area_above('y0')}) - ({_area_above('y1')})))")
-    touching = F.expr("max(least(a, b) <= y1 AND greatest(a, b) >= y0)")
     return (
-        pairs.groupBy("latitude", "longitude", "region")
-        .agg(round_half_away(below, AREA_DIGITS).alias("overlap_area"), touching.alias("touching"))
+        at_edges.unionAll(inside)
+        .groupBy("latitude", "longitude", "region")
+        .agg(round_half_away(F.sum("area"), AREA_DIGITS).alias("overlap_area"), F.max("touching").alias("touching"))
         .where("overlap_area > 0 OR touching")
         .drop("touching")
     )

@@ -1,4 +1,5 @@
 import json
+import math
 import os
 
 import pytest
@@ -125,16 +126,103 @@ def test_edges_of_features(spark, edges, folder):
     assert R.read_features(spark, lines, True).first()["properties"] == {"NAME_1": "AliSabieh", "GID_1": "x"}
 
 
-@pytest.mark.skipif("REGION_GEOJSON" not in os.environ, reason="no administrative polygons given")
-def test_administrative_goldens(spark):
-    """Six regions, 0.25 and 0.1 degree lattices: known cell counts and total area."""
-    edges = R.region_names(R.regions_from_geojson(spark, os.environ["REGION_GEOJSON"]))
-    points = [(11.0 + i * 0.25, 41.75 + j * 0.25) for i in range(7) for j in range(8)]
-    cells = S.cell_envelope(spark.createDataFrame(points, "latitude double, longitude double"), S.MONTHLY_HALF_CELL)
-    counts = {r.region: r["count"] for r in S.cell_region_map(cells, edges).groupBy("region").count().collect()}
-    assert counts == {"Dikhil": 14, "Tadjoura": 12, "Obock": 9, "Ali Sabieh": 6, "Arta": 3, "Djibouti": 1}
-    points = [((109 + i) / 10, (417 + j) / 10) for i in range(19) for j in range(19)]
-    cells = S.cell_envelope(spark.createDataFrame(points, "latitude double, longitude double"), S.DAILY_HALF_CELL)
-    overlaps = S.join_spatial_overlap(cells, edges)
-    assert abs(overlaps.agg(F.sum("overlap_area")).first()[0] - 1.8552282) < 1e-7
-    assert overlaps.where("overlap_area > 0").select("latitude", "longitude").distinct().count() == 230
+def edge_rows(name, outline, poly=0, ring_number=0):
+    return [(name, poly, ring_number, i, *outline[i], *outline[i + 1]) for i in range(len(outline) - 1)]
+
+
+EDGES = "region string, poly int, ring int, seq int, x1 double, y1 double, x2 double, y2 double"
+POINTS = "latitude double, longitude double"
+
+
+def provinces():
+    """Six regions in two rows that share winding borders, from a rule: every inner point of a border belongs to two outlines."""
+
+    def border(a, b, steps, depth, phase):
+        (x0, y0), (x1, y1) = a, b
+        points = [a]
+        for i in range(1, steps):
+            t = i / steps
+            bend = depth * math.sin(math.pi * t) * math.sin(phase + 37 * t)
+            points.append((x0 + (x1 - x0) * t - (y1 - y0) * bend, y0 + (y1 - y0) * t + (x1 - x0) * bend))
+        return [*points, b]
+
+    corner = {(i, j): (41.75 + 0.6 * i + 0.05 * j, 10.9 + 0.8 * j - 0.07 * i) for i in range(4) for j in range(3)}
+    across = {(i, j): border(corner[i, j], corner[i + 1, j], 60, 0.12, i + 3 * j) for i in range(3) for j in range(3)}
+    up = {(i, j): border(corner[i, j], corner[i, j + 1], 45, 0.1, 5 + i + 4 * j) for i in range(4) for j in range(2)}
+    outlines = {}
+    for j in range(2):
+        for i in range(3):
+            outline = across[i, j] + up[i + 1, j][1:] + across[i, j + 1][::-1][1:] + up[i, j][::-1][1:]
+            outlines[f"province {i}{j}"] = outline if (i + j) % 2 else outline[::-1]
+    return outlines
+
+
+@pytest.mark.parametrize("half", [S.MONTHLY_HALF_CELL, S.DAILY_HALF_CELL])
+def test_detailed_borders(spark, monkeypatch, half):
+    """Areas, cell counts and largest regions on lattices over winding borders, with crowded tiles dealt to several keys."""
+    monkeypatch.setattr(S, "EDGES_PER_KEY", 50)
+    outlines = provinces()
+    edges = spark.createDataFrame([r for name, o in outlines.items() for r in edge_rows(name, o)], EDGES)
+    step = 2 * half
+    points = [(round(10.4 + i * step, 6), round(41.4 + j * step, 6)) for i in range(int(2.6 / step)) for j in range(int(2.6 / step))]
+    cells = S.cell_envelope(spark.createDataFrame(points, POINTS), half)
+    expected = {}
+    for lat, lon in points:
+        for name, outline in outlines.items():
+            area = brute_area([*outline[:-1], outline[0]], lon - half, lat - half, lon + half, lat + half)
+            if area > 1e-10:
+                expected[lat, lon, name] = area
+    found = {(r.latitude, r.longitude, r.region): r.overlap_area for r in S.join_spatial_overlap(cells, edges, 0.5).collect()}
+    assert {k for k, area in found.items() if area > 1e-10} == expected.keys()
+    assert all(abs(found[k] - expected[k]) < 1e-9 for k in expected)
+    shape = sum(abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(o, o[1:]))) / 2 for o in outlines.values())
+    assert abs(sum(found.values()) - shape) < 1e-6  # the lattice holds all of them, and they share no area
+    best = {}
+    for (lat, lon, name), area in expected.items():
+        best[lat, lon] = min(best.get((lat, lon), (0, "")), (-area, name))
+    chosen = {(r.latitude, r.longitude): r.region for r in S.cell_region_map(cells, edges, 0.5).collect()}
+    assert {k: name for k, (_, name) in best.items()} == {k: chosen[k] for k in best}
+
+
+def test_height_of_a_region_costs_nothing(spark):
+    """A region of ten million rows of tiles is listed like one of ten."""
+    listed = {}
+    for height in (10.0, 1e7):
+        outline = [(0.25, 0.5), (2.5, 0.5), (2.5, height), (0.25, height + 0.25), (0.25, 0.5)]
+        edges = spark.createDataFrame(edge_rows("tall", [(x, float(y)) for x, y in outline]), EDGES)
+        steep = S._in_columns(S._oriented_edges(edges), 1.0).where("slope IS NOT NULL")
+        listed[height] = S._covered(steep).count()
+    assert listed[10.0] <= listed[1e7] <= 3 * 2 * S.MAX_LEVEL + 3 * 1e7 / 2**S.MAX_LEVEL
+    outline = [(0.25, -1000.5), (2.5, -1000.5), (2.5, 3000.0), (0.25, 3000.0), (0.25, -1000.5)]
+    edges = spark.createDataFrame(edge_rows("tall", outline), EDGES)
+    points = [(y + 0.3, 1.9) for y in (-1002.0, -1000.9, -700.0, 0.0, 1234.0, 2999.5, 3001.0)]
+    cells = S.cell_envelope(spark.createDataFrame(points, POINTS), 0.5)
+    found = {r.latitude: r.overlap_area for r in S.join_spatial_overlap(cells, edges).collect()}
+    expected = {y: round(brute_area(outline, x - 0.5, y - 0.5, x + 0.5, y + 0.5), 9) for y, x in points}
+    assert {y: round(a, 9) for y, a in found.items()} == {y: a for y, a in expected.items() if a > 0}
+
+
+def test_corners_and_borders_of_tiles(spark):
+    """Outlines whose points, edges and crossings lie exactly on tile borders, and a region around a hole of whole tiles."""
+    shapes = {
+        "diamond": [(1.0, 0.0), (2.0, 1.0), (1.0, 2.0), (0.0, 1.0), (1.0, 0.0)],
+        "steps": [(3.0, 0.0), (6.0, 0.0), (6.0, 1.0), (5.0, 1.0), (5.0, 2.0), (4.0, 2.0), (4.0, 3.0), (3.0, 3.0), (3.0, 0.0)],
+        "slab": [(-4.0, -3.0), (8.0, -3.0), (8.0, -1.0), (-4.0, -1.0), (-4.0, -3.0)],
+        "frame": [(-4.0, 4.0), (4.0, 4.0), (4.0, 12.0), (-4.0, 12.0), (-4.0, 4.0)],
+    }
+    hole = [(-2.0, 6.0), (2.0, 6.0), (2.0, 10.0), (-2.0, 10.0), (-2.0, 6.0)]
+    rows_ = [r for name, o in shapes.items() for r in edge_rows(name, o)] + edge_rows("frame", hole, 0, 1)
+    edges = spark.createDataFrame(rows_, EDGES)
+    points = [(y / 2 - 4, x / 2 - 5) for y in range(36) for x in range(30)]
+    for half in (0.25, 0.4):
+        cells = S.cell_envelope(spark.createDataFrame(points, POINTS), half)
+        found = {(r.latitude, r.longitude, r.region): r.overlap_area for r in S.join_spatial_overlap(cells, edges).collect() if r.overlap_area > 0}
+        expected = {}
+        for lat, lon in points:
+            box = (lon - half, lat - half, lon + half, lat + half)
+            for name, outline in shapes.items():
+                area = brute_area(outline, *box) - (brute_area(hole, *box) if name == "frame" else 0)
+                if area > 1e-10:
+                    expected[lat, lon, name] = area
+        assert found.keys() == expected.keys()
+        assert all(abs(found[k] - expected[k]) < 1e-9 for k in expected)
