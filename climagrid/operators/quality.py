@@ -7,7 +7,7 @@ can count many of them in one pass over a table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -118,8 +118,8 @@ def dq_at_least_one(df, column: str, group_by: Sequence[str] = ()) -> DataFrame:
 
 def dq_not_constant(df, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     """Groups with exactly one distinct non-NULL value."""
-    counted = df.groupBy(*group_by).agg(F.count_distinct(column).alias("filler_column"))
-    return counted.where("filler_column = 1")
+    ends = df.groupBy(*group_by).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
+    return ends.where("_low = _high").select(*group_by, F.lit(1).cast("long").alias("filler_column"))
 
 
 def dq_not_null_proportion(
@@ -355,23 +355,92 @@ class RowCheck:
     severity: str = "error"
 
 
+@dataclass(frozen=True)
+class GroupCheck:
+    """A named rule over the groups of a table: the groups whose ``measure`` is ``broken`` fail.
+
+    ``unique_check`` and the functions after it make the usual ones.
+    """
+
+    name: str
+    keys: tuple[str, ...]
+    measure: Column
+    broken: Callable[[Column], Column]
+    error_if: str = "!= 0"
+    warn_if: str = "!= 0"
+    severity: str = "error"
+
+
+def unique_check(name: str, column: str, **thresholds) -> GroupCheck:
+    """Counts non-NULL values that occur more than once."""
+    return GroupCheck(name, (column,), F.count(F.lit(1)), lambda n: (n > 1) & F.col(column).isNotNull(), **thresholds)
+
+
+def unique_combination_check(name: str, columns: Sequence[str], **thresholds) -> GroupCheck:
+    """Counts repeated tuples; NULLs count as equal."""
+    return GroupCheck(name, tuple(columns), F.count(F.lit(1)), lambda n: n > 1, **thresholds)
+
+
+def at_least_one_check(name: str, column: str, group_by: Sequence[str], **thresholds) -> GroupCheck:
+    """Counts groups without a single non-NULL value."""
+    return GroupCheck(name, tuple(group_by), F.count(column), lambda n: n == 0, **thresholds)
+
+
+def not_constant_check(name: str, column: str, group_by: Sequence[str], **thresholds) -> GroupCheck:
+    """Counts groups with exactly one distinct non-NULL value."""
+    return GroupCheck(name, tuple(group_by), F.min(column) == F.max(column), lambda same: same, **thresholds)
+
+
+def not_null_proportion_check(name: str, column: str, group_by: Sequence[str], at_least: float, at_most: float = 1.0, **thresholds) -> GroupCheck:
+    """Counts groups whose share of non-NULL values is out of bounds."""
+    return GroupCheck(name, tuple(group_by), not_null_share(column), lambda s: (s < at_least) | (s > at_most), **thresholds)
+
+
+def _counted_in_one_scan(df: DataFrame, rules: Sequence[RowCheck | GroupCheck]) -> DataFrame:
+    """(check, failures) of all rules of a table.
+
+    All groupings are grouping sets of one aggregate; the row rules are counted in the groups of one set and added
+    up. Without group rules there is a single group.
+    """
+    groupings = list(dict.fromkeys(r.keys for r in rules if isinstance(r, GroupCheck)))
+    if any(not keys for keys in groupings):
+        raise ValueError("a group rule needs group columns")
+
+    def counter(rule: RowCheck) -> Column:
+        return F.count_if(rule.broken if rule.where is None else rule.where & rule.broken)
+
+    if not groupings:
+        failures = [(r.name, counter(r)) for r in rules]
+        counted = df
+    else:
+        columns = list(dict.fromkeys(k for keys in groupings for k in keys))
+        # The bits of grouping_id, first column highest, mark the columns that a set leaves out.
+        number = {keys: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys) for keys in groupings}
+        measures = [(counter(r) if isinstance(r, RowCheck) else r.measure).alias(f"_measure_{i}") for i, r in enumerate(rules)]
+        sets = [[F.col(k) for k in keys] for keys in groupings]
+        counted = df.groupingSets(sets, *[F.col(c) for c in columns]).agg(F.grouping_id().alias("_set"), *measures)
+        failures = []
+        for i, r in enumerate(rules):
+            measure = F.col(f"_measure_{i}")
+            if isinstance(r, RowCheck):
+                failures.append((r.name, F.coalesce(F.sum(F.when(F.col("_set") == number[groupings[0]], measure)), F.lit(0))))
+            else:
+                failures.append((r.name, F.count_if((F.col("_set") == number[r.keys]) & r.broken(measure))))
+    entries = [F.struct(F.lit(name).alias("check"), n.cast("long").alias("failures")) for name, n in failures]
+    return counted.agg(F.array(*entries).alias("_all")).select(F.inline("_all"))
+
+
 def dq_suite(
-    checks: Sequence[Check] = (), row_checks: Sequence[tuple[DataFrame, Sequence[RowCheck]]] = ()
+    checks: Sequence[Check] = (), row_checks: Sequence[tuple[DataFrame, Sequence[RowCheck | GroupCheck]]] = ()
 ) -> DataFrame:
     """(check, failures, status) of many checks.
 
-    Row rules of one table share a single scan; every other check is one aggregate.
+    Row rules and group rules of one table share a single scan and a single aggregate; every other check is an aggregate
+    of its own.
     """
     parts, rules = [], {}
     for df, group in row_checks:
-        counters = [
-            F.struct(
-                F.lit(r.name).alias("check"),
-                F.count_if(r.broken if r.where is None else r.where & r.broken).alias("failures"),
-            )
-            for r in group
-        ]
-        parts.append(df.agg(F.array(*counters).alias("_all")).select(F.inline("_all")))
+        parts.append(_counted_in_one_scan(df, group))
         rules.update({r.name: r for r in group})
     for check in checks:
         number = F.count(F.lit(1)) if check.failures is None else check.failures
@@ -382,7 +451,7 @@ def dq_suite(
     return results.withColumn("status", _status(rules))
 
 
-def _status(rules: Mapping[str, Check | RowCheck]) -> Column:
+def _status(rules: Mapping[str, Check | RowCheck | GroupCheck]) -> Column:
     status = F.lit("pass")
     for name, rule in rules.items():
         outcome = F.when(F.expr(f"failures {rule.warn_if}"), "warn").otherwise("pass")

@@ -304,19 +304,52 @@ _SUITE = {
     ),
 )
 def suite(t):
-    rules = [
+    lines = [
         Q.RowCheck("quantity_range", Q.bad_range("l_quantity", 1, 49)),
         Q.RowCheck("tax_is_low", Q.bad_expression("l_tax < 0.5")),
         Q.RowCheck("returned_has_quantity", Q.bad_null("l_quantity"), where=F.col("l_returnflag") == "R", severity="warn"),
+        Q.unique_combination_check("lines_differ", ["l_orderkey", "l_linenumber"]),
     ]
+    orders = [Q.unique_check("must_differ", "o_custkey", error_if="< 1", warn_if="< 0")]
     known = Q.dq_relationships_where(
         t.orders, "o_custkey", t.customer, "c_custkey", to_condition="c_acctbal > 0", counted=True
     )
     checks = [
         Q.Check("known_customers", known, Q.counted_failures()),
-        Q.Check("lines_differ", Q.dq_unique_combination(t.lineitem, ["l_orderkey", "l_linenumber"])),
         Q.Check("nations_balanced", Q.dq_equal_rowcount(*_nations(t), ["nation"]), Q.equal_rowcount_failures()),
         Q.Check("same_orders", Q.dq_equality(t.orders, t.orders), Q.equality_failures()),
-        Q.Check("must_differ", Q.dq_unique(t.orders, "o_custkey"), error_if="< 1", warn_if="< 0"),
     ]
-    return Q.dq_suite(checks, [(_lines(t), rules)])
+    return Q.dq_suite(checks, [(_lines(t), lines), (t.orders, orders)])
+
+
+_GROUPS = {
+    "price_given": "SELECT count(*) FROM orders WHERE NOT (o_totalprice > 1000)",
+    "one_order_per_day": "SELECT count(*) FROM (SELECT 1 FROM d GROUP BY o_custkey, day HAVING count(*) > 1)",
+    "customers_once": "SELECT count(*) FROM (SELECT 1 FROM d WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1)",
+    "some_clerk": "SELECT count(*) FROM (SELECT 1 FROM d GROUP BY o_custkey HAVING count(urgent) = 0)",
+    "prices_vary": "SELECT count(*) FROM (SELECT 1 FROM d GROUP BY o_custkey HAVING count(DISTINCT o_orderpriority) = 1)",
+    "mostly_urgent": "SELECT count(*) FROM (SELECT 1 FROM d GROUP BY day HAVING avg(CASE WHEN urgent IS NULL THEN 0e0 ELSE 1e0 END) < 0.3)",
+}
+
+
+@query(
+    "dq_suite_groups",
+    """WITH d AS (SELECT nullif(o_custkey, 10) AS o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderpriority,
+         CASE WHEN o_orderpriority < '3' THEN o_orderkey END AS urgent FROM orders) """
+    + " UNION ALL ".join(f"SELECT '{n}' AS \"check\", CAST(({sql}) AS BIGINT) AS failures FROM (SELECT 1)" for n, sql in _GROUPS.items()),
+)
+def suite_of_groups(t):
+    """Row and group rules over three groupings of one table, in one scan."""
+    orders = t.orders.select(
+        F.nullif(F.col("o_custkey"), F.lit(10)).alias("o_custkey"), F.col("o_orderdate").cast("date").alias("day"), "o_orderpriority",
+        "o_totalprice", F.when(F.col("o_orderpriority") < "3", F.col("o_orderkey")).alias("urgent"),
+    )
+    rules = [
+        Q.RowCheck("price_given", Q.bad_expression("o_totalprice > 1000")),
+        Q.unique_combination_check("one_order_per_day", ["o_custkey", "day"]),
+        Q.unique_check("customers_once", "o_custkey"),
+        Q.at_least_one_check("some_clerk", "urgent", ["o_custkey"]),
+        Q.not_constant_check("prices_vary", "o_orderpriority", ["o_custkey"]),
+        Q.not_null_proportion_check("mostly_urgent", "urgent", ["day"], 0.3),
+    ]
+    return Q.dq_suite(row_checks=[(orders, rules)]).drop("status")

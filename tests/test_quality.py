@@ -198,3 +198,26 @@ def test_suite(spark):
         "n.in range": (1, "fail"), "n_filled": (1, "warn"), "s_filled": (0, "pass"), "tolerant": (1, "warn"),
         "expected_failure": (1, "pass"),
     }
+
+
+def test_suite_fuses_group_rules(spark, folder):
+    """Row and group rules of a table are one scan and one aggregate over it, with the results of the single checks."""
+    data = [(1, "a", 5), (1, "a", 5), (1, "b", None), (2, "a", 7), (None, "b", None), (None, "b", None), (3, None, None)]
+    spark.createDataFrame(data, "k int, s string, v int").write.parquet(folder)
+    df = spark.read.parquet(folder)
+    rules = [
+        Q.unique_combination_check("pairs", ["k", "s"]), Q.unique_check("keys", "k"), Q.at_least_one_check("some", "v", ["s"]),
+        Q.not_constant_check("vary", "v", ["s"]), Q.not_null_proportion_check("filled", "v", ["k"], 0.5, severity="warn"),
+        Q.RowCheck("small", Q.bad_range("v", 0, 5)),
+    ]
+    out = Q.dq_suite(row_checks=[(df, rules)])
+    assert {r.check: r.failures for r in out.collect()} == {
+        "pairs": Q.dq_unique_combination(df, ["k", "s"]).count(), "keys": Q.dq_unique(df, "k").count(),
+        "some": Q.dq_at_least_one(df, "v", ["s"]).count(), "vary": Q.dq_not_constant(df, "v", ["s"]).count(),
+        "filled": Q.dq_not_null_proportion(df, "v", 0.5, group_by=["k"]).count(), "small": 1,
+    }
+    assert out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("FileScan") == 1
+    empty = {r.check: (r.failures, r.status) for r in Q.dq_suite(row_checks=[(df.limit(0), rules)]).collect()}
+    assert set(empty.values()) == {(0, "pass")}
+    with pytest.raises(ValueError, match="group columns"):
+        Q.dq_suite(row_checks=[(df, [Q.at_least_one_check("some", "v", [])])])
