@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,3 +58,21 @@ def load_daily(observations: DataFrame, path: str, time: str = "time", older: bo
     else:
         known = table.drop(*PERIOD)
         replace_period(by_name(observations, known), path, time, older)
+
+
+def load_all(
+    loads: Mapping[str, Callable[[], DataFrame]], time: str = "time", older: bool = False, raise_at_end: bool = True
+) -> dict[str, Exception]:
+    """Load every daily table (path to a function that gives its new rows); a table that fails does not keep the others back.
+
+    Returns the failures by path, or raises them together when all tables have been tried.
+    """
+    failed: dict[str, Exception] = {}
+    for path, observations in loads.items():
+        try:
+            load_daily(observations(), path, time, older)
+        except Exception as error:  # noqa: BLE001 - whatever it is, it belongs to this table
+            failed[path] = error
+    if failed and raise_at_end:
+        raise ExceptionGroup(f"{len(failed)} of {len(loads)} tables failed: {', '.join(failed)}", list(failed.values()))
+    return failed

@@ -9,6 +9,7 @@ from climagrid.plans import catalog
 from climagrid.registry import query
 from climagrid.session import scratch_path
 from climagrid.sinks import tables as S
+from climagrid.sinks.months import MonthTable
 
 _PERIOD = ["year", "month"]
 
@@ -72,6 +73,19 @@ def replaced_period(t):
     return t.spark.read.parquet(path)
 
 
+@query(
+    "replace_months_by_manifest",
+    _REPLACED.format(extra=", CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month"),
+)
+def replaced_by_manifest(t):
+    """The same through a manifest; the second delivery arrives twice."""
+    table = MonthTable(t.spark, scratch_path(t.spark, "months"), "o_orderdate")
+    table.replace(_order_lines(t), "first")
+    table.replace(_redelivery(t), "again")
+    table.replace(_redelivery(t).withColumn("o_totalprice", F.lit(0.0)), "again")
+    return table.read()
+
+
 @query("replace_newest_month", _REPLACED.format(extra=""))
 def replaced_month(t):
     """The same as a query over two frames, for tables that are not partitioned."""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from climagrid.registry import query
 from climagrid.session import scratch_path
-from climagrid.sources.grid import combine_by_coords, grid_to_long
+from climagrid.sources.grid import combine_by_coords, combine_folder, grid_to_long
 from climagrid.sources.regions import regions_from_geojson
 from climagrid.sources.tables import scan_csv, scan_parquet, scan_table
 
@@ -64,6 +64,22 @@ def combined_files(t):
     return combine_by_coords(files, ["time", "user_id"])
 
 
+@query(
+    "combine_folder",
+    "SELECT CAST(ts AS DATE) AS time, user_id, "
+    + ", ".join(f"max(CASE WHEN event_type = '{k}' THEN value END) AS {k}" for k in _KINDS)
+    + " FROM events GROUP BY 1, 2",
+)
+def combined_folder(t):
+    """The same from files: a folder per kind of event, several files in each, merged in one scan."""
+    folder = scratch_path(t.spark, "parts")
+    for kind in _KINDS:
+        one = t.events.where(F.col("event_type") == kind)
+        grouped = one.groupBy(F.col("ts").cast("date").alias("time"), "user_id").agg(F.max("value").alias(kind))
+        grouped.withColumn("crs", F.lit(0)).write.parquet(f"{folder}/{kind}")
+    return combine_folder(t.spark, folder, ["time", "user_id"]).select("time", "user_id", *_KINDS)
+
+
 @query(
     "regions_from_geojson",
     """WITH p AS (SELECT c_custkey AS k, c_name AS region, c_nationkey AS n, c_custkey % 340 - 170e0 AS x,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: rows of a published sheet, header included.
@@ -83,19 +84,50 @@ def replace_period(incoming: DataFrame, path: str, time: str, older: bool = Fals
     before the newest stored one unless ``older`` says that they were delivered in
     full: the write then fails before it has changed anything.
     """
-    dated = with_period(incoming, time)
-    year, month = F.col("year"), F.col("month")
-    refused = F.when(year.isNull(), F.raise_error(F.lit(f"rows without {time}")))
-    if not older:
-        newest = incoming.sparkSession.read.parquet(path).agg(F.max(year * 12 + month)).first()[0]
-        if newest is not None:
-            refused = refused.when(year * 12 + month < newest, F.raise_error(F.lit("a month before the newest stored one")))
-    ready = _layout(dated.withColumn("year", refused.otherwise(year).cast("int")), PERIOD)
+    newest = None if older else newest_stored(incoming.sparkSession, path)
+    ready = _layout(checked_periods(with_period(incoming, time), time, newest), PERIOD)
     ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
         path, partitionBy=list(PERIOD)
     )
 
 
+def checked_periods(dated: DataFrame, time: str, newest: tuple[int, int] | None) -> DataFrame:
+    """``dated`` with year and month; rows without a time, or of a month before ``newest``, fail the job that reads them."""
+    year, month = F.col("year"), F.col("month")
+    refused = F.when(year.isNull(), F.raise_error(F.lit(f"rows without {time}")))
+    if newest is not None:
+        number = newest[0] * 12 + newest[1]
+        refused = refused.when(year * 12 + month < number, F.raise_error(F.lit("a month before the newest stored one")))
+    return dated.withColumn("year", refused.otherwise(year).cast("int"))
+
+
+def newest_stored(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """The newest (year, month) of a table partitioned by them, from the names of its folders."""
+    found = None
+    for year in sorted(_partition_values(spark, path, "year"), reverse=True):
+        months = _partition_values(spark, f"{path.rstrip('/')}/year={year}", "month")
+        if months:
+            found = (year, max(months))
+            break
+    return found
+
+
+def _partition_values(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Whole-number values of the partition folders ``name=...`` right below ``path``."""
+    folder, files = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory()]
+    values = [n.removeprefix(f"{name}=") for n in names if n.startswith(f"{name}=")]
+    return [int(v) for v in values if v.isdigit()]
+
+
+def _file_system(spark: SparkSession, path: str):
+    """A Hadoop path and its file system, which every store that Spark can write to has."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def save_by_day(
     df: DataFrame, table: str, path: str, time: str, buckets: int, partition_by: Sequence[str] = PERIOD
 ) -> None:
@@ -120,22 +152,55 @@ def export_parquet(df: DataFrame, path: str, codec: str = "zstd") -> None:
     df.write.mode("overwrite").option("compression", codec).parquet(path)
 
 
+def publishable(df: DataFrame, drop: Sequence[str] = UNPUBLISHED) -> DataFrame:
+    """``df`` without the columns that are not published."""
+    hidden = {c.lower() for c in drop}
+    return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in hidden])
+
+
+def _too_many(rows: str, max_rows: int) -> str:
+    return f"{rows} rows and a header exceed the limit of {max_rows:,}; split the data or publish Parquet"
+
+
 def publish_guard(
     df: DataFrame, drop: Sequence[str] = UNPUBLISHED, max_rows: int = SHEET_MAX_ROWS
 ) -> DataFrame:
-    """The publishable columns of ``df``; raises when rows plus header pass the limit."""
-    rows = df.count()
+    """The publishable columns of ``df``; raises when rows plus header pass the limit.
+
+    For stored frames. Counting stops at the limit in every task. ``publish`` checks while it writes instead.
+    """
+    rows = df.limit(max_rows).count()
     if rows + 1 > max_rows:
-        raise RuntimeError(
-            f"{rows:,} rows and a header exceed the limit of {max_rows:,}; split the data or publish Parquet"
-        )
-    hidden = {c.lower() for c in drop}
-    return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in hidden])
+        raise RuntimeError(_too_many(f"at least {rows:,}", max_rows))
+    return publishable(df, drop)
+
 
+def publish(df: DataFrame, path: str, drop: Sequence[str] = UNPUBLISHED, max_rows: int = SHEET_MAX_ROWS) -> int:
+    """Guarded CSV with a header; returns the number of rows.
 
-def publish(df: DataFrame, path: str, **guard_options) -> None:
-    """Guarded CSV with a header."""
-    publish_guard(df, **guard_options).write.mode("overwrite").csv(path, header=True)
+    The frame is evaluated once: rows are counted while they are written to a folder next to ``path``, which takes the place of
+    ``path`` only if they fit. A task that alone passes the limit stops there. A refused or failed write leaves what was published before.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    too_many = F.raise_error(F.lit(_too_many(f"at least {max_rows:,}", max_rows)))
+    guarded = publishable(df, drop).withColumn("_fits", F.when(in_task >= max_rows - 1, too_many.cast("boolean")).otherwise(True))
+    seen = Observation("publish")
+    counted = guarded.where("_fits").drop("_fits").observe(seen, F.count(F.lit(1)).alias("rows"))
+    staging = f"{path}-staging-{uuid.uuid4().hex}"
+    folder, files = _file_system(spark, staging)
+    try:
+        counted.write.csv(staging, header=True)
+        rows = seen.get["rows"]
+        if rows + 1 > max_rows:
+            raise RuntimeError(_too_many(f"{rows:,}", max_rows))
+        target = _file_system(spark, path)[0]
+        files.delete(target, True)
+        if not files.rename(folder, target):
+            raise RuntimeError(f"cannot move {staging} to {path}")
+    finally:
+        files.delete(folder, True)
+    return rows
 
 
 def published_sizes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

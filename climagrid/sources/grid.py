@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,18 +41,38 @@ def grid_to_long(
 def combine_by_coords(
     parts: Sequence[DataFrame], coords: Sequence[str], drop: Sequence[str] = ("crs",)
 ) -> DataFrame:
-    """Concatenate files along their coordinates and merge different variables.
+    """Concatenate frames along their coordinates and merge different variables.
 
     Each coordinate tuple gives one row. Parts that disagree on a value fail
     rather than silently prefer one of them; NaN is a missing value and agrees with all.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p.drop(*drop) for p in parts])
-    variables = [c for c in stacked.columns if c not in coords]
+    return _merged(stacked, coords)
+
+
+def combine_folder(
+    spark: SparkSession, path: str | Sequence[str], coords: Sequence[str], drop: Sequence[str] = ("crs",), pattern: str = "*.parquet"
+) -> DataFrame:
+    """Merge all files below a folder by their coordinates, as ``combine_by_coords`` does with frames.
+
+    The folder is one scan, whatever the number of files: columns are the union of those in the files' footers, which tasks
+    read, and a variable that a file lacks is NULL in its rows. An error names two files that disagree.
+    """
+    reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    found = reader.parquet(*([path] if isinstance(path, str) else path)).drop(*drop)
+    return _merged(found.select("*", F.col("_metadata.file_path").alias("_origin")), coords, "_origin")
+
+
+def _merged(stacked: DataFrame, coords: Sequence[str], origin: str | None = None) -> DataFrame:
+    variables = [c for c in stacked.columns if c not in coords and c != origin]
 
     def agreed(name: str) -> Column:
-        value = _known(F.col(name), stacked.schema[name].dataType)
+        kind = stacked.schema[name].dataType
+        value = _known(F.col(f"`{name}`"), kind)
         low, high = F.min(value), F.max(value)
-        message = F.concat(F.lit(f"conflicting values of {name}: "), low.cast("string"), F.lit(" and "), high.cast("string"))
-        return F.when(low != high, F.raise_error(message).cast(stacked.schema[name].dataType)).otherwise(high).alias(name)
+        words = [F.lit(f"conflicting values of {name}: "), low.cast("string"), F.lit(" and "), high.cast("string")]
+        if origin:
+            words += [F.lit(", for example in "), F.min_by(origin, value), F.lit(" and "), F.max_by(origin, value)]
+        return F.when(low != high, F.raise_error(F.concat(*words)).cast(kind)).otherwise(high).alias(name)
 
     return stacked.groupBy(*coords).agg(*[agreed(v) for v in variables])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -19,15 +20,17 @@ def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] = ("*",)
 def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header and declared column types; empty fields are NULL.
 
-    Columns are found by their name in the header (of any one file; all must share it),
-    in any order; columns that are not declared are left out, and a missing one is an error.
-    The byte-order mark some tools write is accepted.
+    Columns are found by their name in the header, in any order; columns that are not declared are left out, and a missing one
+    is an error. The names come from one file, and tasks compare them with the header of every file they read: a
+    file with another order or other names fails instead of being read by position. The byte-order mark some tools write is accepted.
     """
     declared = {f.name.lower(): f for f in T.StructType.fromDDL(schema).fields}
-    header = [c.removeprefix("\ufeff") for c in spark.read.csv(path, header=True).columns]
-    missing = declared.keys() - {c.lower() for c in header}
+    header = spark.read.csv(path, header=True).columns
+    names = [c.removeprefix("\ufeff") for c in header]
+    missing = declared.keys() - {c.lower() for c in names}
     if missing:
         raise ValueError(f"columns missing in {path}: {', '.join(sorted(missing))}")
-    found = [declared.get(c.lower(), T.StructField(c, T.StringType())) for c in header]
-    rows = spark.read.csv(path, schema=T.StructType(found), header=True, enforceSchema=True, mode="FAILFAST")
-    return rows.select(*[f"`{f.name}`" for f in declared.values()])
+    found = [T.StructField(c, declared[n.lower()].dataType if n.lower() in declared else T.StringType()) for c, n in zip(header, names)]
+    rows = spark.read.csv(path, schema=T.StructType(found), header=True, enforceSchema=False, mode="FAILFAST")
+    column = {n.lower(): F.col(f"`{c}`") for c, n in zip(header, names)}
+    return rows.select(*[column[low].alias(f.name) for low, f in declared.items()])

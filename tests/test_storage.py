@@ -1,4 +1,6 @@
+import time
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from climagrid.plans import catalog, ingest, requests
 from climagrid.session import cut_lineage, is_small, scratch_path, shared_dir
 from climagrid.sinks import tables as S
+from climagrid.sinks.months import MonthTable
 from climagrid.sources import grid, tables
 
 from conftest import rows
@@ -45,6 +48,33 @@ def test_combine_by_coords(spark):
         grid.combine_by_coords([a, a.withColumn("t_max", F.col("t_max") + 1)], ["time", "lat"]).collect()
 
 
+def test_combine_folder(spark, folder):
+    """Many small files are one scan; errors name the files."""
+    for i in range(30):
+        kind = "t_max" if i % 2 else "t_min"
+        frame = spark.createDataFrame([(i // 2, 10, float(i)), (99, i, float("nan"))], f"time int, lat int, {kind} double")
+        frame.withColumn("crs", F.lit(0)).coalesce(1).write.parquet(f"{folder}/day{i}")
+    out = grid.combine_folder(spark, folder, ["time", "lat"])
+    assert sorted(out.columns) == ["lat", "t_max", "t_min", "time"]
+    found = rows(out.where("time < 99").select("time", "t_min", "t_max"))
+    assert found == rows(spark.createDataFrame([(i, 2.0 * i, 2.0 * i + 1) for i in range(15)], "time int, a double, b double"))
+    assert out.where("time = 99 AND t_min IS NULL AND t_max IS NULL").count() == 30
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and "Union" not in out._jdf.queryExecution().toString()
+    spark.createDataFrame([(0, 10, 7.5)], "time int, lat int, t_min double").write.parquet(f"{folder}/other")
+    with pytest.raises(Exception, match="conflicting values of t_min: 0.0 and 7.5, for example in file:.*day0/.* and file:.*other/"):
+        grid.combine_folder(spark, folder, ["time", "lat"]).collect()
+
+
+def test_combine_folder_of_thousands_of_files(spark, folder):
+    """Opening a folder is one listing and one job over footers, not a plan node per file."""
+    spark.range(2_000).selectExpr("cast(id as int) AS time", "1 AS lat", "cast(id as double) AS v").repartition(1_000).write.parquet(folder)
+    started = time.monotonic()
+    out = grid.combine_folder(spark, folder, ["time", "lat"])
+    out._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - started < 30
+    assert out.count() == 2_000
+
+
 def test_appends(spark, folder):
     S.replace_table(spark.createDataFrame([(1, "a")], "id bigint, name string"), folder)
     S.append_positional(spark.createDataFrame([(2, "b")], "x int, y string"), folder)
@@ -77,6 +107,78 @@ def test_replace_period_refuses_what_would_lose_rows(spark, folder):
     assert rows(spark.read.parquet(folder).select("month", "v")) == [(1, 9.0), (2, 2.0)]
 
 
+def test_newest_stored_month_is_found_by_name(spark, folder):
+    assert S.newest_stored(spark, folder) is None
+    S.replace_table(S.with_period(observations(spark, (JAN, 1.0, 1.0), (datetime(2023, 12, 5), 1.0, 2.0)), "time"), folder, S.PERIOD)
+    assert S.newest_stored(spark, folder) == (2024, 1)
+
+
+def test_month_table(spark, folder):
+    table = MonthTable(spark, folder, "time")
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.replace(observations(spark, (JAN, 1.0, 1.0), (FEB, 1.0, 2.0)), "a")
+    assert table.replace(observations(spark, (FEB, 1.0, 5.0), (FEB, 2.0, 6.0)), "b")
+    assert not table.replace(observations(spark, (FEB, 1.0, 99.0)), "b")  # a retry
+    assert rows(table.read().select("year", "month", "v")) == [(2024, 1, 1.0), (2024, 2, 5.0), (2024, 2, 6.0)]
+    with pytest.raises(Exception, match="before the newest"):
+        table.replace(observations(spark, (JAN, 1.0, 0.0)), "c")
+    with pytest.raises(Exception, match="rows without time"):
+        table.replace(observations(spark, (None, 1.0, 0.0)), "c")
+    assert table.replace(observations(spark, (JAN, 1.0, 0.0)), "c", older=True)
+    assert table.replace(spark.createDataFrame([(datetime(2024, 3, 1), 3.0)], "time timestamp_ntz, V double"), "d")
+    assert rows(table.read().select("month", "lat", "v")) == [(1, 1.0, 0.0), (2, 1.0, 5.0), (2, 2.0, 6.0), (3, None, 3.0)]
+    pruned = table.read().where("month = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in pruned
+
+
+def test_month_table_shows_no_half_of_a_delivery(spark, folder, monkeypatch):
+    """A delivery that breaks off while or after it writes changes nothing; its retry does."""
+    table = MonthTable(spark, folder, "time")
+    table.replace(observations(spark, (JAN, 1.0, 1.0), (FEB, 1.0, 2.0)), "a")
+    before = rows(table.read())
+    late = observations(spark, (FEB, 1.0, 8.0), (datetime(2024, 3, 5), 1.0, 9.0))
+    breaks = late.withColumn("v", F.when(F.month("time") == 3, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        table.replace(breaks, "b")
+    assert rows(table.read()) == before
+    with monkeypatch.context() as patch:
+        patch.setattr(MonthTable, "_create", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            table.replace(late, "b")
+    assert rows(table.read()) == before
+    assert table.replace(late, "b")
+    assert rows(table.read().select("month", "v")) == [(1, 1.0), (2, 8.0), (3, 9.0)]
+
+
+def test_month_table_with_two_writers(spark, folder, monkeypatch):
+    """The writer that comes second sees what the first one stored, and keeps it."""
+    table, other = MonthTable(spark, folder, "time"), MonthTable(spark, folder, "time")
+    table.replace(observations(spark, (JAN, 1.0, 1.0)), "a")
+    create = MonthTable._create
+    raced = []
+
+    def first_the_other(self, manifest):
+        if not raced:
+            raced.append(True)
+            other.replace(observations(spark, (FEB, 1.0, 2.0)), "other")
+        return create(self, manifest)
+
+    monkeypatch.setattr(MonthTable, "_create", first_the_other)
+    assert table.replace(observations(spark, (datetime(2024, 3, 5), 1.0, 3.0)), "b")
+    assert rows(table.read().select("month", "v")) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    assert table.manifest()["deliveries"] == ["a", "other", "b"]
+
+
+def test_all_tables_are_tried(spark, folder):
+    good, bad = observations(spark, (JAN, 1.0, 1.0)), observations(spark, (None, 1.0, 1.0))
+    loads = {f"{folder}/a": lambda: good, f"{folder}/b": lambda: 1 / 0, f"{folder}/c": lambda: good}
+    with pytest.raises(ExceptionGroup, match="1 of 3 tables failed: .*/b"):
+        ingest.load_all(loads)
+    assert set(ingest.load_all({f"{folder}/a": lambda: bad, f"{folder}/c": lambda: good}, raise_at_end=False)) == {f"{folder}/a"}
+    assert rows(spark.read.parquet(f"{folder}/c").select("v")) == [(1.0,)]
+
+
 def test_replace_newest_month(spark):
     old = observations(spark, (JAN, 1.0, 1.0), (FEB, 1.0, 2.0), (None, 1.0, 7.0))
     new = spark.createDataFrame([(20.0, FEB)], "v double, time timestamp_ntz")
@@ -112,6 +214,18 @@ def test_stored_partitions_are_rebalanced(spark, folder):
     assert "REBALANCE_PARTITIONS_BY_COL" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_publish_evaluates_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def noted(x):
+        seen.add(1)
+        return x
+
+    assert S.publish(spark.range(50).select(noted(F.col("id").cast("int")).alias("n")), folder) == 50
+    assert seen.value == 50
+
+
 def test_publish(spark, folder):
     df = spark.createDataFrame([("k", 1, "x"), ("l", 2, "y")], "KEY_ID string, n int, s string")
     S.publish(df, folder)
@@ -119,6 +233,14 @@ def test_publish(spark, folder):
     assert S.publish_guard(df, max_rows=3).columns == ["n", "s"]
     with pytest.raises(RuntimeError, match="2 rows"):
         S.publish_guard(df, max_rows=2)
+    assert rows(spark.read.csv(folder, header=True)) == [("1", "x"), ("2", "y")]
+    with pytest.raises(RuntimeError, match="2 rows and a header exceed the limit of 2"):
+        S.publish(df.withColumn("n", F.lit(9)).repartition(2, "s").coalesce(2), folder, max_rows=2)
+    with pytest.raises(Exception, match="at least 3 rows"):
+        S.publish(spark.range(0, 100, 1, 1), folder, max_rows=3)
+    assert rows(spark.read.csv(folder, header=True)) == [("1", "x"), ("2", "y")]
+    assert sorted(p.name for p in Path(folder).parent.iterdir()) == [Path(folder).name]
+    assert S.publish(df.limit(0), folder + "-empty") == 0
     sizes = S.published_sizes(spark, [folder])
     assert sizes.first()["file_size_bytes"] > 8 and sizes.columns == ["path", "file_size_bytes"]
 
@@ -128,6 +250,15 @@ def test_scans(spark, folder):
     assert rows(tables.scan_csv(spark, folder, "id bigint, s string")) == [(1, "a"), (2, None)]
     with pytest.raises(Exception):
         tables.scan_csv(spark, folder, "id bigint, s int").collect()
+    swapped = f"{folder}-swapped"
+    spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1).write.csv(swapped, header=True)
+    spark.createDataFrame([(20, 10)], "b int, a int").coalesce(1).write.mode("append").csv(swapped, header=True)
+    with pytest.raises(Exception, match="header does not conform"):
+        tables.scan_csv(spark, swapped, "a int, b int").collect()
+    Path(folder + "-mark.csv").write_bytes("\ufeffid,s\n1,é\n".encode())
+    assert rows(tables.scan_csv(spark, folder + "-mark.csv", "S string, ID int")) == [("é", 1)]
+    with pytest.raises(ValueError, match="missing"):
+        tables.scan_csv(spark, folder, "id int, other int")
     spark.range(3).createOrReplaceTempView("bronze_numbers")
     assert tables.scan_table(spark, "bronze_numbers", ["id"]).count() == 3
 
