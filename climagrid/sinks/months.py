@@ -11,11 +11,11 @@ from __future__ import annotations
 import json
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from climagrid.sinks.tables import PERIOD, _file_system, _layout, _partition_values, by_name, checked_periods, with_period
+from climagrid.sinks.manifest import Manifest
+from climagrid.sinks.tables import PERIOD, _layout, _partition_values, by_name, checked_periods, with_period
 
 
 class MonthTable:
@@ -23,17 +23,12 @@ class MonthTable:
 
     def __init__(self, spark: SparkSession, path: str, time: str):
         self.spark, self.path, self.time = spark, path.rstrip("/"), time
+        self.versions = Manifest(spark, f"{self.path}/manifest", {"schema": None, "months": {}, "deliveries": []})
 
     def manifest(self) -> dict:
         """The newest version: ``version``, ``schema``, ``months`` ("year-month" to folder) and the ids of its deliveries."""
-        folder, files = _file_system(self.spark, f"{self.path}/manifest")
-        if not files.exists(folder):
-            return {"version": 0, "schema": None, "months": {}, "deliveries": []}
-        names = sorted(f.getPath().getName() for f in files.listStatus(folder) if f.getPath().getName().endswith(".json"))
-        if not names:
-            return {"version": 0, "schema": None, "months": {}, "deliveries": []}
-        lines = self.spark.read.text(f"{self.path}/manifest/{names[-1]}", wholetext=True).first()[0]
-        return json.loads(lines)
+        version, content = self.versions.newest()
+        return {"version": version, **content}
 
     def read(self) -> DataFrame:
         """All rows of the newest version, with year and month."""
@@ -75,10 +70,9 @@ class MonthTable:
                 if newest is not None and min(self._number(m) for m in written) < newest[0] * 12 + newest[1]:
                     raise RuntimeError("a month before the newest stored one")
             following = {
-                "version": known["version"] + 1, "schema": known["schema"] or dated.schema.json(),
-                "months": known["months"] | written, "deliveries": [*known["deliveries"], delivery],
+                "schema": known["schema"] or dated.schema.json(), "months": known["months"] | written, "deliveries": [*known["deliveries"], delivery],
             }
-            if self._create(following):
+            if self.versions.create(known["version"] + 1, following):
                 return True
             known = self.manifest()  # another writer was first
             if delivery in known["deliveries"]:
@@ -94,24 +88,3 @@ class MonthTable:
             return None
         year, month = max(manifest["months"], key=self._number).split("-")
         return int(year), int(month)
-
-    def _create(self, manifest: dict) -> bool:
-        """Write a version if it does not exist yet. The file gets its name only when it is complete."""
-        jvm = self.spark._jvm
-        name = f"{self.path}/manifest/{manifest['version']:020d}"
-        part, files = _file_system(self.spark, f"{name}-{uuid.uuid4().hex}.part")
-        stream = files.create(part, False)
-        stream.write(bytearray(json.dumps(manifest).encode()))
-        stream.close()
-        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        keep = self.spark.sparkContext._gateway.new_array(kind, 1)
-        keep[0] = kind.NONE  # an existing file is not replaced
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.spark.sparkContext._jsc.hadoopConfiguration())
-        try:
-            context.rename(part, jvm.org.apache.hadoop.fs.Path(f"{name}.json"), keep)
-        except Py4JJavaError as error:
-            files.delete(part, False)
-            if "FileAlreadyExistsException" not in str(error.java_exception):
-                raise
-            return False
-        return True

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from climagrid.sinks.manifest import file_system
+
 # Fixed value: rows of a published sheet, header included.
 SHEET_MAX_ROWS = 1_048_576
 # Fixed value: columns that are not published.
@@ -114,7 +116,7 @@ def newest_stored(spark: SparkSession, path: str) -> tuple[int, int] | None:
 
 def _partition_values(spark: SparkSession, path: str, name: str) -> list[int]:
     """Whole-number values of the partition folders ``name=...`` right below ``path``."""
-    folder, files = _file_system(spark, path)
+    folder, files = file_system(spark, path)
     if not files.exists(folder):
         return []
     names = [f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory()]
@@ -122,12 +124,6 @@ def _partition_values(spark: SparkSession, path: str, name: str) -> list[int]:
     return [int(v) for v in values if v.isdigit()]
 
 
-def _file_system(spark: SparkSession, path: str):
-    """A Hadoop path and its file system, which every store that Spark can write to has."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def save_by_day(
     df: DataFrame, table: str, path: str, time: str, buckets: int, partition_by: Sequence[str] = PERIOD
 ) -> None:
@@ -188,13 +184,13 @@ def publish(df: DataFrame, path: str, drop: Sequence[str] = UNPUBLISHED, max_row
     seen = Observation("publish")
     counted = guarded.where("_fits").drop("_fits").observe(seen, F.count(F.lit(1)).alias("rows"))
     staging = f"{path}-staging-{uuid.uuid4().hex}"
-    folder, files = _file_system(spark, staging)
+    folder, files = file_system(spark, staging)
     try:
         counted.write.csv(staging, header=True)
         rows = seen.get["rows"]
         if rows + 1 > max_rows:
             raise RuntimeError(_too_many(f"{rows:,}", max_rows))
-        target = _file_system(spark, path)[0]
+        target = file_system(spark, path)[0]
         files.delete(target, True)
         if not files.rename(folder, target):
             raise RuntimeError(f"cannot move {staging} to {path}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from climagrid.plans import catalog, ingest, requests
 from climagrid.session import cut_lineage, is_small, scratch_path, shared_dir
 from climagrid.sinks import tables as S
+from climagrid.sinks.manifest import Manifest
 from climagrid.sinks.months import MonthTable
 from climagrid.sources import grid, tables
 
@@ -143,7 +144,7 @@ def test_month_table_shows_no_half_of_a_delivery(spark, folder, monkeypatch):
         table.replace(breaks, "b")
     assert rows(table.read()) == before
     with monkeypatch.context() as patch:
-        patch.setattr(MonthTable, "_create", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        patch.setattr(Manifest, "create", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
         with pytest.raises(RuntimeError, match="stopped"):
             table.replace(late, "b")
     assert rows(table.read()) == before
@@ -155,16 +156,16 @@ def test_month_table_with_two_writers(spark, folder, monkeypatch):
     """The writer that comes second sees what the first one stored, and keeps it."""
     table, other = MonthTable(spark, folder, "time"), MonthTable(spark, folder, "time")
     table.replace(observations(spark, (JAN, 1.0, 1.0)), "a")
-    create = MonthTable._create
+    create = Manifest.create
     raced = []
 
-    def first_the_other(self, manifest):
+    def first_the_other(self, *version):
         if not raced:
             raced.append(True)
             other.replace(observations(spark, (FEB, 1.0, 2.0)), "other")
-        return create(self, manifest)
+        return create(self, *version)
 
-    monkeypatch.setattr(MonthTable, "_create", first_the_other)
+    monkeypatch.setattr(Manifest, "create", first_the_other)
     assert table.replace(observations(spark, (datetime(2024, 3, 5), 1.0, 3.0)), "b")
     assert rows(table.read().select("month", "v")) == [(1, 1.0), (2, 2.0), (3, 3.0)]
     assert table.manifest()["deliveries"] == ["a", "other", "b"]
