@@ -50,6 +50,22 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
 
 
+def free(name: str, *frames: DataFrame) -> str:
+    """``name``, or with underscores added what no column of the frames is called."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def first_of_each(rows: DataFrame, *keys: Column) -> DataFrame:
+    """One row for each value of ``keys``: the first by all columns, written as JSON. Copies are combined before the shuffle."""
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    names = [f"key_{i}" for i in range(len(keys))]
+    chosen = rows.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return chosen.select("row.*")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and continue from the files.
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from climagrid.llm.common import broadcast_if_bounded, let, lower_ascii, stored, text_or_empty
+from climagrid.llm.common import broadcast_if_bounded, free, let, lower_ascii, stored, text_or_empty
 
 WINDOW = 13
 GRAM = 5
@@ -163,10 +163,11 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows that are not contaminated, with all columns of ``docs``."""
-    bad = stored(measured(docs, benchmark).where(contaminated()).select(*KEY).distinct(), "contaminated")
+    """The rows that are not contaminated, with all columns of ``docs``, whatever their names."""
+    own = [free(k, docs) for k in KEY]
+    bad = stored(measured(docs, benchmark).where(contaminated()).select(*[F.col(k).alias(o) for k, o in zip(KEY, own)]).distinct(), "contaminated")
     a, b = _row_key()
-    same = (a == F.col("key_a")) & (b == F.col("key_b"))
+    same = (a == F.col(own[0])) & (b == F.col(own[1]))
     return docs.join(broadcast_if_bounded(bad, 32), same, "left_anti")
 
 

@@ -2,20 +2,19 @@
 
 Texts are equal when they are identical after each run of ASCII white space became one space.
 
-1. Copies are combined where they are read (partial aggregation on key and text), so that a
-   text held by a third of all rows leaves a map task once. A task that owns a key gets every text
-   with that key and tells them apart byte by byte: texts with one key form a chain.
-2. The directory of the index comes from the counted keys: starting from one bucket, the
-   directory doubles (one more leading bit of the key) as long as a bucket holds more than ``bucket_entries``
-   chains; only overfull buckets split, the others keep their shorter prefix. Each directory
-   cell points to its bucket.
-3. The index is written to the shared folder in key order: owner tasks each write the buckets of a key range.
-4. Documents look their chain up by (key, digest). Texts that hold over 1/1000 of the rows, at most 1000
+1. Every row is listed with the key (a 64-bit hash) and the digest of its text. The directory comes from the distinct keys: it doubles (one
+   more leading bit of the key) until no bucket holds more than ``bucket_entries`` keys; only overfull buckets split, the others keep
+   their shorter prefix. Each directory cell points to its bucket.
+2. Copies are combined where they are read (partial aggregation on key and text), so that a text held by a third of all rows
+   leaves a map task once. The distinct texts go to the owner of their bucket: owner tasks have ranges of buckets and keys. An owner compares the
+   bytes of all texts with one key and numbers those that differ: they are the chain of the key. It writes its buckets to the shared folder.
+3. A document is looked up through its directory cell: the cell names the bucket, the bucket has the chain of the key, and in the
+   chain the document's digest names the entry. Texts that hold over 1/1000 of the rows, at most 1000
    of them, are looked up in a broadcast table, all others in a shuffled join.
 
 Only DataFrame functions are used. Defined results: NULL text counts as empty; a NULL doc_id is larger than
-all others; rows with the same id and text are copies of each other, and one of them is kept;
-empty tables give empty results; columns of ``documents`` with clashing names are left alone.
+all others; rows with the same id and text are copies of each other, and the first by all its columns (as JSON) is kept;
+empty tables give empty results; other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,12 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from climagrid.llm.common import broadcast_if_bounded, lookup, stored, text_or_empty
+from climagrid.llm.common import broadcast_if_bounded, first_of_each, free, lookup, stored, text_or_empty
 
 BUCKET_ENTRIES = 4096
 HOT_SHARE = 1000
-# Leading bits of the key that a directory can use at most.
-MAX_DEPTH = 40
+KEY_BITS = 64
 
 
 def normal_text(name: str = "text") -> Column:
@@ -37,71 +35,77 @@ def normal_text(name: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(name), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def _chains(docs: DataFrame) -> DataFrame:
-    """One row per distinct text: key, place in its chain, digest, kept id, copies."""
-    return (
-        docs.select("doc_id", normal_text().alias("_text"))
-        .withColumn("key", F.xxhash64("_text"))
-        .groupBy("key", "_text")
-        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", F.sha2("_text", 256).alias("text_sha256"), "keep_id", "group_size")
-    )
+def key_of(text: Column, bits: int = KEY_BITS) -> Column:
+    """The leading ``bits`` of the hash of a text; the others are 0."""
+    return F.xxhash64(text).bitwiseAND(F.lit(-(1 << (64 - bits))))
+
 
+def _prefix(key: str | Column, depth: int) -> Column:
+    """The leading ``depth`` bits of a key as a number."""
+    return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
 
-def directory(chains: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """(cell, bucket, local_depth) for the doubled directory, with its depth in ``depth``.
 
-    All doublings are evaluated at once: a prefix is a bucket when it holds at most
-    ``bucket_entries`` chains and its parent holds more. Chains of one key cannot be told apart by a prefix, so a
-    bucket at the last depth may hold more.
+def directory(keys: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
+    """(cell, local_depth, bucket, depth): the bucket of each cell that holds a key of ``keys`` (distinct ``key``).
+
+    The directory is doubled until the fullest cell fits. A prefix of it is a bucket when it holds at most ``bucket_entries``
+    keys and its parent holds more; ``bucket`` is the prefix and ``local_depth`` its bits.
     """
-    rows = chains.count()
-    depth = min(MAX_DEPTH, max(0, (rows // bucket_entries).bit_length() + 3))
-    first = F.expr(f"shiftrightunsigned(key, {64 - depth})") if depth else F.lit(0).cast("long")
-    cells = chains.groupBy(first.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    cells = stored(cells, "cells")
-    ancestors = cells.select(
-        "cell", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("local_depth")
-    ).withColumn("bucket", F.expr(f"shiftright(cell, {depth} - local_depth)"))
+    depth = max(0, (keys.count() // bucket_entries).bit_length())
+    while True:
+        cells = stored(keys.groupBy(_prefix("key", depth).alias("cell")).agg(F.count(F.lit(1)).alias("n")), "cells")
+        if depth == 64 or cells.where(F.col("n") > bucket_entries).isEmpty():
+            break
+        depth += 1
+    ancestors = cells.select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("local_depth")).withColumn(
+        "bucket", F.expr(f"shiftrightunsigned(cell, {depth} - local_depth)") if depth < 64 else F.expr("if(local_depth = 0, 0L, shiftrightunsigned(cell, 64 - local_depth))")
+    )
     load = ancestors.groupBy("local_depth", "bucket").agg(F.sum("n").alias("load"))
-    loaded = ancestors.join(load, ["local_depth", "bucket"])
-    fits = (F.col("load") <= bucket_entries) | (F.col("local_depth") == depth)
+    fits = ancestors.join(load, ["local_depth", "bucket"]).where((F.col("load") <= bucket_entries) | (F.col("local_depth") == depth))
     return (
-        loaded.where(fits)
-        .groupBy("cell")
+        fits.groupBy("cell")
         .agg(F.min(F.struct("local_depth", "bucket")).alias("_b"))
-        .select("cell", "_b.bucket", "_b.local_depth", F.lit(depth).alias("depth"))
+        .select("cell", "_b.local_depth", "_b.bucket", F.lit(depth).alias("depth"))
     )
 
 
-def build_index(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """The stored index: depth, bucket, key, chain, digest, kept id and copies, in key order."""
-    chains = stored(_chains(docs), "chains")
-    cells = stored(directory(chains, bucket_entries), "directory")
+def _in_buckets(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """``rows`` with the bucket that the directory gives for their key."""
     head = cells.select("depth").first()
-    depth = head["depth"] if head else 0
-    cell = F.expr(f"shiftrightunsigned(key, {64 - depth})") if depth else F.lit(0).cast("long")
-    placed = chains.withColumn("cell", cell).join(broadcast_if_bounded(cells, 64), "cell")
-    chain = W.partitionBy("key").orderBy("text_sha256")
+    places = broadcast_if_bounded(cells.drop("depth"), 32)
+    return rows.withColumn("cell", _prefix("key", head["depth"] if head else 0)).join(places, "cell").drop("cell")
+
+
+def build_index(docs: DataFrame, cells: DataFrame, key_bits: int = KEY_BITS) -> DataFrame:
+    """The stored index: bucket, key, place in the chain, digest, kept id and copies of each distinct text, in key order."""
+    texts = (
+        docs.select("doc_id", normal_text().alias("_text"))
+        .withColumn("key", key_of(F.col("_text"), key_bits))
+        .groupBy("key", "_text")
+        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    )
+    owner = ["bucket", "local_depth", "key"]
+    owned = _in_buckets(texts, cells).repartitionByRange(*owner)
+    # The window needs no further shuffle: an owner has all texts of its keys.
+    chain = F.dense_rank().over(W.partitionBy(*owner).orderBy("_text"))
     return stored(
-        placed.withColumn("chain", F.row_number().over(chain))
-        .select("local_depth", "bucket", "key", "chain", "text_sha256", "keep_id", "group_size")
-        .repartitionByRange("bucket", "key")
-        .sortWithinPartitions("bucket", "key", "chain"),
-        "index",
+        owned.withColumn("chain", chain).select(*owner, "chain", F.sha2("_text", 256).alias("text_sha256"), "keep_id", "group_size"), "index"
     )
 
 
-def report(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
+def report(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES, key_bits: int = KEY_BITS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row; one row per text is kept."""
-    index = build_index(docs, bucket_entries)
-    total = index.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
-    text = normal_text()
-    looked_up = docs.select("doc_id", F.xxhash64(text).alias("key"), F.sha2(text, 256).alias("text_sha256"))
-    entry = index.select("key", "text_sha256", "keep_id", "group_size")
-    rows = lookup(looked_up, entry, ["key", "text_sha256"], "group_size", total, F.xxhash64("doc_id"), HOT_SHARE)
+    listed = docs.select("doc_id", normal_text().alias("_text")).select(
+        "doc_id", key_of(F.col("_text"), key_bits).alias("key"), F.sha2("_text", 256).alias("text_sha256")
+    )
+    listed = stored(listed, "listed")
+    cells = stored(directory(listed.select("key").distinct(), bucket_entries), "directory")
+    index = build_index(docs, cells, key_bits)
+    entry = index.select("bucket", "local_depth", "key", "text_sha256", "keep_id", "group_size")
+    where = ["bucket", "local_depth", "key", "text_sha256"]
+    rows = lookup(_in_buckets(listed, cells), entry, where, "group_size", listed.count(), F.xxhash64("doc_id"), HOT_SHARE)
     same_id = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    # Rows with one id and one text: the first of them stays.
+    # Rows with one id and one text: one of them stays.
     again = W.partitionBy("text_sha256", "doc_id").orderBy(F.lit(0))
     firsts = rows.where(same_id).withColumn("kept", F.row_number().over(again) == 1)
     others = rows.where(~same_id).withColumn("kept", F.lit(False))
@@ -114,20 +118,18 @@ def deduplicated(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataF
     The list of kept (id, digest) is broadcast when it is small enough; texts move only if it is not.
     """
     ids = stored(report(docs, bucket_entries), "decisions")
-    kept = ids.where("kept").select(F.col("doc_id").alias("dedup_id"), F.col("text_sha256").alias("dedup_sha256"))
-    same_text = F.sha2(normal_text(), 256) == F.col("dedup_sha256")
-    rows = docs.join(
-        broadcast_if_bounded(kept, 96), same_text & F.col("doc_id").eqNullSafe(F.col("dedup_id")), "left_semi"
-    )
+    own_id, own_digest = free("dedup_id", docs), free("dedup_sha256", docs)
+    names = [F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_digest)]
+    digest = F.sha2(normal_text(), 256)
+    same = (digest == F.col(own_digest)) & F.col("doc_id").eqNullSafe(F.col(own_id))
+    rows = docs.join(broadcast_if_bounded(ids.where("kept").select(*names), 96), same, "left_semi")
     repeated = ids.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = stored(repeated.select(F.col("doc_id").alias("dedup_id"), F.col("text_sha256").alias("dedup_sha256")), "repeated")
+    repeated = stored(repeated.select(*names), "repeated")
     if repeated.isEmpty():
         return rows
     # Only for rows that repeat both id and text: one row of each, the first by its columns.
-    is_repeated = (F.sha2(normal_text(), 256) == F.col("dedup_sha256")) & F.col("doc_id").eqNullSafe(F.col("dedup_id"))
-    once = rows.join(repeated, is_repeated, "left_semi").withColumn("dedup_sha256", F.sha2(normal_text(), 256))
-    others = rows.join(repeated, is_repeated, "left_anti")
-    return others.unionByName(once.dropDuplicates(["doc_id", "dedup_sha256"]).drop("dedup_sha256"))
+    once = first_of_each(rows.join(repeated, same, "left_semi"), F.col("doc_id"), digest)
+    return rows.join(repeated, same, "left_anti").unionByName(once)
 
 
 ORACLE = r"""

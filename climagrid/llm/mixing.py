@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from climagrid.llm.common import broadcast_if_bounded, stored, text_or_empty, words_by_space
+from climagrid.llm.common import broadcast_if_bounded, free, stored, text_or_empty, words_by_space
 
 
 def word_count(name: str = "text") -> Column:
@@ -73,12 +73,22 @@ def mix(
     """(doc_id, size, source_size, target, taken) of every row, and the columns in ``keep``.
 
     ``taken`` counts words with repeats: a document is taken 0 to ``cap`` times. Each
-    repeat of a queue goes through it in the same order, one after the other.
+    repeat of a queue goes through it in the same order, one after the other. A kept column that is called
+    like one of the five is returned with an underscore behind its name.
     """
-    spark = docs.sparkSession
+    if keep:
+        # The columns to keep travel in a struct, where no name can clash.
+        chosen = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept_columns"))
+        mixed = _mix(chosen, weights, share, cap, ["kept_columns"])
+        own = ["doc_id", "size", "source_size", "target", "taken"]
+        return mixed.select(*own, *[F.col("kept_columns").getField(c).alias(free(c, mixed.select(*own))) for c in keep])
+    return _mix(docs, weights, share, cap, [])
+
+
+def _mix(docs: DataFrame, weights: Sequence[int], share: float, cap: int, keep: Sequence[str]) -> DataFrame:
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     sized = stored(
-        docs.select("doc_id", *dict.fromkeys(["source", *keep]), word_count().alias("size"), key.alias("_key")), "sized"
+        docs.select("doc_id", "source", *keep, word_count().alias("size"), key.alias("_key")), "sized"
     )
     rows = sized.count()
     cuts = math.isqrt(rows) + 1

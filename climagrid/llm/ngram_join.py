@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from climagrid.llm import tokens
-from climagrid.llm.common import bound_batches, broadcast_if_bounded, components, lookup, stored, text_or_empty
+from climagrid.llm.common import bound_batches, broadcast_if_bounded, components, first_of_each, free, lookup, stored, text_or_empty
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -303,18 +303,21 @@ def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class and all documents without words, with all columns of ``docs``.
+    """One document of each class and all documents without words, with all columns of ``docs``, whatever their names.
 
+    Of rows with one id and one text, the first by all its columns (as JSON) stays.
     The keys of the rows that go are broadcast when they are few enough.
     """
     rows, nodes = linked(docs.select("doc_id", "text"), threshold)
+    own = free("ngram_key", docs)
     kept = nodes.select("class_key").distinct()
-    gone = stored(rows.where(F.col("node").isNotNull()).join(kept, F.col("row_key") == F.col("class_key"), "left_anti").select("row_key").distinct(), "gone")
-    left = docs.join(broadcast_if_bounded(gone, 16), row_key() == F.col("row_key"), "left_anti")
+    gone = rows.where(F.col("node").isNotNull()).join(kept, F.col("row_key") == F.col("class_key"), "left_anti")
+    gone = stored(gone.select(F.col("row_key").alias(own)).distinct(), "gone")
+    same = row_key() == F.col(own)
+    left = docs.join(broadcast_if_bounded(gone, 16), same, "left_anti")
     repeated = rows.where(F.col("node").isNotNull()).groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = stored(repeated.select(F.col("row_key").alias("again_key")), "repeated")
+    repeated = stored(repeated.select(F.col("row_key").alias(own)), "repeated")
     if repeated.isEmpty():
         return left
-    is_repeated = row_key() == F.col("again_key")
-    once = left.join(repeated, is_repeated, "left_semi").withColumn("ngram_key", row_key()).dropDuplicates(["ngram_key"]).drop("ngram_key")
-    return left.join(repeated, is_repeated, "left_anti").unionByName(once)
+    once = first_of_each(left.join(repeated, same, "left_semi"), row_key())
+    return left.join(repeated, same, "left_anti").unionByName(once)

@@ -1,9 +1,9 @@
 """Token counts by source, language and tokenizer version, kept up to date by signed deltas.
 
-A ``Rollup`` is a folder with delta tables and a log of commits. A batch of changes (inserts with +, deletes with -, revised counts as
-the difference) is summed by key and written once; appending its log row commits it. A batch id counts once: a
-repeated commit is refused before it is written, and if two writers race, readers take the first log row of the id. Files of a
-batch that was not logged are never read. Totals are sums over the committed deltas; ``compact`` folds them into one batch.
+A ``Rollup`` is a folder with delta tables and numbered versions of a list of the batches in force. A batch of changes (inserts with +,
+deletes with -, revised counts as the difference) is summed by key and written once; the next version, which only one writer can make, commits
+it. A writer that comes second looks again: a batch id counts once, and a compaction whose batches another one has replaced is
+refused. Files that no version names are never read. Totals are sums over the deltas in force; ``compact`` folds them into one batch.
 
 Counting runs in Arrow batches next to the scan with a public tokenizer file, whose folder is a parameter.
 
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import re
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -23,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from climagrid.llm.common import stored, text_or_empty
+from climagrid.llm.common import bound_batches, stored, text_or_empty
+from climagrid.sinks.manifest import Manifest
 
 TOKENIZERS = "/opt/tokenizers"
 VERSION = "byte_bpe_50k"
@@ -84,44 +83,58 @@ class Rollup:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        # ``parts`` has the folder of each batch in force, ``taken`` the ids that counted once.
+        self.versions = Manifest(spark, f"{self.folder}/log", {"parts": {}, "taken": []})
 
-    def log(self) -> DataFrame:
-        """(batch, part, at, replaces): all committed batches, the first commit of each id only."""
-        schema = "batch string, part string, at long, replaces array<string>"
-        try:
-            rows = self.spark.read.schema(schema).parquet(f"{self.folder}/log")
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-        return rows.groupBy("batch").agg(F.min(F.struct("at", "part", "replaces")).alias("c")).select("batch", "c.part", "c.at", "c.replaces")
-
-    def commit(self, batch: str, deltas: DataFrame, replaces: list[str] | None = None) -> bool:
-        """Sum the deltas by key, write them, and log the batch; False if the id is committed already."""
-        if not self.log().where(F.col("batch") == batch).isEmpty():
-            return False
+    def _write(self, deltas: DataFrame) -> str:
+        """The deltas summed by key, in a folder that no version names yet."""
         part = uuid.uuid4().hex
-        summed = deltas.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
-        summed.write.parquet(f"{self.folder}/parts/{part}")
-        row = [(batch, part, time.time_ns(), replaces or [])]
-        self.spark.createDataFrame(row, "batch string, part string, at long, replaces array<string>").coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
-        return True
+        deltas.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES]).write.parquet(f"{self.folder}/parts/{part}")
+        return part
+
+    def commit(self, batch: str, deltas: DataFrame) -> bool:
+        """Add a batch; False, and nothing changes, if its id counted already."""
+        version, now = self.versions.newest()
+        if batch in now["taken"]:
+            return False
+        part = self._write(deltas)
+        while batch not in now["taken"]:
+            following = {"parts": now["parts"] | {batch: part}, "taken": [*now["taken"], batch]}
+            if self.versions.create(version + 1, following):
+                return True
+            version, now = self.versions.newest()  # another writer was first
+        return False
 
     def committed(self) -> DataFrame:
         """All deltas in force."""
-        rows = self.log().collect()  # one small row per batch
-        gone = {b for r in rows for b in r["replaces"]}
-        parts = [f"{self.folder}/parts/{r['part']}" for r in rows if r["batch"] not in gone]
+        return self._read(self.versions.newest()[1]["parts"])
+
+    def _read(self, parts: dict[str, str]) -> DataFrame:
         if not parts:
             return self.spark.createDataFrame([], self.deltas_schema)
-        return self.spark.read.schema(self.deltas_schema).parquet(*parts)
+        return self.spark.read.schema(self.deltas_schema).parquet(*[f"{self.folder}/parts/{p}" for p in parts.values()])
 
     def totals(self) -> DataFrame:
         summed = self.committed().groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
         return summed.where((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))
 
     def compact(self, batch: str) -> bool:
-        """Replace all batches in force by one with their sums; their ids stay taken."""
-        names = [r["batch"] for r in self.log().collect()]
-        return self.commit(batch, self.committed(), names)
+        """Put one batch with their sums in the place of all batches in force; their ids stay taken.
+
+        False, and nothing changes, if the id is taken or if another compaction has replaced one of the batches meanwhile.
+        Batches that were committed meanwhile stay beside the new one.
+        """
+        version, now = self.versions.newest()
+        old = now["parts"]
+        if batch in now["taken"]:
+            return False
+        part = self._write(self._read(old))
+        while batch not in now["taken"] and old.items() <= now["parts"].items():
+            left = {b: p for b, p in now["parts"].items() if b not in old}
+            if self.versions.create(version + 1, {"parts": {batch: part} | left, "taken": [*now["taken"], batch]}):
+                return True
+            version, now = self.versions.newest()
+        return False
 
 
 def maintain(docs: DataFrame, rollup: Rollup, folder: str = TOKENIZERS, version: str = VERSION) -> DataFrame:
@@ -132,6 +145,7 @@ def maintain(docs: DataFrame, rollup: Rollup, folder: str = TOKENIZERS, version:
     * ``dedupe`` takes all rows of a text off and puts the one with the smallest id back, which needs no join;
     * ``dedupe`` is delivered twice, as a retried job would; the second delivery changes nothing.
     """
+    bound_batches(docs.sparkSession)
     rows = stored(ledger(docs, folder, version), "ledger")
     rollup.commit("load", signed(rows, F.col("tokens")))
     changed = rows.where(F.col("revised").isNotNull())

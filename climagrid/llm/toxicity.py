@@ -1,13 +1,14 @@
 """Toxicity by a factorization machine over hashed terms.
 
-score = sigmoid(w0 + sum of w_i + sum over pairs of <v_i, v_j>) over the hashed terms of a text: its words and the
-beginnings of its words. The pairwise part learns combinations (an insult with a group mention) that additive weights miss.
+score = sigmoid(w0 + sum of w_i + sum over pairs of <v_i, v_j> / sqrt(n)) over the n hashed terms of a text: its words and the
+beginnings of its words. The pairwise part learns combinations (an insult with a group mention) that additive weights miss; the
+root keeps the many pairs of ordinary terms in a long text from drowning it.
 
 Learning uses a bounded sample: the ``sample_rows`` labelled training rows that come first in hash order of the id. Their terms
 are hashed where the texts are read; one task then fits the model to at most ``sample_rows`` lists of term numbers. Linear
 weights follow the FTRL-proximal rule, whose L1 penalty leaves ordinary terms at exactly 0, so that long texts do not
-gather noise; factors follow AdaGrad and are used for terms that occur often enough. The model (``2**bits`` * (1 + factors) floats)
-has a fixed size and is broadcast to the tasks that score.
+gather noise; factors follow AdaGrad. Terms of at least ``LEAST`` sampled texts have factors, whatever their linear weight; others are
+left out. The model (``2**bits`` * (1 + factors) floats) has a fixed size and is broadcast to the tasks that score.
 
 Defined results: NULL and empty texts have no terms and get the intercept's score; ids with several labels count as toxic
 if one label says so; NULL labels and labels without a document are left out; without both classes in the sample every score
@@ -27,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm import tokens
-from climagrid.llm.common import bound_batches, id_hash_mod, stored
+from climagrid.llm.common import bound_batches, free, id_hash_mod, stored
 
 SAMPLE_ROWS = 24_000
 BITS = 18
 FACTORS = 4
 EPOCHS = 2
 PREFIXES = (3, 4, 5, 6)
+LEAST = 10
 
 
 def terms_of(texts: Sequence[object], bits: int = BITS, only: np.ndarray | None = None) -> Iterator[np.ndarray]:
@@ -52,8 +54,8 @@ def terms_of(texts: Sequence[object], bits: int = BITS, only: np.ndarray | None
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, epochs: int = EPOCHS,
-        l1: float = 1.5, l2: float = 0.5, rate: float = 0.1, v_rate: float = 0.005, v_l2: float = 0.02,
-        least: int = 10, seed: int = 7) -> tuple[np.ndarray, np.ndarray, float]:
+        l1: float = 1.5, l2: float = 0.5, rate: float = 0.1, v_rate: float = 0.05, v_l2: float = 0.002,
+        least: int = LEAST, seed: int = 7) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights (2**bits), factors (2**bits, k) and intercept."""
     size = 1 << bits
     share = (labels.sum() + 0.5) / (len(labels) + 1.0) if len(labels) else 0.5
@@ -64,26 +66,23 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: i
     seen = np.zeros(size, np.int64)
     for row in rows:
         seen[row] += 1
-    rows = [row[seen[row] >= least] for row in rows]
+    often = seen >= least
+    rows = [row[often[row]] for row in rows]
     rng = np.random.default_rng(seed)
     z, n = np.zeros(size), np.zeros(size)
-    start = rng.normal(0, 0.02, (size, factors))
+    v = rng.normal(0, 0.02, (size, factors))
+    v[~often] = 0.0
     v_sum = np.ones((size, factors))
-    touched = np.zeros(size, bool)
     weight = np.where(labels == 1, min(6.0, 0.8 / share), 1.0)
-    for epoch in range(epochs):
+    for _ in range(epochs):
         for i in rng.permutation(len(rows)):
             x = rows[i]
             if not len(x):
                 continue
-            wx = w[x]
-            active = x[wx != 0]
-            fresh = active[~touched[active]]
-            if len(fresh):
-                v[fresh], touched[fresh] = start[fresh], True
-            va = v[active]
-            total = va.sum(0)
-            margin = bias + wx.sum() + 0.5 * ((total**2).sum() - (va**2).sum())
+            wx, vx = w[x], v[x]
+            total = vx.sum(0)
+            scale = 1 / np.sqrt(len(x))
+            margin = bias + wx.sum() + 0.5 * scale * ((total**2).sum() - (vx**2).sum())
             p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             g = (p - labels[i]) * weight[i]
             # FTRL-proximal for linear weights.
@@ -93,14 +92,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors: i
             n[x] = new
             zx = z[x]
             w[x] = np.where(np.abs(zx) <= l1, 0.0, -(zx - np.sign(zx) * l1) / ((1.0 + np.sqrt(new)) / rate + l2))
-            if len(active) > 1:
-                step = g * (total - va) + v_l2 * va
-                v_sum[active] += step**2
-                v[active] -= v_rate * step / np.sqrt(v_sum[active])
-    v[w == 0] = 0.0
+            step = g * scale * (total - vx) + v_l2 * vx
+            v_sum[x] += step**2
+            v[x] -= v_rate * step / np.sqrt(v_sum[x])
     return w.astype(np.float32), v.astype(np.float32), bias
 
 
+def in_model(w: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Which terms count."""
+    return (w != 0) | v.any(1)
+
+
 def in_order(rows: list[np.ndarray], labels: np.ndarray, head: int = 32) -> list[int]:
     """Row numbers by label and terms, the same whatever the files; only equal beginnings are compared in full."""
 
@@ -112,9 +114,10 @@ def in_order(rows: list[np.ndarray], labels: np.ndarray, head: int = 32) -> list
 
 
 def score_terms(x: np.ndarray, w: np.ndarray, v: np.ndarray, bias: float) -> float:
-    va = v[x]
-    total = va.sum(0, dtype=np.float64)
-    margin = bias + w[x].sum(dtype=np.float64) + 0.5 * float((total**2).sum() - (va.astype(np.float64) ** 2).sum())
+    """The score of a text from its terms that are in the model."""
+    vx = v[x].astype(np.float64)
+    pairs = 0.5 * float((vx.sum(0) ** 2).sum() - (vx**2).sum()) / max(1.0, np.sqrt(len(x)))
+    margin = bias + w[x].sum(dtype=np.float64) + pairs
     return float(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
 
 
@@ -137,7 +140,7 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, b
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits: int = BITS, factors: int = FACTORS) -> tuple:
-    """The model as arrays of fixed size; what reaches the driver are its non-zero weights."""
+    """The model as arrays of fixed size; what reaches the driver are the terms that count."""
     bound_batches(docs.sparkSession)
     rows = stored(sample(docs, labels, sample_rows, bits), "toxicity-sample")
 
@@ -151,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
         y = np.concatenate(marks).astype(np.int64) if marks else np.empty(0, np.int64)
         order = in_order(lists, y)
         w, v, bias = fit([lists[i] for i in order], y[order], bits, factors)
-        used = np.flatnonzero(w)
+        used = np.flatnonzero(in_model(w, v))
         weights = np.concatenate([[bias], w[used].astype(np.float64)])
         pairs = np.concatenate([np.zeros((1, factors), np.float32), v[used]])
         yield pa.RecordBatch.from_arrays(
@@ -180,7 +183,7 @@ def with_score(docs: DataFrame, model: tuple, bits: int = BITS, column: str = "s
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w, v, bias = shared.value
-        used = w != 0
+        used = in_model(w, v)
         for batch in batches:
             yield pd.Series([score_terms(x, w, v, bias) for x in terms_of(batch, bits, used)], dtype="float64")
 
@@ -199,4 +202,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that the model does not reject, with all their columns."""
     model = train(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), sample_rows)
-    return with_score(docs, model, column="toxicity_score").where(F.col("toxicity_score") < threshold).drop("toxicity_score")
+    own = free("toxicity_score", docs)
+    return with_score(docs, model, column=own).where(F.col(own) < threshold).drop(own)

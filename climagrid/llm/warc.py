@@ -4,7 +4,8 @@
 ``derivatives`` reads response records back and writes, for each of them, a metadata
 record and a conversion record. Both name the response in WARC-Refers-To, keep its target and its date,
 carry the digest of their own block, and the metadata record keeps the response's HTTP
-headers, payload digest and links. Everything is done row by row inside Arrow batches; nothing is shuffled.
+headers, payload digest and links. Everything is done row by row inside Arrow batches of bounded bytes; nothing is shuffled. Pages are
+read in one pass, so that time grows with their length whatever tags they open and never close.
 
 Defined results: a NULL url is written as ``about:blank``, a NULL or empty page gives an empty payload and an empty text;
 equal rows give equal records; identifiers are name-based UUIDs of target, id and payload, so reruns agree. A record that
@@ -23,16 +24,21 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from climagrid.llm.common import bound_batches
+
 CRLF = b"\r\n"
 DATE = "1970-01-01T00:00:00Z"
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "warc-records")
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b[^>]*>.*?</\1\s*>", re.S | re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_HIDDEN = re.compile(r"<(script|style|noscript|template|head)\b", re.I)
+_CLOSE = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "head", "title")}
+_TITLE = re.compile(r"<title\b", re.I)
 _BLOCK = re.compile(
-    r"<(?:/?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|main|aside|blockquote|pre|form|hr)\b[^>]*)>", re.I
+    r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|main|aside|blockquote|pre|form|hr)\b", re.I
 )
-_TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TAG_START = re.compile(r"<[!/?a-zA-Z]")
+_ANCHOR = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_BARE = re.compile(r"[^\s>]+")
 _BREAKS = re.compile(r"[\r\n]+")
 # Single spaces stay as they are, so most words cost no replacement.
 _SPACES = re.compile(r"[ \t\r\f\v\xa0]{2,}|[\t\r\f\v\xa0]")
@@ -78,14 +84,99 @@ def parse_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return lines[0], pairs, payload
 
 
+class _Places:
+    """Where something next occurs in a page. Questions must ascend; what was found or missed is not looked for again."""
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+
+    def after(self, what: str | re.Pattern, start: int) -> tuple[int, int] | None:
+        """Begin and end of the first occurrence from ``start``."""
+        found = self.known.get(what, (-1, -1))
+        if found is not None and found[0] < start:
+            if isinstance(what, str):
+                at = self.page.find(what, start)
+                found = (at, at + len(what)) if at >= 0 else None
+            else:
+                match = what.search(self.page, start)
+                found = match.span() if match else None
+            self.known[what] = found
+        return found
+
+
+def visible(page: str) -> str:
+    """The page without tags: hidden parts become a space, block tags a line break. One pass from left to right."""
+    places, out, at = _Places(page), [], 0
+    while True:
+        tag = places.after(_TAG_START, at)
+        if tag is None:
+            break
+        begin = tag[0]
+        out.append(page[at:begin])
+        if page.startswith("<!--", begin):
+            closed = places.after("-->", begin + 4)
+            if closed:
+                out.append(" ")
+                at = closed[1]
+                continue
+        end = places.after(">", begin)
+        if end is None:
+            at = begin
+            break
+        hidden = _HIDDEN.match(page, begin)
+        closed = hidden and places.after(_CLOSE[hidden[1].lower()], end[1])
+        if closed:
+            out.append(" ")
+            at = closed[1]
+        else:
+            if _BLOCK.match(page, begin):
+                out.append("\n")
+            at = end[1]
+    out.append(page[at:])
+    return "".join(out)
+
+
+def title_of(page: str) -> str:
+    """What stands in the first title element, without tags."""
+    tag = _TITLE.search(page)
+    end = page.find(">", tag.end()) if tag else -1
+    closed = _CLOSE["title"].search(page, end) if end >= 0 else None
+    return html_entities.unescape(visible(page[end + 1 : closed.start()])) if closed else ""
+
+
+def links_of(page: str) -> list[str]:
+    """The targets of the anchors, in order. One pass from left to right."""
+    places, out, at = _Places(page), [], 0
+    while True:
+        anchor = places.after(_ANCHOR, at)
+        if anchor is None:
+            return out
+        end = places.after(">", anchor[1])
+        stop = end[0] if end else len(page)
+        name = places.after(_HREF, anchor[1])
+        if name is None:
+            return out
+        if name[0] >= stop:
+            at = stop  # none up to there, so none for anchors inside
+            continue
+        at = name[1]
+        quote = page[at : at + 1]
+        closed = places.after(quote, at + 1) if quote in ("\"", "'") and quote else None
+        bare = None if closed else _BARE.match(page, at)
+        if closed:
+            out.append(page[at + 1 : closed[0]])
+            at = closed[1]
+        elif bare:
+            out.append(bare[0])
+            at = bare.end()
+
+
 def plain_text(page: str) -> tuple[str, str]:
     """Title and visible text: hidden parts go, block tags break lines, entities are resolved once."""
-    title = _TITLE.search(page)
-    body = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub(" ", page)))
+    body = visible(page)
     body = html_entities.unescape(body) if "&" in body else body
     lines = (line.strip() for line in _SPACES.sub(" ", body).split("\n"))
-    name = html_entities.unescape(_TAG.sub("", title[1])).strip() if title else ""
-    return " ".join(name.split()), "\n".join(line for line in lines if line)
+    return " ".join(title_of(page).split()), "\n".join(line for line in lines if line)
 
 
 def response_of(page_id: object, url: str | None, page: str | None) -> tuple[str, bytes]:
@@ -126,7 +217,7 @@ def derive(page_id: object, data: bytes) -> list[tuple]:
     refers, target, date = headers.get("warc-record-id", ""), headers.get("warc-target-uri", ""), headers.get("warc-date", DATE)
     page = payload.decode("utf-8", "replace")
     title, text = plain_text(page)
-    links = [html_entities.unescape(a or b or c) for a, b, c in _LINK.findall(page)]
+    links = [html_entities.unescape(x) for x in links_of(page)]
     conversion, described = record_id("conversion", refers), record_id("metadata", refers)
 
     lines = [("status", status), *((f"http-{k.lower()}", v) for k, v in fields), ("payload-digest", source_digest)]
@@ -160,6 +251,7 @@ def response_records(pages: DataFrame) -> DataFrame:
             rows = [response_of(i, u, h)[1] for i, u, h in zip(ids, batch["url"], batch["html"])]
             yield pd.DataFrame({"page_id": pd.array(ids, "Int64"), "record": rows})
 
+    bound_batches(pages.sparkSession)
     return pages.select("page_id", "url", "html").mapInPandas(convert, "page_id long, record binary")
 
 
@@ -177,4 +269,5 @@ def derivatives(responses: DataFrame) -> DataFrame:
             frame = pd.DataFrame(rows, columns=names)
             yield frame.assign(page_id=pd.array(frame["page_id"], "Int64"))
 
+    bound_batches(responses.sparkSession)
     return responses.select("page_id", "record").mapInPandas(convert, SCHEMA)

@@ -5,6 +5,14 @@ import pytest
 LONG = "lorem ipsum dolor sit amet " * 4000
 
 
+def swapped_twins():
+    """Two words of 1,024 letters, each the other with its letters swapped: they agree under any power of two as modulus."""
+    word = b"a"
+    while len(word) < 1024:
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    return word, word.translate(bytes.maketrans(b"ab", b"ba"))
+
+
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """NULLs in every column, empty and long texts, repeated rows, and a clashing extra column."""

@@ -5,7 +5,7 @@ import re
 
 import pytest
 from conftest import rows
-from odd_tables import no_docs, odd_docs  # noqa: F401
+from odd_tables import no_docs, odd_docs, swapped_twins  # noqa: F401
 
 from climagrid.llm import decontamination, exact_dedup, mixing, ngram_join
 
@@ -33,11 +33,35 @@ def test_exact_dedup_on_odd_rows(odd_docs, no_docs):
 
 def test_directory_splits_overfull_buckets(spark):
     docs = spark.range(500).selectExpr("id AS doc_id", "concat('text ', id) AS text")
-    index = exact_dedup.build_index(docs, bucket_entries=20)
+    keys = docs.select(exact_dedup.key_of(exact_dedup.normal_text()).alias("key"))
+    cells = exact_dedup.directory(keys, bucket_entries=20)
+    index = exact_dedup.build_index(docs, cells)
     loads = [r["count"] for r in index.groupBy("local_depth", "bucket").count().collect()]
     assert sum(loads) == 500 and max(loads) <= 20 and len(loads) > 20
     depths = {r["local_depth"] for r in index.select("local_depth").distinct().collect()}
     assert len(depths) > 1  # only overfull buckets were split further
+    alike = spark.createDataFrame([(i << 20,) for i in range(40)], "key long")  # differ in their last bits only
+    deep = exact_dedup.directory(alike, bucket_entries=4).collect()
+    assert {r["depth"] for r in deep} == {42} and max(r["local_depth"] for r in deep) == 42
+
+
+@pytest.mark.parametrize("bits", [1, 8])
+def test_chains_tell_texts_with_one_key_apart(spark, bits):
+    """With few bits most keys are shared; the chains still hold every text, and the results stay the same."""
+    docs = spark.range(600).selectExpr("id AS doc_id", "concat('text  ', id % 400) AS text")
+    cells = exact_dedup.directory(docs.select(exact_dedup.key_of(exact_dedup.normal_text(), bits).alias("key")).distinct(), 3)
+    index = exact_dedup.build_index(docs, cells, bits)
+    assert index.count() == 400 and index.select("key", "chain").distinct().count() == 400
+    assert index.agg({"chain": "max"}).first()[0] > (100 if bits == 1 else 3)
+    assert rows(exact_dedup.report(docs, 3, bits)) == rows(exact_dedup.report(docs))
+
+
+def test_lookups_need_the_directory(spark, monkeypatch):
+    """Without its cells, no document finds its chain."""
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    monkeypatch.setattr(exact_dedup, "directory", lambda keys, n: keys.select("key", exact_dedup.F.lit(0).alias("cell")).selectExpr(
+        "cell", "0 AS local_depth", "0L AS bucket", "64 AS depth").where("false"))
+    assert exact_dedup.report(docs).count() == 0
 
 
 def shingles(text):
@@ -79,6 +103,22 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, block):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(root.values()))
 
 
+def test_words_that_mirror_each_other_are_told_apart(spark):
+    one, other = (w.decode() for w in swapped_twins())
+    docs = spark.createDataFrame([(1, f"{one} b c d e f"), (2, f"{other} b c d e f")], "doc_id long, text string")
+    assert brute_classes({r["doc_id"]: r["text"] for r in docs.collect()})[1] == {1: 0, 2: 0}
+    assert {r["doc_id"]: (r["n_links"], r["kept"]) for r in ngram_join.report(docs).collect()} == {1: (0, True), 2: (0, True)}
+
+
+def test_ngram_join_on_given_documents(spark, data_dir):
+    """No link between the given documents is lost, and none is made up."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{data_dir}/documents.parquet").collect()}
+    root, links = brute_classes(texts)
+    found = {r["doc_id"]: r for r in ngram_join.report(spark.read.parquet(f"{data_dir}/documents.parquet")).collect()}
+    assert sum(links.values()) > 0
+    assert {i: (r["class_id"], r["n_links"]) for i, r in found.items()} == {i: (root[i], links[i]) for i in texts}
+
+
 def test_ngram_join_on_odd_rows(odd_docs, no_docs):
     found = ngram_join.report(odd_docs).collect()
     assert len(found) == odd_docs.count()

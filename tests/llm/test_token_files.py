@@ -39,6 +39,20 @@ def test_pieces_give_the_ids_of_whole_texts(library):
     assert [np.frombuffer(f, "<i4").tolist() for f in found] == expected
 
 
+def test_every_latin_character_between_letters(library):
+    """Characters of the short way, alone and next to letters, digits, spaces and marks."""
+    texts = [f"{a}{chr(c)}{b}" for c in range(0x250) for a in ("", "a", "1 ", "é ", "!") for b in ("", "b", " 2", "'s", " ")]
+    found = token_files.Encoder(token_files.TOKENIZER).encode(texts)
+    assert [np.frombuffer(f, "<i4").tolist() for f in found] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_vocabularies_are_left_to_the_library():
+    path = token_files.public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Hello  World, it's", "", " a"]
+    plain = [x.ids for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(f, "<i4").tolist() for f in token_files.Encoder(path).encode(texts)] == plain
+
+
 def test_forgetting_pieces_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 3)
     encoder = token_files.Encoder(token_files.TOKENIZER)
