@@ -34,9 +34,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the number of words that the mix takes of them."""
-    keep = [c for c in docs.columns if c not in ("doc_id", "size", "source_size", "target", "taken")]
-    return mixing.mix(docs, keep=keep)
+    """All documents with the number of words that the mix takes of them.
+
+    A column that is called like one of the mix's own four is kept with an underscore behind its name.
+    """
+    return mixing.mix(docs, keep=[c for c in docs.columns if c.lower() != "doc_id"])
 
 
 STAGES = [
