@@ -1,5 +1,7 @@
 """Scan and source queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from climagrid.registry import query
@@ -112,8 +114,9 @@ def customer_regions(t):
 
 @query("scan_table", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_quantity > 25")
 def named_table(t):
-    t.lineitem.createOrReplaceTempView("climagrid_bronze_lines")
-    lines = scan_table(t.spark, "climagrid_bronze_lines", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
+    name = f"bronze_lines_{uuid.uuid4().hex}"
+    t.lineitem.createOrReplaceTempView(name)
+    lines = scan_table(t.spark, name, ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
     return lines.where("l_quantity > 25")
 
 
