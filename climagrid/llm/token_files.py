@@ -20,6 +20,7 @@ special strings in a text get their special ids, as the library does by default;
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -31,6 +32,7 @@ from itertools import chain, islice
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -49,6 +51,9 @@ _DOUBTFUL = "᠎​⁠﻿"
 # A space that every reading cuts before: its neighbours are white space by none.
 _INNER = rf"[^\s\x1c-\x1f\x85{_DOUBTFUL}]"
 _CUT = re.compile(f"(?<={_INNER}) (?={_INNER})")
+# The vocabulary's published split pattern, used for characters below _LAST: Latin letters, whose classes no library sees otherwise.
+_WORDS = regex.compile(public_tokenizers.PATTERN)
+_LAST = "\u0250"
 
 DATA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 _DATA = pa.schema(
@@ -56,30 +61,36 @@ _DATA = pa.schema(
 )
 
 
-class Pieces:
-    """Ids of pieces, as bytes of 32-bit integers; those not met for two generations are forgotten."""
+class Table:
+    """Ids of texts, as bytes of 32-bit integers; those not met for two generations are forgotten."""
 
-    def __init__(self, library, before: str):
-        self.library, self.before = library, before
+    def __init__(self, encode):
+        self.encode = encode  # a list of texts to the ids of each
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def unknown(self, wanted: set[str]) -> set[str]:
-        """The pieces that are not in the table; starts a generation when it is full."""
+        """The texts that are not in the table; starts a generation when it is full."""
         if len(self.young) > REMEMBERED:
             self.young, self.old = {}, self.young
         return wanted.difference(self.young)
 
     def learn(self, unknown: set[str]) -> None:
         new = []
-        for piece in unknown:
-            known = self.old.get(piece)
+        for text in unknown:
+            known = self.old.get(text)
             if known is None:
-                new.append(piece)
+                new.append(text)
             else:
-                self.young[piece] = known
-        found = self.library.encode_batch_fast([self.before + p for p in new], add_special_tokens=False)
-        self.young.update(zip(new, (array("i", x.ids).tobytes() for x in found)))
+                self.young[text] = known
+        self.young.update(zip(new, self.encode(new)))
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 upwards."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(0x100) if b not in set(seen)]
+    return {b: chr(b) for b in seen} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
 def _is_open(piece: str) -> bool:
@@ -88,17 +99,52 @@ def _is_open(piece: str) -> bool:
 
 
 class Encoder:
-    """Ids of whole texts, by pieces that are encoded once."""
+    """Ids of whole texts.
+
+    With a byte-level vocabulary, texts are cut into pieces that are encoded once. A new piece of letters whose classes never change
+    is split by the published pattern, and the library's model encodes the words that are new; any other piece, and
+    any text for another kind of vocabulary, goes through the library as a whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(path)
-        self.first, self.later = Pieces(library, ""), Pieces(library, " ")
+        self.library = Tokenizer.from_file(path)
+        form = json.loads(self.library.to_str())
+        split = form["pre_tokenizer"] or {}
+        self.by_bytes = form["normalizer"] is None and split.get("type") == "ByteLevel" and not split["add_prefix_space"] and split.get("use_regex", True)
+        self.special = [token["content"] for token in form["added_tokens"]]
+        self.letters = _byte_letters()
+        self.words = Table(self._by_model)
+        self.first, self.later = Table(lambda pieces: self._pieces(pieces, "")), Table(lambda pieces: self._pieces(pieces, " "))
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("i", x.ids).tobytes() for x in found]
+
+    def _by_model(self, words: list[str]) -> list[bytes]:
+        tokenize, letters = self.library.model.tokenize, self.letters
+        shown = [w.encode("utf-8").decode("latin-1").translate(letters) for w in words]
+        return [array("i", [t.id for t in tokenize(x)]).tobytes() for x in shown]
+
+    def _pieces(self, pieces: list[str], before: str) -> list[bytes]:
+        split = [_WORDS.findall(before + p) if p.isascii() or max(p) < _LAST else None for p in pieces]
+        self.words.learn(self.words.unknown(set(chain.from_iterable(filter(None, split)))))
+        others = iter(self._whole([before + p for p, words in zip(pieces, split) if words is None]))
+        find = self.words.young.__getitem__
+        return [next(others) if words is None else b"".join(map(find, words)) for words in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of little-endian 32-bit integers."""
+        if not self.by_bytes or any(special in text for text in texts for special in self.special):
+            alone = [not self.by_bytes or any(special in text for special in self.special) for text in texts]
+            whole = iter(self._whole([t for t, is_alone in zip(texts, alone) if is_alone]))
+            others = iter(self._by_pieces([t for t, is_alone in zip(texts, alone) if not is_alone]))
+            return [next(whole if is_alone else others) for is_alone in alone]
+        return self._by_pieces(texts)
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
         unknown = self.later.unknown(set(chain.from_iterable(cut)))
         doubtful = {p for p in unknown if _is_open(p)}  # never learned as they are, so all of them are here
