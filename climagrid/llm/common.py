@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from climagrid.session import scratch_path
+from climagrid.sinks.manifest import file_system
 
 # ASCII white space: space and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -66,6 +70,27 @@ def first_of_each(rows: DataFrame, *keys: Column) -> DataFrame:
     return chosen.select("row.*")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the folders that ``stored`` made inside the block, when it ends.
+
+    Frames that were made inside read those folders, so write the result before. Without a scope the folders stay until the shared
+    folder is cleared.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            folder, files = file_system(spark, path.rsplit("/", 1)[0])
+            files.delete(folder, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and continue from the files.
 
@@ -73,6 +98,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     all executors reach, so a lost executor loses nothing.
     """
     path = scratch_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -114,7 +114,9 @@ def measured(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram:
     w = F.col("words")
     windows = items.select("item_id", F.explode(sequences(lambda n: F.when(F.col("length") == n, rows_of(w, n)).otherwise(F.filter(rows_of(w, n), lambda x: F.lit(False))))).alias("w"))
     windows = windows.select("item_id", F.xxhash64("w.words").alias("hash"), F.col("w.words").alias("item_words")).distinct()
-    windows = broadcast_if_bounded(stored(windows, "windows"), 1024)
+    windows = stored(windows, "windows")
+    widest = windows.agg(F.coalesce(F.max(F.octet_length(F.array_join("item_words", " "))), F.lit(0))).first()[0]
+    windows = broadcast_if_bounded(windows, 2 * widest + 24 * window + 64)  # words, and what an array of them takes besides
     places = (
         docs.select(*_row_key(), text_or_empty().alias("text"))
         .join(near, KEY, "left_semi")

@@ -11,7 +11,7 @@ same is done for the cut by the budget: finish times are counted in about sqrt(n
 are ordered one by one only inside the slot in which the budget ends.
 
 Defined results: NULL text has size 0; size 0 is never taken; NULL is a source of its own, after
-all others; equal shuffle keys (repeated rows) are ordered by id and size, and equal rows are
+all others; a NULL id is shuffled by its text; equal shuffle keys (repeated rows) are ordered by id and size, and equal rows are
 interchangeable; an empty table gives an empty result; other columns are ignored unless named in ``keep``.
 """
 
@@ -86,7 +86,8 @@ def mix(
 
 
 def _mix(docs: DataFrame, weights: Sequence[int], share: float, cap: int, keep: Sequence[str]) -> DataFrame:
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    # Rows without an id are shuffled by their text, so that many of them do not meet in one stretch.
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), text_or_empty())).cast("binary"))
     sized = stored(
         docs.select("doc_id", "source", *keep, word_count().alias("size"), key.alias("_key")), "sized"
     )
@@ -166,7 +167,7 @@ def _mix(docs: DataFrame, weights: Sequence[int], share: float, cap: int, keep:
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))) AS k,
     CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size
   FROM documents),
 s AS (

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -9,7 +10,9 @@ from odd_tables import odd_docs  # noqa: F401
 from test_filters import brute_classes, normal
 
 import corpus_pipeline
-from climagrid.llm import mixing, toxicity
+from climagrid.llm import exact_dedup, mixing, toxicity
+from climagrid.llm.common import scratch_scope
+from climagrid.session import shared_dir
 
 # Names that operators use for columns of their own.
 CLASHES = [
@@ -21,7 +24,7 @@ CLASHES = [
 @pytest.fixture
 def clashing(odd_docs):
     plain = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
-    return plain.selectExpr("*", *[f"concat('{c} ', coalesce(doc_id, 'none'), '/', {i}) AS `{c}`" for i, c in enumerate(CLASHES)])
+    return plain.selectExpr("*", *[f"concat('{c} ', coalesce(cast(doc_id as string), 'none'), '/', {i}) AS `{c}`" for i, c in enumerate(CLASHES)])
 
 
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
@@ -83,3 +86,27 @@ def test_pipeline_equals_brute_force(spark, data_dir):
         expected = sorted(db.execute(mixing.ORACLE).fetchall())
     assert [r[:3] + r[4:] for r in found] == [r[:3] + r[4:] for r in expected]
     assert all(abs(a[3] - b[3]) < 1e-6 for a, b in zip(found, expected))
+
+
+def test_scope_removes_what_operators_store(spark, odd_docs, folder):
+    def left():
+        return {p.name for p in Path(shared_dir(spark).removeprefix("file://")).glob("climagrid-*")}
+
+    before = left()
+    with scratch_scope(spark):
+        exact_dedup.deduplicated(odd_docs).write.parquet(folder)
+        assert left() > before
+    assert left() == before and spark.read.parquet(folder).count() > 0
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        mixing.mix(odd_docs)
+        1 / 0
+    assert left() == before
+
+
+def test_rows_without_ids_are_spread(spark):
+    """A third of all rows without an id do not share one stretch of their queue, and the mix repeats."""
+    docs = spark.range(900).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "'s' AS source", "concat('word ', id) AS text")
+    mixed = [sorted(map(str, mixing.mix(d).collect())) for d in (docs, docs.repartition(7))]
+    assert mixed[0] == mixed[1]
+    taken = [r["taken"] for r in mixing.mix(docs).where("doc_id IS NULL").collect()]
+    assert len(set(taken)) > 1  # not all or none of them
