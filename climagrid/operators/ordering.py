@@ -82,10 +82,10 @@ def _cuts(tuples: DataFrame, order: Sequence[str], group: Sequence[str], count:
     keys = [F.col(g).alias(f"_group_{i}") for i, g in enumerate(group)]
     found = by_hash.select(*keys, _order_key(order).alias("_key")).groupBy(*[f"_group_{i}" for i in range(len(group))])
     values = found.agg(F.sort_array(F.collect_list("_key")).alias("_keys"))
-    number = F.floor(F.size("_keys") * slices / rows).cast("int")
+    number = F.floor(F.size("_keys") * F.lit(slices / rows)).cast("int")
     enough = values.withColumn("_number", number).where("_number > 0")
     places = F.sequence(F.lit(1), F.col("_number"))
-    cut = F.transform(places, lambda i: F.get("_keys", F.floor(i * F.size("_keys") / (F.col("_number") + 1)).cast("int")))
+    cut = F.transform(places, lambda i: F.get("_keys", F.floor(i / (F.col("_number") + 1) * F.size("_keys")).cast("int")))
     spaced = enough.withColumn("_cut", F.array_distinct(cut)).withColumn("width", F.ceil(F.sqrt(F.size("_cut"))).cast("int"))
     starts = F.sequence(F.lit(0), F.floor((F.size("_cut") - 1) / F.col("width")).cast("int"))
     blocks = F.transform(starts, lambda i: F.slice("_cut", i * F.col("width") + 1, F.col("width")))
