@@ -42,6 +42,8 @@ FILTER_BYTES = 192 << 20
 SHARD_BYTES = 8 << 20
 FLUSH_BYTES = 8 << 20
 CHUNK_ROWS = 2_000
+# Text whose distinct pairs are looked up together.
+PIECE_BYTES = 1 << 20
 MAX_LEVEL = 255
 _END = np.uint64(0xA0761D6478BD642F)
 _U = np.uint64
@@ -77,10 +79,10 @@ def _position(one: np.ndarray, two: np.ndarray, probe: int, size: np.ndarray) ->
         return ((one + two * _U(probe)) & _U(0xFFFFFFFF)) * size >> _U(32)
 
 
-def build_filter(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def build_filter(keys: np.ndarray, counts: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> np.ndarray:
     """Bytes of the filter of one shard, sized for its entries."""
     levels = quantise(counts)
-    size = max(64, int(levels.sum()) * BITS_PER_ENTRY + 63 & ~63)
+    size = max(64, int(levels.sum()) * bits_per_entry + 63 & ~63)
     flags = np.zeros(size, bool)
     level = 1
     while len(keys):
@@ -117,10 +119,10 @@ class Filter:
         start = int(self.starts[shard])
         self.bits[start : start + len(part)] = part
 
-    def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Levels of the keys: the last of the unbroken run of present ones."""
+    def levels(self, keys: np.ndarray, upto: np.ndarray | None = None) -> np.ndarray:
+        """Levels of the keys: the last of the unbroken run of present ones, which is followed up to ``upto``."""
         out = np.zeros(len(keys), np.uint8)
-        active, level = np.arange(len(keys)), 1
+        active, level = np.arange(len(keys)) if upto is None else np.flatnonzero(upto), 1
         shard = shard_of(keys, len(self.sizes)).astype(np.int64)
         size, start = self.sizes[shard], self.starts[shard]
         while len(active) and level <= MAX_LEVEL:
@@ -133,6 +135,8 @@ class Filter:
                 rest = rest[(byte >> (at & _U(7)).astype(np.uint8)) & 1 == 1]
             active = active[rest]
             out[active] = level
+            if upto is not None:
+                active = active[upto[active] > level]
             level += 1
         return out
 
@@ -165,7 +169,7 @@ _SHARD_TYPES = pa.schema(
 SHARDS = "kind int, shard int, bits binary, total long, keys binary, counts binary"
 
 
-def count_ngrams(docs: DataFrame, shards: int) -> DataFrame:
+def count_ngrams(docs: DataFrame, shards: int, bits_per_entry: int = BITS_PER_ENTRY) -> DataFrame:
     """One row per kind (0 words, 1 pairs) and shard: its filter, and for words the exact counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +198,7 @@ def count_ngrams(docs: DataFrame, shards: int) -> DataFrame:
         keys, counts = keys[order], counts[order]
         firsts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         keys, counts = keys[firsts], np.add.reduceat(counts, firsts)
-        row = {"kind": kind, "shard": shard, "bits": build_filter(keys, counts).tobytes(), "total": int(counts.sum())}
+        row = {"kind": kind, "shard": shard, "bits": build_filter(keys, counts, bits_per_entry).tobytes(), "total": int(counts.sum())}
         row |= {"keys": keys.tobytes(), "counts": counts.tobytes()} if kind == 0 else {"keys": b"", "counts": b""}
         return pa.Table.from_pylist([row], _SHARD_TYPES)
 
@@ -202,24 +206,33 @@ def count_ngrams(docs: DataFrame, shards: int) -> DataFrame:
     return packed.groupBy("kind", "shard").applyInArrow(add, SHARDS)
 
 
-def _log_probabilities(texts: list[bytes], levels: Callable[[int, np.ndarray], np.ndarray], total: int, distinct: int) -> tuple:
+def _log_probabilities(texts: list[bytes], levels: Callable[[int, np.ndarray, np.ndarray | None], np.ndarray], total: int, distinct: int) -> tuple:
     """(tokens, distinct ones, place of each token in them, first token and score of each text).
 
-    ``levels(kind, keys)`` looks counts up.
+    ``levels(kind, keys, upto)`` looks counts up. A pair's count is cut to those of its two words, so a distinct pair is looked up
+    once, to the level of the rarer word, and not at all if a word is unknown.
     """
     stream, pairs, begin = ngrams(texts)
     words, place = np.unique(stream, return_inverse=True)
-    known = DECODED[levels(0, words)]
-    word = known[place]
-    past = np.concatenate(([0.0], word[:-1]))
-    past[begin] = known[np.searchsorted(words, _END)]
-    both = np.minimum(DECODED[levels(1, pairs)], np.minimum(word, past))
+    word_levels = levels(0, words, None)
+    here = word_levels[place]
+    before = np.concatenate((np.zeros(1, np.uint8), here[:-1]))
+    before[begin] = word_levels[np.searchsorted(words, _END)]
+    rarer = np.minimum(here, before)
+    asked = np.flatnonzero(rarer)
+    keys, firsts, back = np.unique(pairs[asked], return_index=True, return_inverse=True)
+    found = np.zeros(len(pairs), np.uint8)
+    found[asked] = levels(1, keys, rarer[asked][firsts])[back]
+    word, past = DECODED[here], DECODED[before]
+    both = DECODED[np.minimum(found, rarer)]
     single = (word + 0.5) / (total + 0.5 * (distinct + 1))
     logs = np.log10((both + PRIOR * single) / (past + PRIOR))
     return stream, words, place, begin, np.add.reduceat(logs, begin)
 
 
-def score(docs: DataFrame, held_out, filter_bytes: int = FILTER_BYTES, head: int = HEAD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def score(
+    docs: DataFrame, held_out, filter_bytes: int = FILTER_BYTES, head: int = HEAD, shard_bytes: int = SHARD_BYTES, bits_per_entry: int = BITS_PER_ENTRY
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score; ``held_out`` is a boolean column."""
     spark = docs.sparkSession
     bound_batches(docs.sparkSession)
@@ -227,7 +240,7 @@ def score(docs: DataFrame, held_out, filter_bytes: int = FILTER_BYTES, head: int
     train = rows.where(~F.col("held_out"))
     size = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = size // shard_bytes + 1
-    model = stored(count_ngrams(train, shards), "ngrams")
+    model = stored(count_ngrams(train, shards, bits_per_entry), "ngrams")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +302,7 @@ def score(docs: DataFrame, held_out, filter_bytes: int = FILTER_BYTES, head: int
             both = filters.value
             for batch in batches:
                 if batch.num_rows:
-                    work = ((t, lambda kind, keys: both[kind].levels(keys)) for t in tokens.chunks(batch.column(3).to_pylist()))
+                    work = ((t, lambda kind, keys, upto: both[kind].levels(keys, upto)) for t in tokens.chunks(batch.column(3).to_pylist(), PIECE_BYTES))
                     yield results(list(batch.columns[:3]), work)
 
         scored = source.mapInArrow(near, fields)
@@ -346,7 +359,7 @@ def _score_in_shards(source: DataFrame, model: DataFrame, shards: int, results,
                 np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in mine]),
             ))
 
-        def levels(kind: int, keys: np.ndarray) -> np.ndarray:
+        def levels(kind: int, keys: np.ndarray, upto: np.ndarray | None) -> np.ndarray:
             return known[kind][1][np.searchsorted(known[kind][0], keys)]
 
         ids = [table[c].combine_chunks() for c in ("_row", "doc_id", "held_out")]

@@ -1,8 +1,10 @@
 """Words of many texts at once, as 64-bit hashes in numpy arrays.
 
 Texts of a batch are put into one byte array; word boundaries come from a table of byte classes, and the hash of
-every word is read off running sums of ``R[byte] * P**position`` (modulo 2**64, P odd), so no work is done word by
-word in Python. With V distinct words, two of them share a hash with a probability of about V * V / 2**65.
+every word is read off running sums, so no work is done word by word in Python. A word is a polynomial of its bytes (each
+replaced by a random number) at a random point, modulo the prime 2**31 - 1; two such values, with numbers and points of their own, make
+62 bits. Modulo a prime, two different words of n bytes agree at no more than n of the points, so a pair of them shares both
+values with a probability of at most (n / 2**31)**2; with V distinct words, some two share a hash with a probability of about V * V / 2**63.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ import numpy as np
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
-_P_INVERSE = pow(_P, -1, 1 << 64)
-_RANDOM = np.random.default_rng(20240517).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_PRIME = (1 << 31) - 1
+_SEEDED = np.random.default_rng(20240517)
+_NUMBERS = [_SEEDED.integers(1, _PRIME, 256, dtype=np.uint64) for _ in range(2)]
+_POINTS = [int(x) for x in _SEEDED.integers(1 << 20, _PRIME, 2)]
 CHUNK_BYTES = 256 << 10
 
 
@@ -36,19 +40,28 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Products of two residues, brought below 2**32 without changing what they are modulo the prime."""
+    return (x & _U(_PRIME)) + (x >> _U(31))
+
+
 class _Powers:
-    """Powers of P and of its inverse, grown when a longer text comes."""
+    """Powers of the points and of their inverses, grown when a longer text comes."""
 
     def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < size:
-            with np.errstate(over="ignore"):
-                up = np.full(size, _U(_P))
-                down = np.full(size, _U(_P_INVERSE))
-                up[0] = down[0] = 1
-                self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        self.up = [np.ones(1, np.uint64) for _ in _POINTS]
+        self.down = [np.ones(1, np.uint64) for _ in _POINTS]
+
+    @staticmethod
+    def _grown(known: np.ndarray, point: int, size: int) -> np.ndarray:
+        while len(known) < size:
+            known = np.concatenate((known, known * _U(pow(point, len(known), _PRIME)) % _U(_PRIME)))
+        return known
+
+    def upto(self, size: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        if len(self.up[0]) < size:
+            self.up = [self._grown(x, p, size) for x, p in zip(self.up, _POINTS)]
+            self.down = [self._grown(x, pow(p, -1, _PRIME), size) for x, p in zip(self.down, _POINTS)]
         return self.up, self.down
 
 
@@ -70,22 +83,29 @@ def hashes(texts: Sequence[bytes], table: bytes = BY_SPACE, prefixes: Sequence[i
     word = array != 0x20
     edges = np.flatnonzero(np.diff(np.concatenate(([False], word)).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _powers.upto(len(array) + 1)
-    with np.errstate(over="ignore"):
-        running = np.zeros(len(array) + 1, np.uint64)
-        np.cumsum(_RANDOM[array] * up[: len(array)], out=running[1:])
-        base, shift = running[starts], down[starts]
-        found = mix((running[ends] - base) * shift)
-        begin = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
-        first = np.searchsorted(starts, begin)
-        extra = []
-        if prefixes:
-            owner = np.repeat(np.arange(len(texts)), np.diff(first))
-            for n in prefixes:
-                longer = np.flatnonzero(ends - starts > n)
-                value = (running[starts[longer] + n] - base[longer]) * shift[longer]
-                extra.append((owner[longer], mix(value + _U(n))))
+    ups, downs = _powers.upto(len(array) + 1)
+    # A sum of values below 2**32 stays below 2**64 for any text that fits into memory.
+    running = []
+    for numbers, up in zip(_NUMBERS, ups):
+        total = np.zeros(len(array) + 1, np.uint64)
+        np.cumsum(_fold(numbers[array] * up[: len(array)]), out=total[1:])
+        running.append(total)
+
+    def between(begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        both = [(t[stops] - t[begins]) % _U(_PRIME) * down[begins] % _U(_PRIME) for t, down in zip(running, downs)]
+        return both[0] << _U(31) | both[1]
+
+    found = mix(between(starts, ends))
+    begin = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
+    first = np.searchsorted(starts, begin)
+    extra = []
+    if prefixes:
+        owner = np.repeat(np.arange(len(texts)), np.diff(first))
+        for n in prefixes:
+            longer = np.flatnonzero(ends - starts > n)
+            with np.errstate(over="ignore"):
+                extra.append((owner[longer], mix(between(starts[longer], starts[longer] + n) + (_U(n) << _U(62)))))
     return found, first, extra
 
 
