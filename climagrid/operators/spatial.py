@@ -75,19 +75,17 @@ def _oriented_edges(edges: DataFrame) -> DataFrame:
 
 def _in_columns(oriented: DataFrame, tile: float) -> DataFrame:
     """Each edge cut at the borders of the tile columns, from (xl, ya) to (xr, yb), with the tile rows of both ends."""
-    columns = oriented.selectExpr("*", f"explode(sequence(floor(xmin / {tile}D), floor(xmax / {tile}D))) AS tx")
-    cut = columns.selectExpr("*", f"greatest(xmin, tx * {tile}D) AS xl", f"least(xmax, (tx + 1) * {tile}D) AS xr")
-
     def height(x: str) -> str:
         """Exact where the edge itself ends."""
         return f"CASE WHEN {x} >= xmax AND xmax > xmin THEN yr WHEN {x} <= xmin THEN yl ELSE yl + slope * ({x} - xmin) END"
 
-    ends = cut.selectExpr(
-        "region", "edge", "weight", "slope", "tx", "xl", "xr", f"xmin / {tile}D <= tx AND tx < xmax / {tile}D AS enters",
-        f"xmin = xmax AND xmin / {tile}D = tx AS on_border",
+    columns = oriented.selectExpr("*", f"explode(sequence(floor(xmin / {tile}D), floor(xmax / {tile}D))) AS tx")
+    return columns.selectExpr(
+        "region", "edge", "weight", "slope", "tx", f"greatest(xmin, tx * {tile}D) AS xl", f"least(xmax, (tx + 1) * {tile}D) AS xr",
+        f"xmin / {tile}D <= tx AND tx < xmax / {tile}D AS enters", f"xmin = xmax AND xmin / {tile}D = tx AS on_border",
         f"{height('xl')} AS ya", f"CASE WHEN xmin = xmax THEN yr ELSE {height('xr')} END AS yb",
+        f"floor(ya / {tile}D) AS row_a", f"floor(yb / {tile}D) AS row_b",
     )
-    return ends.selectExpr("*", f"floor(ya / {tile}D) AS row_a", f"floor(yb / {tile}D) AS row_b")
 
 
 def _covered(pieces: DataFrame) -> DataFrame:
@@ -97,18 +95,17 @@ def _covered(pieces: DataFrame) -> DataFrame:
     below them. It is the same for all rows between two edges, however many: such a stretch is listed by its largest aligned pieces of
     2**level rows, at most two per level.
     """
-    entered = pieces.where("enters").groupBy("region", "tx", "row_a").agg(F.sum("weight").alias("weight"))
+    # The running sum takes all edges of a row together; between two of them the stretch is empty.
     down = W.partitionBy("region", "tx").orderBy(F.desc("row_a"))
-    stretches = entered.select(
+    stretches = pieces.where("enters").select(
         "region", "tx", F.round(F.sum("weight").over(down)).alias("cover"), F.lead("row_a").over(down).alias("low"),
         (F.col("row_a") - 1).alias("high"),
-    ).where("cover <> 0 AND low IS NOT NULL")
-    leveled = stretches.selectExpr("*", f"explode(sequence(0, {MAX_LEVEL})) AS level").selectExpr(
-        "*", "ceil(low / pow(2D, level)) AS first", "floor((high + 1) / pow(2D, level)) - 1 AS last"
-    )
+    ).where("cover <> 0 AND low <= high")
     both = "filter(array(CASE WHEN pmod(first, 2) = 1 THEN first END, CASE WHEN pmod(last, 2) = 0 THEN last END), n -> n IS NOT NULL)"
-    nodes = f"CASE WHEN level < {MAX_LEVEL} THEN array_distinct({both}) ELSE sequence(first, last) END"
-    return leveled.where("first <= last").selectExpr("region", "tx", "cover", "level", f"explode({nodes}) AS node")
+    nodes = f"CASE WHEN first > last THEN array() WHEN level < {MAX_LEVEL} THEN array_distinct({both}) ELSE sequence(first, last) END"
+    return stretches.selectExpr("*", f"explode(sequence(0, {MAX_LEVEL})) AS level").selectExpr(
+        "region", "tx", "cover", "level", "ceil(low / pow(2D, level)) AS first", "floor((high + 1) / pow(2D, level)) - 1 AS last", f"{nodes} AS nodes"
+    ).selectExpr("region", "tx", "cover", "level", "explode(nodes) AS node")
 
 
 def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0) -> DataFrame:
@@ -127,8 +124,7 @@ def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0)
     pieces = _in_columns(_oriented_edges(edges), tile)
     listed = pieces.selectExpr("*", "explode(sequence(least(row_a, row_b), greatest(row_a, row_b))) AS ty")
     crowded = (
-        listed.groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > EDGES_PER_KEY)
-        .select("tx", "ty", F.ceil(F.col("n") / EDGES_PER_KEY).cast("int").alias("salts"))
+        listed.groupBy("tx", "ty").agg(F.expr(f"int(ceil(count(*) / {EDGES_PER_KEY}))").alias("salts")).where("salts > 1")
     )
     tiled = cells.selectExpr("*", f"explode(sequence(floor(x0 / {tile}D), floor(x1 / {tile}D))) AS tx").selectExpr(
         "*", f"explode(sequence(floor(y0 / {tile}D), floor(y1 / {tile}D))) AS ty"
@@ -138,22 +134,23 @@ def join_spatial_overlap(cells: DataFrame, edges: DataFrame, tile: float = 1.0)
         f"greatest(y0, ty * {tile}D) AS py0", f"least(y1, (ty + 1) * {tile}D) AS py1", f"(ty + 1) * {tile}D AS top",
     )
     dealt = parts.join(crowded, ["tx", "ty"], "left").selectExpr("*", "explode(sequence(0, coalesce(salts, 1) - 1)) AS salt")
-    keyed = listed.join(crowded, ["tx", "ty"], "left").selectExpr("*", "pmod(edge, coalesce(salts, 1)) AS salt").drop("salts", "edge")
+    keyed = listed.join(crowded, ["tx", "ty"], "left").selectExpr(
+        "tx", "ty", "pmod(edge, coalesce(salts, 1)) AS salt", "region", "weight", "slope", "xl", "xr", "on_border", "ya", "yb", "row_a", "row_b"
+    )
     # An edge that crosses the top border matters to everything right of it, any other one to what it runs over.
     met = dealt.join(keyed, ["tx", "ty", "salt"]).where("xl <= px1 AND (px0 <= xr OR (row_a > ty) <> (row_b > ty))")
-    # The part of the edge below the top border, over the width of the cell's part; and where it crosses the border.
-    crossing = "CASE WHEN slope IS NULL THEN xl ELSE greatest(xl, least(xr, xl + (top - ya) / slope)) END"
-    crossed = met.selectExpr("*", "int(row_b > ty) - int(row_a > ty) AS rise").selectExpr("*", f"CASE WHEN rise <> 0 THEN {crossing} END AS c")
-    below = crossed.selectExpr(
-        "*", "greatest(px0, CASE WHEN rise < 0 THEN c ELSE xl END) AS l", "least(px1, CASE WHEN rise > 0 THEN c ELSE xr END) AS r",
-        "greatest(px0, xl) AS tl", "least(px1, xr) AS tr",
-    )
 
     def height(x: str) -> str:
         return f"CASE WHEN {x} <= xl THEN ya WHEN {x} >= xr THEN yb ELSE ya + slope * ({x} - xl) END"
 
-    heights = below.selectExpr(
-        "*", "greatest(r - l, 0D) AS w", f"{height('l')} AS a", f"{height('r')} AS b",
+    # From l to r is the part of the edge below the top border over the width of the cell's part, from tl to tr the whole edge; c is
+    # where the edge crosses the border.
+    crossing = "CASE WHEN slope IS NULL THEN xl ELSE greatest(xl, least(xr, xl + (top - ya) / slope)) END"
+    heights = met.selectExpr(
+        "*", "int(row_b > ty) - int(row_a > ty) AS rise", f"CASE WHEN rise <> 0 THEN {crossing} END AS c",
+        "greatest(px0, CASE WHEN rise < 0 THEN c ELSE xl END) AS l", "least(px1, CASE WHEN rise > 0 THEN c ELSE xr END) AS r",
+        "greatest(px0, xl) AS tl", "least(px1, xr) AS tr",
+        "greatest(r - l, 0D) AS w", f"{height('l')} AS a", f"{height('r')} AS b",
         f"{height('tl')} AS ta", f"CASE WHEN xl = xr THEN yb ELSE {height('tr')} END AS tb",
     )
     step = "CASE WHEN rise = 0 OR on_border THEN 0D ELSE weight * rise * greatest(px1 - greatest(c, px0), 0D) * (py1 - py0) END"
