@@ -15,6 +15,8 @@ MONTHLY_FIRST = date(1940, 1, 1)
 DAILY_LAG_DAYS = 15
 DAILY_FIRST = date(2021, 1, 1)
 YEARS_PER_BATCH = 10
+# Requests that one task sorts; about 75 MB in memory.
+SORT_ROWS = 500_000
 
 # Bits 1 to 12 set: all months of a year.
 ALL_MONTHS = sum(1 << month for month in range(1, 13))
@@ -99,13 +101,15 @@ def plan_batches(
 
 
 def plan_month_requests(months: DataFrame, specs: DataFrame, variable: str = "variable") -> DataFrame:
-    """One request per variable and month, with the variable's request options."""
-    return (
-        months.join(specs, variable)
-        .select(
-            *specs.columns,
-            F.col("year").cast("string").alias("year"),
-            F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
-        )
-        .orderBy(variable, "year", "month")
+    """One request per variable and month, with the variable's request options, in this order over the partitions.
+
+    Requests compress so well that adaptive execution would leave millions of them to one sort, which holds them
+    unpacked. They are counted first and dealt to as many tasks as their number asks for.
+    """
+    requests = months.join(specs, variable).select(
+        *specs.columns,
+        F.col("year").cast("string").alias("year"),
+        F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
     )
+    order = [variable, "year", "month"]
+    return requests.repartitionByRange(requests.count() // SORT_ROWS + 1, *order).sortWithinPartitions(*order)

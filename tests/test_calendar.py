@@ -106,3 +106,18 @@ def test_plan_month_requests(spark):
     assert [tuple(r) for r in requests] == [
         ("t", ["max", "min"], "2024", "01"), ("t", ["max", "min"], "2024", "02"), ("w", None, "2023", "12"),
     ]
+
+
+def test_month_requests_are_sorted_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(I, "SORT_ROWS", 500)
+    need = spark.range(1200).select(
+        (F.col("id") % 100).alias("variable"), (F.lit(2020) - F.floor(F.col("id") / 1200)).cast("int").alias("year"),
+        (F.floor(F.col("id") / 100) + 1).cast("int").alias("month"),
+    )
+    # An id twice gives its requests twice, one without months gives none, as do NULL ones.
+    specs = spark.createDataFrame([(v, f"s{v}") for v in [*range(101), 7, None]], "variable long, target string")
+    requests = I.plan_month_requests(need.unionByName(need.limit(1).withColumn("variable", F.lit(None).cast("long"))), specs)
+    parts = [r["count"] for r in requests.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(parts) == 3 and sum(parts) == 1212 and max(parts) < 800
+    rows = [(r.variable, r.target, r.year, r.month) for r in requests.collect()]
+    assert rows == sorted((v, f"s{v}", "2020", f"{m:02d}") for v in [*range(100), 7] for m in range(1, 13))
