@@ -1,13 +1,14 @@
 """Exact dedup, n-gram join, decontamination and mixing against brute force."""
 
 import hashlib
+import random
 import re
 
 import pytest
 from conftest import rows
 from odd_tables import no_docs, odd_docs, swapped_twins  # noqa: F401
 
-from climagrid.llm import decontamination, exact_dedup, mixing, ngram_join
+from climagrid.llm import common, decontamination, exact_dedup, mixing, ngram_join
 
 
 def normal(text):
@@ -160,3 +161,22 @@ def test_mixing_targets_and_odd_rows(spark, odd_docs, no_docs):
     sizes = spark.createDataFrame([("a", 100), ("b", 1000), (None, 10)], "source string, size long")
     targets = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
     assert targets == {"a": 200.0, "b": pytest.approx(1110 * 1.5 - 220), None: 20.0}
+
+
+def test_shared_neighbours_leave_one_edge_per_node(spark):
+    """As in a group of near copies: each of 300 nodes is linked with the same 20, both ways round; some nodes stand alone."""
+    edges = [(n, p) if n % 2 else (p, n) for n in range(20, 320) for p in range(20)] + [(900, 901), (950, 950)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    assert common.thinned(frame).count() <= 300 + 20 + 2
+    found = {r.node: r.root for r in common.components(frame).collect()}
+    assert found == {n: 0 for n in range(320)} | {900: 900, 901: 900, 950: 950}
+
+
+def test_components_of_random_edges(spark):
+    picked = random.Random(3)
+    edges = [(picked.randrange(400), picked.randrange(400)) for _ in range(260)]
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()} == root
