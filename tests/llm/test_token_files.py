@@ -5,7 +5,9 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pytest
+import regex
 from odd_tables import no_docs, odd_docs  # noqa: F401
 from tokenizers import Tokenizer
 
@@ -109,3 +111,29 @@ def test_files_have_indexes_and_readers_use_them(spark, data_dir, folder):
             assert last is None or low.getMinimum() > last  # files and their statistics ascend
             last = low.getMaximum()
     assert (1, "ROW_INDEX") in kinds and (1, "BLOOM_FILTER_UTF8") in kinds
+
+
+def test_latin_texts_are_split_as_published():
+    """The written-out classes cut as the published pattern does, and words joined for the model get the library's ids."""
+    published, picked = regex.compile(public_tokenizers.PATTERN), random.Random(4)
+    letters = "ab'st're ²½ªµ×÷ÿɏ09_-.\n\t \x1c\x85\xa0\0  'll"
+    texts = ["".join(picked.choice(letters) for _ in range(picked.randint(0, 30))) for _ in range(3000)]
+    texts += [chr(c) + "a " + chr(c) for c in range(ord(token_files._LAST))]
+    assert [token_files._WORDS.findall(t) for t in texts] == [published.findall(t) for t in texts]
+    encoder = token_files.Encoder(token_files.TOKENIZER)
+    assert encoder.encode(texts) == encoder._whole(texts)
+
+
+def test_new_pieces_are_split_in_one_go(monkeypatch):
+    calls = []
+
+    class Counted:
+        def findall(self, text, split=token_files._WORDS.findall):
+            calls.append(text)
+            return split(text)
+
+    monkeypatch.setattr(token_files, "_WORDS", Counted())
+    texts = [" ".join(f"wörd{i}x, isn't{j}" for i in range(50)) for j in range(20)]
+    encoder = token_files.Encoder(token_files.TOKENIZER)
+    assert encoder.encode(texts) == encoder._whole(texts)
+    assert len(calls) <= 2
