@@ -1,11 +1,13 @@
 """Token files against the library on whole texts."""
 
 import random
+import tracemalloc
 import zlib
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from odd_tables import no_docs, odd_docs  # noqa: F401
@@ -137,3 +139,58 @@ def test_new_pieces_are_split_in_one_go(monkeypatch):
     encoder = token_files.Encoder(token_files.TOKENIZER)
     assert encoder.encode(texts) == encoder._whole(texts)
     assert len(calls) <= 2
+
+
+def test_repeated_pieces_do_not_become_strings():
+    """Only pieces that are new cost a Python string each; the others stay in Arrow's columns."""
+    picked = random.Random(5)
+    words = [f"word{i}" for i in range(500)]
+    texts = [" ".join(picked.choices(words, k=1000)) for _ in range(300)]
+    encoder = token_files.Encoder(token_files.TOKENIZER)
+    encoder.encode(texts)
+    tracemalloc.start()
+    found = encoder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == encoder._whole(texts)
+    assert peak - sum(map(len, found)) < 45 * 1000 * len(texts)  # a string alone takes 50 bytes and more
+
+
+def test_groups_of_batches():
+    """Items and their order stay; one above the bound stays alone."""
+    items = ["ab", "", "cde", "f" * 20, "g", "hijk", "l"]
+    assert list(token_files._groups(iter(items), len, 5)) == [["ab", "", "cde"], ["f" * 20], ["g", "hijk"], ["l"]]
+    assert list(token_files._groups([], len, 5)) == []
+
+
+def test_columns_of_texts(library):
+    """Slices of columns are read as they are, and rows of all kinds keep their order."""
+    texts = ["one two", "", " a  b ", "x" * 1000, "<|endoftext|> a", "漢字 漢 字", "é\n \nè"] * 5
+    column, encoder = pa.array(texts), token_files.Encoder(token_files.TOKENIZER)
+    expected = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.lists(column).to_pylist() == expected
+    assert [encoder.lists(column.slice(a, 3)).to_pylist() for a in range(35)] == [expected[a : a + 3] for a in range(35)]
+
+
+def test_memory_of_pieces_is_bounded(monkeypatch, library):
+    """By bytes too, for texts without spaces; new pieces become strings, and texts go to the library, a few at a time."""
+    for name, most in (("REMEMBERED_BYTES", 5000), ("STRINGS", 7), ("LIBRARY_CHARS", 50)):
+        monkeypatch.setattr(token_files, name, most)
+    encoder = token_files.Encoder(token_files.TOKENIZER)
+    sizes, whole = [], encoder.library.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            sizes.append((len(texts), sum(map(len, texts))))
+            return whole(texts, **options)
+
+        model = encoder.library.model
+
+    encoder.library = Counted()
+    for i in range(30):
+        texts = ["漢字" * 60 + str(i), *(f"字{i} {j} word{i}-{j}" for j in range(20)), "a b"]
+        found = [np.frombuffer(x, "<i4").tolist() for x in encoder.encode(texts)]
+        assert found == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+        for table in (encoder.pieces, encoder.words):
+            assert table.texts.nbytes + table.lists.nbytes <= 5000
+    assert all(n == 1 or size <= 50 for n, size in sizes)
