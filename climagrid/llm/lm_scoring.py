@@ -11,8 +11,9 @@ with all counts from the filter, c(h w) not above c(h) or c(w), N training token
 * Counting: tasks count n-grams of their batches and deal them, packed by ranges of the hash, to shards. A shard adds up its counts
   and makes the part of the filter that belongs to its range. The number of shards follows the corpus.
 * Scoring: the filter is broadcast if its measured size is at most ``filter_bytes``. A larger one stays in its shards: documents
-  are dealt to chunks, the n-grams of a chunk are sent to their shards, and the levels come back. Both ways read the same bits.
-* The exact counts of the baseline score: the ``HEAD`` most frequent words are broadcast, the others are joined as rows.
+  are put into pieces, the distinct n-grams of a piece are sent to their shards, a shard looks each of its n-grams up once for all
+  pieces, and the levels come back in the order of the n-grams, without them. Both ways read the same bits.
+* The exact counts of the baseline score: the most frequent words, ``HEAD`` at most, are broadcast, the others are joined as rows.
 
 Words are compared by 64-bit hashes (see ``tokens``). Defined results: NULL text is empty (one end token); a NULL id counts as
 empty text when rows are dealt to training and held-out; repeated rows are scored each; with no training rows all counts are 0
@@ -21,16 +22,16 @@ empty text when rows are dealt to training and held-out; repeated rows are score
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from climagrid.llm import tokens
-from climagrid.llm.common import bound_batches, id_hash_mod, stored
+from climagrid.llm.common import bound_batches, id_hash_mod, scratch_scope, shuffles_dropped, stored
 
 BASE = 1.25
 PRIOR = 32.0
@@ -41,9 +42,9 @@ FILTER_BYTES = 192 << 20
 # Text per shard; about 1.4 million pairs.
 SHARD_BYTES = 8 << 20
 FLUSH_BYTES = 8 << 20
-CHUNK_ROWS = 2_000
-# Text whose distinct pairs are looked up together.
+# Text whose distinct pairs are looked up together: in a broadcast filter, and in its shards.
 PIECE_BYTES = 1 << 20
+FAR_PIECE_BYTES = 8 << 20
 MAX_LEVEL = 255
 _END = np.uint64(0xA0761D6478BD642F)
 _U = np.uint64
@@ -62,6 +63,26 @@ _high = np.maximum(_low, np.ceil(BASE ** np.arange(1, MAX_LEVEL + 1) - 1e-9) - 1
 DECODED = np.concatenate(([0.0], (_low + _high) / 2))
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Whether a key of an ordered array is the first of its value."""
+    return np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(ordered)]
+
+
+def distinct_keys(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order. Sorting takes a small part of the time of ``np.unique``, which hashes where only values are asked for."""
+    ordered = np.sort(keys)
+    return ordered[_firsts(ordered)]
+
+
+def planes(keys: np.ndarray) -> bytes:
+    """Keys as all their first bytes, then all their second bytes, and so on: the high bytes of ordered keys compress well."""
+    return keys.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data.as_buffer(), np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     """Range of the hash that a key lies in; it does not decrease with the key."""
     return ((keys >> _U(32)) * _U(shards)) >> _U(32)
@@ -154,12 +175,12 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return stream, pairs, begin
 
 
-def _packed(kind: int, keys: np.ndarray, counts: np.ndarray, shards: int) -> Iterator[dict]:
+def _packed(kind: int, keys: np.ndarray, counts: np.ndarray | None, shards: int) -> Iterator[dict]:
     """Rows of one range of the hash each; ``keys`` are sorted."""
     cuts = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1, dtype=np.uint64))
     for shard in np.flatnonzero(np.diff(cuts)):
         part = slice(cuts[shard], cuts[shard + 1])
-        yield {"kind": kind, "shard": int(shard), "keys": keys[part].tobytes(), "counts": counts[part].astype(np.int64).tobytes()}
+        yield {"kind": kind, "shard": int(shard), "keys": planes(keys[part])} | ({} if counts is None else {"counts": counts[part].astype(np.uint32).tobytes()})
 
 
 COUNTED = "kind int, shard int, keys binary, counts binary"
@@ -192,11 +213,11 @@ def count_ngrams(docs: DataFrame, shards: int, bits_per_entry: int = BITS_PER_EN
 
     def add(table: pa.Table) -> pa.Table:
         kind, shard = table["kind"][0].as_py(), table["shard"][0].as_py()
-        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["keys"]])
-        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["counts"]])
+        keys = np.concatenate([from_planes(x) for x in table["keys"]])
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]])
         order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        firsts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        keys, counts = keys[order], counts[order].astype(np.int64)
+        firsts = np.flatnonzero(_firsts(keys))
         keys, counts = keys[firsts], np.add.reduceat(counts, firsts)
         row = {"kind": kind, "shard": shard, "bits": build_filter(keys, counts, bits_per_entry).tobytes(), "total": int(counts.sum())}
         row |= {"keys": keys.tobytes(), "counts": counts.tobytes()} if kind == 0 else {"keys": b"", "counts": b""}
@@ -206,28 +227,47 @@ def count_ngrams(docs: DataFrame, shards: int, bits_per_entry: int = BITS_PER_EN
     return packed.groupBy("kind", "shard").applyInArrow(add, SHARDS)
 
 
-def _log_probabilities(texts: list[bytes], levels: Callable[[int, np.ndarray, np.ndarray | None], np.ndarray], total: int, distinct: int) -> tuple:
-    """(tokens, distinct ones, place of each token in them, first token and score of each text).
+def _near(texts: list[bytes], filters: list[Filter]) -> tuple:
+    """(n-grams, distinct tokens, place of each token in them, their levels, level of each pair) by filters at hand.
 
-    ``levels(kind, keys, upto)`` looks counts up. A pair's count is cut to those of its two words, so a distinct pair is looked up
-    once, to the level of the rarer word, and not at all if a word is unknown.
+    A pair's count is cut to those of its two words, so a distinct pair is looked up once, to the level of the rarer word, and not
+    at all if a word is unknown.
     """
-    stream, pairs, begin = ngrams(texts)
+    grams = stream, pairs, begin = ngrams(texts)
     words, place = np.unique(stream, return_inverse=True)
-    word_levels = levels(0, words, None)
-    here = word_levels[place]
-    before = np.concatenate((np.zeros(1, np.uint8), here[:-1]))
-    before[begin] = word_levels[np.searchsorted(words, _END)]
-    rarer = np.minimum(here, before)
+    word_levels = filters[0].levels(words)
+    rarer = np.minimum(*_around(words, place, begin, word_levels))
     asked = np.flatnonzero(rarer)
     keys, firsts, back = np.unique(pairs[asked], return_index=True, return_inverse=True)
     found = np.zeros(len(pairs), np.uint8)
-    found[asked] = levels(1, keys, rarer[asked][firsts])[back]
-    word, past = DECODED[here], DECODED[before]
-    both = DECODED[np.minimum(found, rarer)]
-    single = (word + 0.5) / (total + 0.5 * (distinct + 1))
-    logs = np.log10((both + PRIOR * single) / (past + PRIOR))
-    return stream, words, place, begin, np.add.reduceat(logs, begin)
+    found[asked] = filters[1].levels(keys, rarer[asked][firsts])[back]
+    return grams, words, place, word_levels, found
+
+
+def _around(words: np.ndarray, place: np.ndarray, begin: np.ndarray, word_levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Levels of each token and of its history."""
+    here = word_levels[place]
+    before = np.concatenate((np.zeros(1, np.uint8), here[:-1]))
+    before[begin] = word_levels[np.searchsorted(words, _END)]
+    return here, before
+
+
+def _log_probabilities(looked_up: tuple, total: int, distinct: int) -> np.ndarray:
+    """Score of each text."""
+    (_, _, begin), words, place, word_levels, found = looked_up
+    here, before = _around(words, place, begin, word_levels)
+    single = (DECODED + 0.5) / (total + 0.5 * (distinct + 1))
+    logs = DECODED[np.minimum(found, np.minimum(here, before))]
+    logs += (PRIOR * single)[here]
+    logs /= (DECODED + PRIOR)[before]
+    return np.add.reduceat(np.log10(logs, out=logs), begin)
+
+
+def frequent(vocabulary: DataFrame, most: int) -> DataFrame:
+    """The words above the smallest count that no more than ``most`` words exceed; no task sees more than its own rows."""
+    groups = vocabulary.groupBy("c").agg(F.count(F.lit(1)).alias("words")).toPandas().sort_values("c", ascending=False)
+    fit = int((groups["words"].cumsum() <= most).sum())
+    return vocabulary.where(F.col("c") > (0 if fit == len(groups) else int(groups["c"].iloc[fit])))
 
 
 def score(
@@ -235,7 +275,27 @@ def score(
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score; ``held_out`` is a boolean column."""
     spark = docs.sparkSession
-    bound_batches(docs.sparkSession)
+    bound_batches(spark)
+    # What only scoring needs goes before the tail is joined.
+    with shuffles_dropped(spark), scratch_scope(spark):
+        scored, vocabulary, total, norm = _scored(docs, held_out, filter_bytes, head, shard_bytes, bits_per_entry)
+    tail = scored.select("_row", F.explode(F.arrays_zip("tail", "tail_n")).alias("t")).select("_row", F.col("t.tail").alias("word"), F.col("t.tail_n").alias("n"))
+    unknown = F.coalesce("c", F.lit(0))
+    found = tail.join(vocabulary, "word", "left").groupBy("_row").agg(
+        F.sum(F.when(unknown > 0, F.col("n")).otherwise(0)).alias("_known"),
+        F.sum(F.col("n") * (F.log10(unknown + 0.5) - F.lit(float(norm)))).alias("_base"),
+    )
+    return scored.drop("tail", "tail_n").join(found, "_row", "left").select(
+        "doc_id", "held_out", "n_tokens",
+        (F.col("head_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("head_base") + F.coalesce("_base", F.lit(0.0))).alias("base_score"), "score",
+    )
+
+
+def _scored(docs: DataFrame, held_out, filter_bytes: int, head: int, shard_bytes: int, bits_per_entry: int) -> tuple:
+    """(rows with their scores, counts of the words, training tokens, logarithm that counts are divided by); both frames are stored."""
+    spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     train = rows.where(~F.col("held_out"))
     size = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -249,9 +309,9 @@ def score(
                 for i in range(0, len(k), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(k[i : i + 100_000]), pa.array(c[i : i + 100_000])], ["word", "c"])
 
-    vocabulary = stored(model.where("kind = 0").select("keys", "counts").mapInArrow(unpack, "word long, c long"), "words")
+    vocabulary = stored(model.where("kind = 0").select("keys", "counts").mapInArrow(unpack, "word long, c long"), "words", outer=True)
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = vocabulary.orderBy(F.desc("c"), "word").limit(head).toPandas()
+    top = frequent(vocabulary, head).toPandas()
     top = top.sort_values("word", key=lambda x: x.to_numpy(np.int64).view(np.uint64))
     head_words, head_counts = top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     measured = model.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
@@ -259,12 +319,12 @@ def score(
     shared = spark.sparkContext.broadcast((head_words, head_counts))
     norm = np.log10(total + 0.5 * (distinct + 1))
 
-    def results(ids: list, texts_and_levels: Iterator[tuple[list[bytes], Callable]]) -> pa.RecordBatch:
+    def results(ids: list, looked_up: Iterable[tuple]) -> pa.RecordBatch:
         """One row per text: head part of the baseline, score, and the words outside the head with their counts."""
         words_head, counts_head = shared.value
         columns: dict[str, list] = {k: [] for k in ("n_tokens", "head_known", "head_base", "score", "tail", "tail_n")}
-        for texts, levels in texts_and_levels:
-            stream, words, place, begin, scores = _log_probabilities(texts, levels, total, distinct)
+        for found in looked_up:
+            (stream, _, begin), words, place = found[:3]
             at = np.searchsorted(words_head, words)
             in_head = np.zeros(len(words), bool)
             inside = at < len(words_head)
@@ -276,7 +336,7 @@ def score(
             columns["n_tokens"] += (ends - begin).tolist()
             columns["head_known"] += np.add.reduceat(token_in_head.astype(np.int64), begin).tolist()
             columns["head_base"] += np.add.reduceat(logs[place], begin).tolist()
-            columns["score"] += scores.tolist()
+            columns["score"] += _log_probabilities(found, total, distinct).tolist()
             for b, e in zip(begin, ends):
                 outside = stream[b:e][~token_in_head[b:e]]
                 keys, counts = np.unique(outside, return_counts=True)
@@ -302,76 +362,105 @@ def score(
             both = filters.value
             for batch in batches:
                 if batch.num_rows:
-                    work = ((t, lambda kind, keys, upto: both[kind].levels(keys, upto)) for t in tokens.chunks(batch.column(3).to_pylist(), PIECE_BYTES))
-                    yield results(list(batch.columns[:3]), work)
+                    yield results(list(batch.columns[:3]), (_near(t, both) for t in tokens.chunks(batch.column(3).to_pylist(), PIECE_BYTES)))
 
         scored = source.mapInArrow(near, fields)
     else:
         scored = _score_in_shards(source, model, shards, results, fields)
-    scored = stored(scored, "scored")
-    tail = scored.select("_row", F.explode(F.arrays_zip("tail", "tail_n")).alias("t")).select("_row", F.col("t.tail").alias("word"), F.col("t.tail_n").alias("n"))
-    unknown = F.coalesce("c", F.lit(0))
-    found = tail.join(vocabulary, "word", "left").groupBy("_row").agg(
-        F.sum(F.when(unknown > 0, F.col("n")).otherwise(0)).alias("_known"),
-        F.sum(F.col("n") * (F.log10(unknown + 0.5) - F.lit(float(norm)))).alias("_base"),
-    )
-    return scored.drop("tail", "tail_n").join(found, "_row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("head_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("head_base") + F.coalesce("_base", F.lit(0.0))).alias("base_score"), "score",
-    )
+    return stored(scored, "scored", outer=True), vocabulary, total, norm
+
+
+_PIECE = pa.schema([
+    ("piece", pa.int64()), ("_row", pa.list_(pa.int64())), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
+    ("sizes", pa.list_(pa.int32())), ("texts", pa.binary()),
+])
+PIECE = "piece long, _row array<long>, doc_id array<long>, held_out array<boolean>, sizes array<int>, texts binary"
+_ASKED = pa.schema([("piece", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary())])
+_ANSWERED = pa.schema([("piece", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("levels", pa.binary())])
+
+
+def pieces(batches: Iterator[pa.RecordBatch], size: int = FAR_PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows (_row, doc_id, held_out, text) as one row per ``size`` bytes of text, which are one compressed frame."""
+    ids, texts, used = [[], [], []], [], 0
+
+    def flush() -> pa.RecordBatch:
+        frame = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
+        row = {"piece": ids[0][0], "sizes": [len(t) for t in texts], "texts": frame} | dict(zip(("_row", "doc_id", "held_out"), ids))
+        return pa.RecordBatch.from_pylist([row], _PIECE)
+
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, value in zip(ids, row):
+                part.append(value)
+            texts.append(tokens.encode(row[3]))
+            # A text without words is a token and a row, too.
+            used += len(texts[-1]) + 8
+            if used >= size:
+                yield flush()
+                ids, texts, used = [[], [], []], [], 0
+    if texts:
+        yield flush()
+
+
+def piece_ngrams(sizes: list[int], frame: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``ngrams`` of the texts of a piece."""
+    data = memoryview(pa.decompress(frame, sum(sizes), codec="zstd"))
+    found, part, used, at, before = [], [], 0, 0, 0
+    for i, n in enumerate(sizes):
+        part.append(bytes(data[at : at + n]))
+        used, at = used + n, at + n
+        if i + 1 == len(sizes) or used + sizes[i + 1] > tokens.CHUNK_BYTES:
+            stream, pairs, begin = ngrams(part)
+            found.append((stream, pairs, begin + before))
+            part, used, before = [], 0, before + len(stream)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def ask(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of pieces (piece, sizes, texts), in a row for each kind and shard."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            stream, pairs, _ = piece_ngrams(row["sizes"], row["texts"])
+            for kind, keys in enumerate((stream, pairs)):
+                rows = [{"piece": row["piece"]} | x for x in _packed(kind, distinct_keys(keys), None, shards)]
+                yield pa.RecordBatch.from_pylist(rows, _ASKED)
+
+
+def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
+    """The levels of what pieces ask of a shard, in order; each n-gram is looked up once."""
+    keys = [from_planes(x) for x in asked["keys"]]
+    levels = [np.zeros(len(k), np.uint8) for k in keys]
+    if keys and part.num_rows:
+        once, place = np.unique(np.concatenate(keys), return_inverse=True)
+        found = Filter([np.frombuffer(part["bits"][0].as_buffer(), np.uint8)]).levels(once)[place]
+        levels = np.split(found, np.cumsum([len(k) for k in keys])[:-1])
+    return asked.select(["piece", "kind", "shard"]).append_column("levels", pa.array([x.tobytes() for x in levels], pa.binary())).cast(_ANSWERED)
 
 
 def _score_in_shards(source: DataFrame, model: DataFrame, shards: int, results, fields: str) -> DataFrame:
-    """Scores with a filter that is too large to broadcast: n-grams of document chunks visit the shards."""
-    chunk = F.pmod(F.xxhash64("_row"), F.lit(source.count() // CHUNK_ROWS + 1)).alias("chunk")
-    dealt = stored(source.select(chunk, "*"), "chunks")
-
-    def ask(table: pa.Table) -> pa.Table:
-        found: list[list[np.ndarray]] = [[], []]
-        for texts in tokens.chunks(table["text"].to_pylist()):
-            stream, pairs, _ = ngrams(texts)
-            found[0].append(stream)
-            found[1].append(pairs)
-        number, rows = table["chunk"][0].as_py(), []
-        for kind in (0, 1):
-            keys = np.unique(np.concatenate(found[kind]))
-            for row in _packed(kind, keys, np.zeros(len(keys)), shards):
-                rows.append({"chunk": number, "kind": kind, "shard": row["shard"], "keys": row["keys"]})
-        return pa.Table.from_pylist(rows, pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary())]))
-
-    def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
-        out = []
-        bits = np.frombuffer(part["bits"][0].as_buffer(), np.uint8) if part.num_rows else None
-        for row in asked.to_pylist():
-            keys = np.frombuffer(row["keys"], np.uint64)
-            levels = np.zeros(len(keys), np.uint8) if bits is None else Filter([bits]).levels(keys)
-            out.append({"chunk": row["chunk"], "kind": row["kind"], "shard": row["shard"], "keys": row["keys"], "levels": levels.tobytes()})
-        return pa.Table.from_pylist(out, pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("levels", pa.binary())]))
+    """Scores with a filter that is too large to broadcast: n-grams of pieces visit the shards."""
+    dealt = stored(source.mapInArrow(pieces, PIECE), "pieces")
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
+        grams = piece_ngrams(table["sizes"][0].as_py(), table["texts"][0].as_py())
         known = []
         for kind in (0, 1):
-            mine = sorted((r for r in answers.to_pylist() if r["kind"] == kind), key=lambda r: r["shard"])
-            known.append((
-                np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in mine]),
-                np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in mine]),
-            ))
-
-        def levels(kind: int, keys: np.ndarray, upto: np.ndarray | None) -> np.ndarray:
-            return known[kind][1][np.searchsorted(known[kind][0], keys)]
-
-        ids = [table[c].combine_chunks() for c in ("_row", "doc_id", "held_out")]
-        return pa.Table.from_batches([results(ids, ((t, levels) for t in tokens.chunks(table["text"].to_pylist())))])
-
-    asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk long, kind int, shard int, keys binary")
-    answers = (
+            mine = answers.filter(pc.equal(answers["kind"], kind)).sort_by("shard")
+            known.append(np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in mine["levels"]]))
+        found = known[1][np.unique(grams[1], return_inverse=True)[1]]
+        words, place = np.unique(grams[0], return_inverse=True)
+        ids = [table[c][0].values for c in ("_row", "doc_id", "held_out")]
+        return pa.Table.from_batches([results(ids, [(grams, words, place, known[0], found)])])
+
+    asked = dealt.select("piece", "sizes", "texts").mapInArrow(lambda batches: ask(batches, shards), "piece long, kind int, shard int, keys binary")
+    # Stored, so that what is asked has gone before the texts are moved.
+    answers = stored(
         asked.groupBy("kind", "shard")
         .cogroup(model.select("kind", "shard", "bits").groupBy("kind", "shard"))
-        .applyInArrow(answer, "chunk long, kind int, shard int, keys binary, levels binary")
+        .applyInArrow(answer, "piece long, kind int, shard int, levels binary"),
+        "answers",
     )
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, fields)
+    return dealt.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(finish, fields)
 
 
 def score_documents(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:

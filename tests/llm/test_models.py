@@ -5,12 +5,15 @@ import math
 import re
 import time
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from conftest import rows
 from odd_tables import no_docs, odd_docs, swapped_twins  # noqa: F401
 
 from climagrid.llm import chat, lm_scoring, secret_scan, token_counts, tokens, toxicity, warc
+from climagrid.llm.common import scratch_scope, stored
 from climagrid.sinks.manifest import Manifest
 
 
@@ -94,6 +97,80 @@ def test_filter_reads_quantised_counts_back():
     assert (made.levels(rng.integers(0, 1 << 63, 5000, dtype=np.uint64)) == 0).mean() > 0.95
 
 
+def test_a_shard_looks_up_each_ngram_once_for_all_pieces(monkeypatch):
+    rng = np.random.default_rng(3)
+    known = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
+    bits, looked_up, levels = lm_scoring.build_filter(known, rng.integers(1, 99, len(known))), [], lm_scoring.Filter.levels
+    other = np.sort(rng.integers(0, 1 << 63, 200, dtype=np.uint64))
+    pieces = [known[:2000], known[1000:], other, np.sort(np.concatenate((known[::3], other)))]
+    asked = pa.Table.from_pylist([{"piece": i, "kind": 1, "shard": 0, "keys": lm_scoring.planes(k)} for i, k in enumerate(pieces)])
+    model = pa.table({"kind": [1], "shard": [0], "bits": [bits.tobytes()]})
+    monkeypatch.setattr(lm_scoring.Filter, "levels", lambda self, keys, upto=None: looked_up.append(len(keys)) or levels(self, keys, upto))
+    found = lm_scoring.answer(asked, model)
+    assert looked_up == [len(known) + len(other)] and found.column_names == ["piece", "kind", "shard", "levels"]
+    for keys, part in zip(pieces, found["levels"].to_pylist()):
+        assert np.frombuffer(part, np.uint8).tolist() == levels(lm_scoring.Filter([bits]), keys).tolist()
+    assert lm_scoring.answer(asked, model[:0])["levels"].to_pylist() == [bytes(len(k)) for k in pieces]
+    assert lm_scoring.answer(asked[:0], model).num_rows == 0
+
+
+def test_pieces_keep_rows_and_ngrams():
+    texts = ["a b a", "", None, "x " * 200_000, "\u00e9 \U0001f600 b", *["word%d and more" % i for i in range(500)]]
+    rows = pa.table({"_row": range(len(texts)), "doc_id": [None, *range(len(texts) - 1)], "held_out": [i % 2 == 0 for i in range(len(texts))], "text": texts})
+    made = [r for b in lm_scoring.pieces(iter(rows.to_batches(100)), 4000) for r in b.to_pylist()]
+    assert len(made) > 3 and len({r["piece"] for r in made}) == len(made)
+    for name in ("_row", "doc_id", "held_out"):
+        assert [x for r in made for x in r[name]] == rows[name].to_pylist()
+    at = 0
+    for r in made:
+        mine = [tokens.encode(t) for t in texts[at : at + len(r["sizes"])]]
+        for got, one_go in zip(lm_scoring.piece_ngrams(r["sizes"], r["texts"]), lm_scoring.ngrams(mine)):
+            assert got.tolist() == one_go.tolist()
+        at += len(mine)
+    keys = lm_scoring.ngrams([tokens.encode(t) for t in texts])[1]
+    assert lm_scoring.distinct_keys(keys).tolist() == sorted(set(keys.tolist())) and not len(lm_scoring.distinct_keys(keys[:0]))
+    rows = [r for b in lm_scoring.ask(iter([pa.RecordBatch.from_pylist(made)]), 3) for r in b.to_pylist()]
+    for r in made:
+        for kind, grams in enumerate(lm_scoring.piece_ngrams(r["sizes"], r["texts"])[:2]):
+            mine = [x for x in rows if (x["piece"], x["kind"]) == (r["piece"], kind)]
+            parts = [lm_scoring.from_planes(pa.scalar(x["keys"], pa.binary())) for x in sorted(mine, key=lambda x: x["shard"])]
+            assert np.concatenate(parts).tolist() == sorted(set(grams.tolist()))
+
+
+def test_lm_scores_in_many_shards_and_what_is_left_of_them(spark, data_dir):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(docs.limit(20)).repartition(5)
+    held_out, shared = lm_scoring.id_hash_mod(5) == 1, Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.glob("climagrid-*/*"))
+    far = rows(lm_scoring.score(docs, held_out, filter_bytes=0, head=50, shard_bytes=4000))
+    assert sorted(p.name for p in set(shared.glob("climagrid-*/*")) - before) == ["scored", "words"]
+    near = rows(lm_scoring.score(docs, held_out, shard_bytes=4000))
+    assert len(far) == docs.count() and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    for a, b in zip(sorted(far, key=str), sorted(near, key=str)):
+        assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=1e-9)
+
+
+def test_frequent_words_take_no_part_of_a_tie(spark):
+    words = spark.createDataFrame([(1, 3), (2, 5), (3, 3), (4, 1), (5, 1), (6, 1)], "word long, c long")
+    for most, found in ((0, []), (1, [2]), (2, [2]), (3, [1, 2, 3]), (5, [1, 2, 3]), (6, [1, 2, 3, 4, 5, 6]), (99, [1, 2, 3, 4, 5, 6])):
+        assert sorted(r["word"] for r in lm_scoring.frequent(words, most).collect()) == found
+    assert lm_scoring.frequent(words.limit(0), 2).count() == 0
+
+
+def test_scopes_inside_each_other_remove_their_own_folders(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    with scratch_scope(spark):
+        with scratch_scope(spark):
+            kept = stored(spark.range(3), "kept-by-outer", outer=True)
+            stored(spark.range(3), "inner")
+        assert kept.count() == 3 and not list(shared.glob("*/inner"))
+        stored(spark.range(3), "later")
+    assert not list(shared.glob("*/kept-by-outer")) and not list(shared.glob("*/later"))
+    with scratch_scope(spark), scratch_scope(spark):
+        pass
+    assert stored(spark.range(3), "in-none", outer=True).count() == 3
+
+
 PATTERNS = [
     ("assign", re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 12),
     ("access", re.compile(r"(AKIA[A-Z0-9]+)"), 18),
