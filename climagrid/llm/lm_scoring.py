@@ -22,7 +22,7 @@ empty text when rows are dealt to training and held-out; repeated rows are score
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +43,9 @@ FILTER_BYTES = 192 << 20
 SHARD_BYTES = 8 << 20
 FLUSH_BYTES = 8 << 20
 # Text whose distinct pairs are looked up together: in a broadcast filter, and in its shards.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 4 << 20
 FAR_PIECE_BYTES = 8 << 20
+SLICE = 1 << 17
 MAX_LEVEL = 255
 _END = np.uint64(0xA0761D6478BD642F)
 _U = np.uint64
@@ -74,6 +75,17 @@ def distinct_keys(keys: np.ndarray) -> np.ndarray:
     return ordered[_firsts(ordered)]
 
 
+def for_each(keys: np.ndarray, values_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """A value for each key, where ``values_of`` gives those of the distinct keys in order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    firsts = np.flatnonzero(_firsts(ordered))
+    values = values_of(ordered[firsts])
+    out = np.empty(len(keys), values.dtype)
+    out[order] = np.repeat(values, np.diff(np.append(firsts, len(keys))))
+    return out
+
+
 def planes(keys: np.ndarray) -> bytes:
     """Keys as all their first bytes, then all their second bytes, and so on: the high bytes of ordered keys compress well."""
     return keys.view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -140,24 +152,36 @@ class Filter:
         start = int(self.starts[shard])
         self.bits[start : start + len(part)] = part
 
+    def _present(self, one: np.ndarray, two: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Numbers of the entries whose probes are all set; ``size`` and ``start`` are those of their shards."""
+        at, step, rest = one.astype(np.uint32), two.astype(np.uint32), np.arange(len(one))
+        there = np.ones(len(one), bool)
+        for probe in range(PROBES):
+            place = at * size >> _U(32)
+            byte = self.bits.take((start + (place >> _U(3))).view(np.int64))
+            there &= (byte >> (place.astype(np.uint8) & np.uint8(7))) & np.uint8(1) == 1
+            at = at + step
+            # Most entries of known keys pass all probes; arrays are copied only where many don't.
+            if probe + 1 == PROBES or np.count_nonzero(there) < 0.7 * len(there):
+                keep = np.flatnonzero(there)
+                rest, there = rest[keep], there[keep]
+                at, step, size, start = at[keep], step[keep], size[keep], start[keep]
+        return rest
+
     def levels(self, keys: np.ndarray, upto: np.ndarray | None = None) -> np.ndarray:
         """Levels of the keys: the last of the unbroken run of present ones, which is followed up to ``upto``."""
         out = np.zeros(len(keys), np.uint8)
         active, level = np.arange(len(keys)) if upto is None else np.flatnonzero(upto), 1
-        shard = shard_of(keys, len(self.sizes)).astype(np.int64)
+        keys, last = keys[active], None if upto is None else upto[active]
+        shard = shard_of(keys, len(self.sizes)).view(np.int64)
         size, start = self.sizes[shard], self.starts[shard]
         while len(active) and level <= MAX_LEVEL:
-            rest = np.arange(len(active))
-            one, two = _entry(keys[active], level)
-            bits_in, first = size[active], start[active]
-            for probe in range(PROBES):
-                at = _position(one[rest], two[rest], probe, bits_in[rest])
-                byte = self.bits[(first[rest] + (at >> _U(3))).astype(np.int64)]
-                rest = rest[(byte >> (at & _U(7)).astype(np.uint8)) & 1 == 1]
-            active = active[rest]
-            out[active] = level
-            if upto is not None:
-                active = active[upto[active] > level]
+            keep = self._present(*_entry(keys, level), size, start)
+            out[active[keep]] = level
+            if last is not None:
+                keep = keep[last[keep] > level]
+                last = last[keep]
+            active, keys, size, start = active[keep], keys[keep], size[keep], start[keep]
             level += 1
         return out
 
@@ -228,12 +252,12 @@ def count_ngrams(docs: DataFrame, shards: int, bits_per_entry: int = BITS_PER_EN
 
 
 def _near(texts: list[bytes], filters: list[Filter]) -> tuple:
-    """(n-grams, distinct tokens, place of each token in them, their levels, level of each pair) by filters at hand.
+    """(tokens, first of each text, distinct ones, place of each token in them, their levels, level of each pair) by filters at hand.
 
     A pair's count is cut to those of its two words, so a distinct pair is looked up once, to the level of the rarer word, and not
     at all if a word is unknown.
     """
-    grams = stream, pairs, begin = ngrams(texts)
+    stream, pairs, begin = ngrams(texts)
     words, place = np.unique(stream, return_inverse=True)
     word_levels = filters[0].levels(words)
     rarer = np.minimum(*_around(words, place, begin, word_levels))
@@ -241,7 +265,7 @@ def _near(texts: list[bytes], filters: list[Filter]) -> tuple:
     keys, firsts, back = np.unique(pairs[asked], return_index=True, return_inverse=True)
     found = np.zeros(len(pairs), np.uint8)
     found[asked] = filters[1].levels(keys, rarer[asked][firsts])[back]
-    return grams, words, place, word_levels, found
+    return stream, begin, words, place, word_levels, found
 
 
 def _around(words: np.ndarray, place: np.ndarray, begin: np.ndarray, word_levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +278,7 @@ def _around(words: np.ndarray, place: np.ndarray, begin: np.ndarray, word_levels
 
 def _log_probabilities(looked_up: tuple, total: int, distinct: int) -> np.ndarray:
     """Score of each text."""
-    (_, _, begin), words, place, word_levels, found = looked_up
+    _, begin, words, place, word_levels, found = looked_up
     here, before = _around(words, place, begin, word_levels)
     single = (DECODED + 0.5) / (total + 0.5 * (distinct + 1))
     logs = DECODED[np.minimum(found, np.minimum(here, before))]
@@ -324,7 +348,7 @@ def _scored(docs: DataFrame, held_out, filter_bytes: int, head: int, shard_bytes
         words_head, counts_head = shared.value
         columns: dict[str, list] = {k: [] for k in ("n_tokens", "head_known", "head_base", "score", "tail", "tail_n")}
         for found in looked_up:
-            (stream, _, begin), words, place = found[:3]
+            stream, begin, words, place = found[:4]
             at = np.searchsorted(words_head, words)
             in_head = np.zeros(len(words), bool)
             inside = at < len(words_head)
@@ -431,9 +455,11 @@ def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
     keys = [from_planes(x) for x in asked["keys"]]
     levels = [np.zeros(len(k), np.uint8) for k in keys]
     if keys and part.num_rows:
-        once, place = np.unique(np.concatenate(keys), return_inverse=True)
-        found = Filter([np.frombuffer(part["bits"][0].as_buffer(), np.uint8)]).levels(once)[place]
-        levels = np.split(found, np.cumsum([len(k) for k in keys])[:-1])
+        bits, ends = Filter([np.frombuffer(part["bits"][0].as_buffer(), np.uint8)]), np.cumsum([len(k) for k in keys])
+        keys = np.concatenate(keys)
+        # In slices, for their many arrays.
+        found = for_each(keys, lambda once: np.concatenate([bits.levels(once[i : i + SLICE]) for i in range(0, len(once), SLICE)]))
+        levels = np.split(found, ends[:-1])
     return asked.select(["piece", "kind", "shard"]).append_column("levels", pa.array([x.tobytes() for x in levels], pa.binary())).cast(_ANSWERED)
 
 
@@ -442,15 +468,16 @@ def _score_in_shards(source: DataFrame, model: DataFrame, shards: int, results,
     dealt = stored(source.mapInArrow(pieces, PIECE), "pieces")
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = piece_ngrams(table["sizes"][0].as_py(), table["texts"][0].as_py())
+        stream, pairs, begin = piece_ngrams(table["sizes"][0].as_py(), table["texts"][0].as_py())
         known = []
         for kind in (0, 1):
             mine = answers.filter(pc.equal(answers["kind"], kind)).sort_by("shard")
             known.append(np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in mine["levels"]]))
-        found = known[1][np.unique(grams[1], return_inverse=True)[1]]
-        words, place = np.unique(grams[0], return_inverse=True)
+        found = for_each(pairs, lambda _: known[1])
+        del pairs
+        words, place = np.unique(stream, return_inverse=True)
         ids = [table[c][0].values for c in ("_row", "doc_id", "held_out")]
-        return pa.Table.from_batches([results(ids, [(grams, words, place, known[0], found)])])
+        return pa.Table.from_batches([results(ids, [(stream, begin, words, place, known[0], found)])])
 
     asked = dealt.select("piece", "sizes", "texts").mapInArrow(lambda batches: ask(batches, shards), "piece long, kind int, shard int, keys binary")
     # Stored, so that what is asked has gone before the texts are moved.

@@ -97,6 +97,31 @@ def test_filter_reads_quantised_counts_back():
     assert (made.levels(rng.integers(0, 1 << 63, 5000, dtype=np.uint64)) == 0).mean() > 0.95
 
 
+def test_filter_probes_as_written_out():
+    rng = np.random.default_rng(4)
+    known = np.unique(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
+    counts = rng.integers(1, 200, len(known))
+    cuts = np.searchsorted(lm_scoring.shard_of(known, 3), np.arange(4, dtype=np.uint64))
+    made = lm_scoring.Filter([lm_scoring.build_filter(known[a:b], counts[a:b], 4) for a, b in zip(cuts, cuts[1:])])
+    keys = np.concatenate((rng.integers(0, 1 << 63, 600, dtype=np.uint64), known))
+    bits = np.unpackbits(made.bits, bitorder="little")
+
+    def level(key, upto):
+        shard, found = (key >> 32) * 3 >> 32, 0
+        while found < upto:
+            (one,), (two,) = (x.tolist() for x in lm_scoring._entry(np.array([key], np.uint64), found + 1))
+            at = [((one + i * two) % 2**32) * int(made.sizes[shard]) >> 32 for i in range(lm_scoring.PROBES)]
+            if not all(bits[int(made.starts[shard]) * 8 + a] for a in at):
+                break
+            found += 1
+        return found
+
+    upto = rng.integers(0, 12, len(keys)).astype(np.uint8)
+    assert made.levels(keys).tolist() == [level(k, lm_scoring.MAX_LEVEL) for k in keys.tolist()]
+    assert made.levels(keys, upto).tolist() == [level(k, u) for k, u in zip(keys.tolist(), upto.tolist())]
+    assert made.levels(keys[:0]).tolist() == []
+
+
 def test_a_shard_looks_up_each_ngram_once_for_all_pieces(monkeypatch):
     rng = np.random.default_rng(3)
     known = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
@@ -107,7 +132,7 @@ def test_a_shard_looks_up_each_ngram_once_for_all_pieces(monkeypatch):
     model = pa.table({"kind": [1], "shard": [0], "bits": [bits.tobytes()]})
     monkeypatch.setattr(lm_scoring.Filter, "levels", lambda self, keys, upto=None: looked_up.append(len(keys)) or levels(self, keys, upto))
     found = lm_scoring.answer(asked, model)
-    assert looked_up == [len(known) + len(other)] and found.column_names == ["piece", "kind", "shard", "levels"]
+    assert sum(looked_up) == len(known) + len(other) and found.column_names == ["piece", "kind", "shard", "levels"]
     for keys, part in zip(pieces, found["levels"].to_pylist()):
         assert np.frombuffer(part, np.uint8).tolist() == levels(lm_scoring.Filter([bits]), keys).tolist()
     assert lm_scoring.answer(asked, model[:0])["levels"].to_pylist() == [bytes(len(k)) for k in pieces]
