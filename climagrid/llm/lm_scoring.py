@@ -43,7 +43,7 @@ FILTER_BYTES = 192 << 20
 SHARD_BYTES = 8 << 20
 FLUSH_BYTES = 8 << 20
 # Text whose distinct pairs are looked up together: in a broadcast filter, and in its shards.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 FAR_PIECE_BYTES = 8 << 20
 SLICE = 1 << 17
 MAX_LEVEL = 255
@@ -199,6 +199,25 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return stream, pairs, begin
 
 
+def ngrams_in_parts(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``ngrams`` of at least one text, in parts: hashing needs many times the memory of the text that is hashed at once."""
+    found, part, used, before = [], [], 0, 0
+
+    def add() -> None:
+        nonlocal part, used, before
+        stream, pairs, begin = ngrams(part)
+        found.append((stream, pairs, begin + before))
+        part, used, before = [], 0, before + len(stream)
+
+    for text in texts:
+        if part and used + len(text) > tokens.CHUNK_BYTES:
+            add()
+        part.append(text)
+        used += len(text)
+    add()
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _packed(kind: int, keys: np.ndarray, counts: np.ndarray | None, shards: int) -> Iterator[dict]:
     """Rows of one range of the hash each; ``keys`` are sorted."""
     cuts = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1, dtype=np.uint64))
@@ -257,7 +276,7 @@ def _near(texts: list[bytes], filters: list[Filter]) -> tuple:
     A pair's count is cut to those of its two words, so a distinct pair is looked up once, to the level of the rarer word, and not
     at all if a word is unknown.
     """
-    stream, pairs, begin = ngrams(texts)
+    stream, pairs, begin = ngrams_in_parts(texts)
     words, place = np.unique(stream, return_inverse=True)
     word_levels = filters[0].levels(words)
     rarer = np.minimum(*_around(words, place, begin, word_levels))
@@ -429,15 +448,7 @@ def pieces(batches: Iterator[pa.RecordBatch], size: int = FAR_PIECE_BYTES) -> It
 def piece_ngrams(sizes: list[int], frame: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``ngrams`` of the texts of a piece."""
     data = memoryview(pa.decompress(frame, sum(sizes), codec="zstd"))
-    found, part, used, at, before = [], [], 0, 0, 0
-    for i, n in enumerate(sizes):
-        part.append(bytes(data[at : at + n]))
-        used, at = used + n, at + n
-        if i + 1 == len(sizes) or used + sizes[i + 1] > tokens.CHUNK_BYTES:
-            stream, pairs, begin = ngrams(part)
-            found.append((stream, pairs, begin + before))
-            part, used, before = [], 0, before + len(stream)
-    return tuple(np.concatenate(x) for x in zip(*found))
+    return ngrams_in_parts(bytes(data[end - n : end]) for end, n in zip(np.cumsum(sizes).tolist(), sizes))
 
 
 def ask(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
